@@ -54,13 +54,15 @@ class Spread:
     low: float
     high: float
     deviation: float
-    quartile_range: float
+    quartile_range: float | None
 
     def width(self, bins: int) -> float:
         return (self.high - self.low) / bins
 
     def auto_bins(self) -> int:
         """Number of bins: the narrower of the Freedman-Diaconis and the Sturges width."""
+        if self.quartile_range is None:
+            raise ValueError("quartiles were not taken")
         if self.rows == 0:
             return 1
         sturges = (self.high - self.low) / (math.log2(self.rows) + 1)
@@ -72,30 +74,35 @@ class Spread:
         return self.deviation * max(self.rows, 1) ** -0.2
 
 
-def spread(df: DataFrame, column: str) -> Spread:
+def spread(df: DataFrame, column: str, quartiles: bool = False) -> Spread:
     """One pass over a column. Quartiles are approximate (rank error 1e-4): exact ones would gather
     the column's values in one task."""
-    row = df.agg(
+    summary = [
         F.count(column).alias("rows"),
         F.min(column).alias("low"),
         F.max(column).alias("high"),
         F.stddev_samp(column).alias("deviation"),
-        F.percentile_approx(column, [0.25, 0.75], QUANTILE_ACCURACY).alias("quartiles"),
-    ).first()
+    ]
+    if quartiles:
+        summary.append(F.percentile_approx(column, [0.25, 0.75], QUANTILE_ACCURACY).alias("quartiles"))
+    row = df.agg(*summary).first()
+    between = None
     if row["rows"] == 0:
-        return Spread(0, 0.0, 1.0, 0.0, 0.0)
+        return Spread(0, 0.0, 1.0, 0.0, 0.0 if quartiles else None)
+    if quartiles:
+        lower, upper = row["quartiles"]
+        between = float(upper - lower)
     low, high = float(row["low"]), float(row["high"])
     if low == high:
         low, high = low - 0.5, high + 0.5
-    lower, upper = row["quartiles"]
-    return Spread(row["rows"], low, high, float(row["deviation"] or 0.0), float(upper - lower))
+    return Spread(row["rows"], low, high, float(row["deviation"] or 0.0), between)
 
 
 def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
     """Fixed-width histogram: bin, its edges, rows in it (empty bins have no row). Without ``bins``
     their number follows from the data."""
     known = df.filter(F.col(column).isNotNull())
-    stats = spread(known, column)
+    stats = spread(known, column, quartiles=bins is None)
     bins = bins or stats.auto_bins()
     width = stats.width(bins)
     counts = known.groupBy(fixed_bin(F.col(column), stats.low, width, bins).alias("bin")).agg(

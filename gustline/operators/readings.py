@@ -57,8 +57,14 @@ def parse_readings(messages: DataFrame, *extra: str) -> DataFrame:
     return shape_readings(parse_messages(messages, *extra), *extra)
 
 
+def with_validity(readings: DataFrame) -> DataFrame:
+    """Add ``is_valid``: whether the reading has a time. Costs no second parse of the message."""
+    return readings.withColumn("is_valid", F.col("signal_ts").isNotNull())
+
+
 def split_invalid(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readings with a time, readings without one)."""
+    """(readings with a time, readings without one), for two sinks. Each part is a pass of its own, so
+    split a stored table rather than the parse of a large topic."""
     known = F.col("signal_ts").isNotNull()
     return readings.filter(known), readings.filter(~known)
 

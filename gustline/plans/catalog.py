@@ -1,14 +1,14 @@
 """Registered queries: each takes (session, folder of the given tables) and returns a frame.
 
-All of them start from the whole ``events`` table. Averages are rounded because the order of a
-distributed sum is free; maps and vectors are flattened so that the SQL twins in ``oracles`` can be
-compared column by column.
+All of them start from the whole ``events`` table. Computed doubles are cut to a few digits because
+the order of a distributed sum is free; maps and vectors are flattened so that the SQL twins in
+``oracles`` can be compared column by column.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +27,7 @@ from gustline.operators.aggregates import (
 from gustline.operators.evaluation import density, histogram, joint_counts, metrics, with_residual
 from gustline.operators.features import TRAIN_SHARE, assembler, fit_index, keyed_split, random_split
 from gustline.operators.models import DEEPEST, fit_flow, linear, score_day, side_by_side, tree
-from gustline.operators.readings import parse_readings, promote_signals, split_invalid, to_payload
+from gustline.operators.readings import parse_readings, promote_signals, to_payload, with_validity
 from gustline.operators.renaming import long_form, map_names, rename_columns
 from gustline.plans.flows import hourly_status
 from gustline.schemas import (
@@ -65,19 +65,28 @@ HISTOGRAM_BINS = 20
 JOINT_BINS = 10
 CURVE_POINTS = 50
 CURVE_CELLS = 512
+GRID_OFFSET = 0.3719
 IDS = ("signal_date", "hour")
 
 # column names the flattened signals get in results
 FLAT_NAMES = dict(zip(SIGNAL_KEYS, ("power", "speed", "curve", "direction"), strict=True))
 
 
-def _rounded(df: DataFrame, digits: int, only: Sequence[str] | None = None) -> DataFrame:
-    names = only or [name for name, kind in df.dtypes if kind == "double"]
-    return df.withColumns({name: F.round(quoted(name), digits) for name in names})
+def _cut(value: Column, digits: int) -> Column:
+    """Value on a grid of ``digits`` decimals. Plain rounding switches at a half, where averages of
+    decimal values do fall, and the last bit of a sum would decide; here the switch lies at an
+    offset that they do not hit."""
+    scale = F.lit(10.0**digits)
+    return F.floor(value * scale + F.lit(GRID_OFFSET)) / scale
+
+
+def _rounded(df: DataFrame, digits: int) -> DataFrame:
+    names = [name for name, kind in df.dtypes if kind == "double"]
+    return df.withColumns({name: _cut(F.col(quoted(name)), digits) for name in names})
 
 
 def _flat_signals(kind: str = "double", digits: int = 6) -> list[Column]:
-    return [F.round(signal_value(key, kind), digits).alias(name) for key, name in FLAT_NAMES.items()]
+    return [_cut(signal_value(key, kind), digits).alias(name) for key, name in FLAT_NAMES.items()]
 
 
 def _flat_readings(readings: DataFrame, *extra: str) -> DataFrame:
@@ -167,7 +176,7 @@ def q_mapping_union(spark: SparkSession, folder: str) -> DataFrame:
     averages = hourly_from_map(_readings(spark, folder))
     named = map_names(long_form(averages, IDS), mapping, IDS, averages.columns)
     return named.groupBy("sig_mapping_name").agg(
-        F.count("value").alias("hours"), F.round(F.avg("value"), 6).alias("value")
+        F.count("value").alias("hours"), _cut(F.avg("value"), 6).alias("value")
     )
 
 
@@ -245,9 +254,7 @@ def q_invalid_rows(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(whole)
     )
     messages = rows.select("event_type", body.alias("value"))
-    valid, invalid = split_invalid(parse_readings(messages, "event_type"))
-    tagged = valid.withColumn("is_valid", F.lit(True)).unionByName(invalid.withColumn("is_valid", F.lit(False)))
-    return tagged.groupBy("event_type", "is_valid").agg(
+    return with_validity(parse_readings(messages, "event_type")).groupBy("event_type", "is_valid").agg(
         F.count(F.lit(1)).alias("rows"), F.count(signal_text(POWER_KEY)).alias("with_power")
     )
 
@@ -317,7 +324,7 @@ def q_raw_tap(spark: SparkSession, folder: str) -> DataFrame:
     body = F.col("value")
     power = F.get_json_object(body, "$['LV ActivePower (kW)']").try_cast("double")
     return read_table(spark, path, "text").select(
-        F.get_json_object(body, "$['Date/Time']").alias("time_text"), F.round(power, 6).alias("power")
+        F.get_json_object(body, "$['Date/Time']").alias("time_text"), _cut(power, 6).alias("power")
     )
 
 
@@ -378,7 +385,7 @@ def q_status_index(spark: SparkSession, folder: str) -> DataFrame:
 def q_feature_vector(spark: SparkSession, folder: str) -> DataFrame:
     vector = vector_to_array("features")
     assembled = assembler().transform(_indexed(spark, folder))
-    parts = [F.round(vector[i], 6).alias(f"feature_{i}") for i in range(len(FEATURES))]
+    parts = [_cut(vector[i], 6).alias(f"feature_{i}") for i in range(len(FEATURES))]
     return assembled.select(*IDS, *parts)
 
 
@@ -407,8 +414,8 @@ def q_linear_one_feature(spark: SparkSession, folder: str) -> DataFrame:
     hourly = _stored_hourly(spark, folder)
     train, _ = keyed_split(hourly, hour_key())
     line = fit_flow(hourly, train, linear(), ["wind_speed_average"]).stages[-1]
-    row = (round(float(line.coefficients[0]), 6), round(float(line.intercept), 6))
-    return spark.createDataFrame([row], "slope double, intercept double")
+    row = (float(line.coefficients[0]), float(line.intercept))
+    return _rounded(spark.createDataFrame([row], "slope double, intercept double"), 6)
 
 
 def _linear_scored(spark: SparkSession, folder: str) -> DataFrame:

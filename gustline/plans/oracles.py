@@ -9,6 +9,7 @@ from gustline.operators.features import SEED, TRAIN_SHARE
 from gustline.plans.catalog import (
     CURVE_CELLS,
     CURVE_POINTS,
+    GRID_OFFSET,
     HISTOGRAM_BINS,
     JOINT_BINS,
     SCORED_DAY,
@@ -41,8 +42,19 @@ _MAPPED = {
 }
 
 
-def _columns(names: Mapping[str, str], form: str) -> str:
-    return ", ".join(form.format(old=old, new=new) for old, new in names.items())
+def _cut(value: str, digits: int) -> str:
+    """The same grid of decimals as the queries use."""
+    scale = 10.0**digits
+    return f"floor(({value}) * {scale} + {GRID_OFFSET}) / {scale}"
+
+
+def _cuts(names: Mapping[str, str], digits: int, form: str = "{}") -> str:
+    """Select list: each key, put into ``form``, under its value as name."""
+    return ", ".join(f"{_cut(form.format(old), digits)} AS {new}" for old, new in names.items())
+
+
+def _own(*names: str) -> dict[str, str]:
+    return {name: name for name in names}
 
 
 def _band(power: str) -> str:
@@ -56,6 +68,8 @@ def _position(key: str) -> str:
     return f"((({key} + {SEED}) % {KEY_RANGE}) * {MULTIPLIER} % {MODULUS}) / {float(MODULUS)}"
 
 
+_FEATURES = ("speed", "curve", "direction", "status_index")
+
 _READINGS = "readings AS (SELECT event_id, event_type, ts AS signal_ts, CAST(ts AS DATE) AS signal_date, " + ", ".join(
     f"CAST(CAST({value} AS VARCHAR) AS FLOAT) AS {name}, CAST({value} AS DOUBLE) AS {name}_d"
     for name, value in _VALUES.items()
@@ -69,13 +83,13 @@ _HOURLY = (
 )
 _STATUS = f"status AS (SELECT *, {_band('power')} AS generation_status FROM hourly)"
 
+_HOUR_KEY = "date_diff('day', DATE '1970-01-01', signal_date) * 24 + hour"
 _INDEXED = (
     "labels_by_size AS (SELECT generation_status, count(*) AS n FROM status GROUP BY 1), "
     "indexes AS (SELECT generation_status, "
     "CAST(row_number() OVER (ORDER BY n DESC, generation_status) - 1 AS DOUBLE) AS status_index FROM labels_by_size), "
     "indexed AS (SELECT s.*, i.status_index, "
-    f"{_position('date_diff(' + chr(39) + 'day' + chr(39) + ', DATE ' + chr(39) + '1970-01-01' + chr(39) + ', signal_date) * 24 + hour')}"
-    f" < {TRAIN_SHARE} AS is_train "
+    f"{_position(_HOUR_KEY)} < {TRAIN_SHARE} AS is_train "
     "FROM status s JOIN indexes i USING (generation_status))"
 )
 
@@ -88,16 +102,15 @@ def _linear() -> str:
     """Least squares over the four features by orthogonalisation: centre on the training means, then
     take the part along each feature out of the later features and of the label. What is left of the
     label is the residual, on training and test rows alike."""
-    features = ("speed", "curve", "direction", "status_index")
     steps = [
         "means AS (SELECT avg(power) AS my, "
-        + ", ".join(f"avg({name}) AS m{i}" for i, name in enumerate(features))
+        + ", ".join(f"avg({name}) AS m{i}" for i, name in enumerate(_FEATURES))
         + " FROM indexed WHERE is_train)",
         "step0 AS (SELECT signal_date, hour, is_train, power, power - my AS y, "
-        + ", ".join(f"{name} - m{i} AS x{i}" for i, name in enumerate(features))
+        + ", ".join(f"{name} - m{i} AS x{i}" for i, name in enumerate(_FEATURES))
         + " FROM indexed, means)",
     ]
-    last = len(features)
+    last = len(_FEATURES)
     for i in range(last):
         later = [f"x{j}" for j in range(i + 1, last)] + ["y"]
         shares = ", ".join(f"sum(x{i} * {name}) / sum(x{i} * x{i}) AS c_{name}" for name in later)
@@ -121,18 +134,22 @@ _HOUR_MEANS = (
     "f.power - m.prediction AS residual FROM indexed f JOIN hour_means m USING (hour) WHERE NOT f.is_train)"
 )
 
-_METRICS = (
-    "count(*) AS rows, round(avg(residual * residual), 4) AS mse, "
-    "round(sqrt(avg(residual * residual)), 4) AS rmse, round(avg(abs(residual)), 4) AS mae, "
-    "round(1 - avg(residual * residual) / var_pop(actual), 4) AS r2"
+_METRICS = "count(*) AS rows, " + _cuts(
+    {
+        "avg(residual * residual)": "mse",
+        "sqrt(avg(residual * residual))": "rmse",
+        "avg(abs(residual))": "mae",
+        "1 - avg(residual * residual) / var_pop(actual)": "r2",
+    },
+    4,
 )
 
 
 def _histogram(source: str, bins: int, extra: str = "") -> str:
     place = f"LEAST(CAST(floor((residual - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1})"
     return (
-        f"SELECT bin, round(lo + bin * (hi - lo) / {bins}, 4) AS low, "
-        f"round(lo + (bin + 1) * (hi - lo) / {bins}, 4) AS high, count(*) AS rows{extra} "
+        f"SELECT bin, {_cut(f'lo + bin * (hi - lo) / {bins}', 4)} AS low, "
+        f"{_cut(f'lo + (bin + 1) * (hi - lo) / {bins}', 4)} AS high, count(*) AS rows{extra} "
         f"FROM (SELECT {place} AS bin, lo, hi FROM {source}, "
         f"(SELECT min(residual) AS lo, max(residual) AS hi FROM {source})) GROUP BY bin, lo, hi"
     )
@@ -140,6 +157,7 @@ def _histogram(source: str, bins: int, extra: str = "") -> str:
 
 def _density() -> str:
     cells, points = CURVE_CELLS, CURVE_POINTS
+    curve = "sum(weight * exp(-0.5 * power((x - centre) / bw, 2)) / sqrt(2 * pi())) / any_value(n * bw)"
     return (
         _MODEL
         + ", stats AS (SELECT min(residual) AS lo, max(residual) AS hi, count(*) AS n, "
@@ -148,8 +166,7 @@ def _density() -> str:
         "count(*) AS weight, avg(residual) AS centre FROM scored, stats GROUP BY 1), "
         f"grid AS (SELECT CAST(g AS INTEGER) AS point, lo + g * ((hi - lo) / {points - 1}) AS x, n, bw "
         f"FROM stats, range({points}) t(g)) "
-        "SELECT point, round(x, 6) AS x, "
-        "round(sum(weight * exp(-0.5 * power((x - centre) / bw, 2)) / sqrt(2 * pi())) / any_value(n * bw), 6) AS density "
+        f"SELECT point, {_cut('x', 6)} AS x, {_cut(curve, 6)} AS density "
         "FROM grid, cells GROUP BY point, x"
     )
 
@@ -167,48 +184,46 @@ def _joint() -> str:
         f"placed AS (SELECT {place('actual')} AS actual_bin, {place('prediction')} AS prediction_bin, "
         "lo, hi, line_end FROM scored, stats) "
         "SELECT actual_bin, prediction_bin, "
-        f"round(lo + actual_bin * (hi - lo) / {bins}, 4) AS actual_low, "
-        f"round(lo + prediction_bin * (hi - lo) / {bins}, 4) AS prediction_low, "
-        "count(*) AS rows, round(line_end, 4) AS line_end FROM placed "
+        f"{_cut(f'lo + actual_bin * (hi - lo) / {bins}', 4)} AS actual_low, "
+        f"{_cut(f'lo + prediction_bin * (hi - lo) / {bins}', 4)} AS prediction_low, "
+        f"count(*) AS rows, {_cut('line_end', 4)} AS line_end FROM placed "
         "GROUP BY actual_bin, prediction_bin, lo, hi, line_end"
     )
 
 
-def _status_rows(digits: int = 6) -> str:
-    return (
-        "SELECT signal_date, hour, "
-        + _columns(_MAPPED, f"round({{old}}, {digits}) AS {{new}}")
-        + ", generation_status FROM status"
-    )
-
-
-_MAP_AVERAGE_ROWS = "SELECT signal_date, hour, " + _columns(_MAP_AVERAGES, "round({old}, 6) AS {new}") + " FROM hourly"
+_STATUS_ROWS = f"SELECT signal_date, hour, {_cuts(_MAPPED, 6)}, generation_status FROM status"
+_MAP_AVERAGE_ROWS = f"SELECT signal_date, hour, {_cuts(_MAP_AVERAGES, 6)} FROM hourly"
 
 _LONG = " UNION ALL ".join(
     f"SELECT signal_date, hour, '{new}' AS sig_mapping_name, {old} AS value FROM hourly" for old, new in _MAPPED.items()
 )
 
 _MINUTES = "date_trunc('minute', signal_ts)"
-_FLAT = "round(power_d, 6) AS power, round(speed_d, 6) AS speed, round(curve_d, 6) AS curve, round(direction_d, 6) AS direction"
-# power of the rows that went through the landing directory
-_LANDED_POWER = "CASE WHEN event_type = 'error' THEN NULL ELSE round(power_d, 6) END AS power"
-_LANDED = _FLAT.replace("round(power_d, 6) AS power", _LANDED_POWER)
+_FLAT = _cuts(_own(*_VALUES), 6, "{}_d")
+# rows that went through the landing directory
+_LANDED = _cuts(
+    {"CASE WHEN event_type = 'error' THEN NULL ELSE power_d END": "power"}
+    | {f"{name}_d": name for name in _VALUES if name != "power"},
+    6,
+)
 _TIME_TEXT = "strftime(signal_ts, '%d %m %Y %H:%M') AS time_text"
 _R = _with(_READINGS)
 _H = _with(_READINGS, _HOURLY)
 _S = _with(_READINGS, _HOURLY, _STATUS)
 _LANDED_ROWS = _R + f"SELECT signal_date, {_MINUTES} AS signal_ts, {_LANDED} FROM readings"
-_SCORES = "SELECT signal_date, hour, round(actual, 4) AS active_power_average, round(prediction, 4) AS prediction FROM "
+_SCORES = (
+    f"SELECT signal_date, hour, {_cuts({'actual': 'active_power_average', 'prediction': 'prediction'}, 4)} FROM "
+)
 
 ORACLES: Mapping[str, str] = {
-    "hourly_status": _S + _status_rows(),
+    "hourly_status": _S + _STATUS_ROWS,
     "daily_distinct_derived": "SELECT CAST(ts AS DATE) AS date, count(DISTINCT ts) AS distinct_datapoints "
     "FROM events GROUP BY 1 ORDER BY 1",
     "daily_distinct_stored": "SELECT CAST(ts AS DATE) AS signal_date, count(DISTINCT ts) AS distinct_signal_count "
     "FROM events GROUP BY 1",
     "hourly_averages_typed": _R
     + "SELECT signal_date AS date, CAST(hour(signal_ts) AS INTEGER) AS hour, "
-    + _columns(_TYPED_AVERAGES, "round(avg({old}_d), 6) AS {new}")
+    + _cuts(_TYPED_AVERAGES, 6, "avg({}_d)")
     + " FROM readings GROUP BY 1, 2 ORDER BY 1, 2",
     "hourly_averages_map": _H + _MAP_AVERAGE_ROWS,
     "repeated_ingestion": _H + _MAP_AVERAGE_ROWS,
@@ -221,32 +236,26 @@ ORACLES: Mapping[str, str] = {
     f"CASE WHEN power IS NULL THEN 'Unknown' ELSE {_band('power')} END AS with_null_label FROM powers",
     "absent_keys": _H
     + "SELECT signal_date AS date, hour, "
-    + _columns(_TYPED_AVERAGES, "CAST(NULL AS DOUBLE) AS {new}")
+    + ", ".join(f"CAST(NULL AS DOUBLE) AS {name}" for name in _TYPED_AVERAGES.values())
     + ", 'Exceptional' AS generation_indicator FROM hourly",
     "mapping_union": _H
-    + f"SELECT sig_mapping_name, count(value) AS hours, round(avg(value), 6) AS value FROM ({_LONG}) GROUP BY 1",
+    + f"SELECT sig_mapping_name, count(value) AS hours, {_cut('avg(value)', 6)} AS value FROM ({_LONG}) GROUP BY 1",
     "mapping_inline": _R
     + "SELECT event_id, signal_ts, "
-    + _columns(_MAPPED, "round({old}_d, 6) AS {new}")
+    + _cuts(_MAPPED, 6, "{}_d")
     + f", {_band('power_d')} AS generation_indicator FROM readings",
     "rename_columns": _H
     + "SELECT signal_date, hour, "
-    + _columns(
-        {"power": _MAPPED["power"], "speed": _MAPPED["speed"]}
-        | {name: _MAP_AVERAGES[name] for name in ("curve", "direction")},
-        "round({old}, 6) AS {new}",
-    )
+    + _cuts(_MAP_AVERAGES | {name: _MAPPED[name] for name in ("power", "speed")}, 6)
     + " FROM hourly",
     "mapping_broadcast_join": _H
-    + f"SELECT signal_date, hour, sig_mapping_name, round(value, 6) AS value FROM ({_LONG})",
-    "day_filter": _S + _status_rows() + f" WHERE signal_date = DATE '{SCORED_DAY}'",
+    + f"SELECT signal_date, hour, sig_mapping_name, {_cut('value', 6)} AS value FROM ({_LONG})",
+    "day_filter": _S + _STATUS_ROWS + f" WHERE signal_date = DATE '{SCORED_DAY}'",
     "top_hours": _H + _MAP_AVERAGE_ROWS + " ORDER BY signal_date, hour LIMIT 20",
     "preview_rows": "SELECT event_id, ts AS signal_ts, CAST(event_id % 360 AS VARCHAR) AS direction_text "
     "FROM events ORDER BY ts, event_id LIMIT 20",
     "feature_select": _FRAME
-    + "SELECT round(speed, 6) AS wind_speed_average, round(curve, 6) AS theo_power_curve_average, "
-    "round(direction, 6) AS wind_direction_average, status_index AS generation_status_index, "
-    "round(power, 6) AS active_power_average FROM indexed",
+    + f"SELECT {_cuts(_MAPPED, 6)}, status_index AS generation_status_index FROM indexed",
     "payload_roundtrip": _R + f"SELECT {_MINUTES} AS signal_ts, {_FLAT} FROM readings",
     "parse_readings": _R + f"SELECT event_id, signal_date, {_MINUTES} AS signal_ts, {_FLAT} FROM readings",
     "invalid_rows": "WITH kept AS (SELECT event_type, event_type IN ('click', 'view') AS is_valid, "
@@ -257,22 +266,23 @@ ORACLES: Mapping[str, str] = {
     "append_then_read": _R
     + f"SELECT signal_date, signal_ts, {_FLAT} FROM readings "
     f"UNION ALL SELECT signal_date, signal_ts, {_FLAT} FROM readings",
-    "overwrite_then_read": _S + _status_rows(),
+    "overwrite_then_read": _S + _STATUS_ROWS,
     "csv_stream": _R + f"SELECT {_TIME_TEXT}, {_LANDED} FROM readings",
     "stream_publish": _LANDED_ROWS,
-    "raw_tap": _R + f"SELECT {_TIME_TEXT}, round(power_d, 6) AS power FROM readings",
+    "raw_tap": _R + f"SELECT {_TIME_TEXT}, {_cut('power_d', 6)} AS power FROM readings",
     "stream_ingest": _LANDED_ROWS,
     "stream_to_hourly": _H
     + "SELECT signal_date AS date, hour, "
-    + ", ".join(f"round({name}, 6) AS avg_{name}" for name in _VALUES)
+    + _cuts({name: f"avg_{name}" for name in _VALUES}, 6)
     + " FROM hourly",
     "batch_counts": "SELECT count(*) AS batch_rows, count(*) AS total_rows FROM events "
     "UNION ALL SELECT count(*), 2 * count(*) FROM events",
     "status_index": _FRAME
     + "SELECT signal_date, hour, generation_status, status_index AS generation_status_index FROM indexed",
     "feature_vector": _FRAME
-    + "SELECT signal_date, hour, round(speed, 6) AS feature_0, round(curve, 6) AS feature_1, "
-    "round(direction, 6) AS feature_2, status_index AS feature_3 FROM indexed",
+    + "SELECT signal_date, hour, "
+    + _cuts({name: f"feature_{i}" for i, name in enumerate(_FEATURES)}, 6)
+    + " FROM indexed",
     "keyed_split": _FRAME
     + "SELECT signal_date, hour, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM indexed",
     "keyed_split_events": f"SELECT CASE WHEN {_position('event_id')} < {TRAIN_SHARE} THEN 'train' ELSE 'test' END "
@@ -280,13 +290,14 @@ ORACLES: Mapping[str, str] = {
     "random_split_cover": _H
     + "SELECT signal_date, count(*) AS rows, count(DISTINCT hour) AS distinct_hours FROM hourly GROUP BY 1",
     "linear_one_feature": _FRAME
-    + "SELECT round(regr_slope(power, speed), 6) AS slope, round(regr_intercept(power, speed), 6) AS intercept "
-    "FROM indexed WHERE is_train",
+    + "SELECT "
+    + _cuts({"regr_slope(power, speed)": "slope", "regr_intercept(power, speed)": "intercept"}, 6)
+    + " FROM indexed WHERE is_train",
     "linear_model_scores": _MODEL + _SCORES + "scored",
     "tree_full_depth": _FRAME.rstrip() + ", " + _HOUR_MEANS + " " + _SCORES + "tree_scored",
     "score_day": _MODEL + _SCORES + f"scored_all WHERE signal_date = DATE '{SCORED_DAY}'",
     "regression_metrics": _MODEL + f"SELECT {_METRICS} FROM scored",
-    "residuals": _MODEL + "SELECT signal_date, hour, round(residual, 4) AS residual FROM scored",
+    "residuals": _MODEL + f"SELECT signal_date, hour, {_cut('residual', 4)} AS residual FROM scored",
     "residual_histogram": _MODEL + _histogram("scored", HISTOGRAM_BINS),
     "residual_density": _density(),
     "actual_vs_predicted_bins": _joint(),

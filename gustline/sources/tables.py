@@ -110,6 +110,6 @@ def batch_sizes(readings: DataFrame) -> DataFrame:
     )
     return (
         batches.withColumn("within_day", F.sum("batch_rows").over(within))
-        .join(days, "create_date")
+        .join(days, "create_date", "left")
         .select("create_ts", "batch_rows", (F.col("rows_before") + F.col("within_day")).alias("total_rows"))
     )
