@@ -24,9 +24,10 @@ def reading_time(text: Column) -> Column:
 
 
 def reading_date(text: Column) -> Column:
-    """Date of a reading from its first three fields only: a reading with a good day but a broken
-    time of day keeps its day."""
-    return F.to_date(F.try_to_timestamp(F.substring_index(text, " ", 3), F.lit(DATE_PATTERN)))
+    """Date of a reading. A reading with a good day but a broken time of day keeps its day: only for
+    such text the first three fields are parsed on their own."""
+    day_only = F.try_to_timestamp(F.substring_index(text, " ", 3), F.lit(DATE_PATTERN))
+    return F.to_date(F.coalesce(reading_time(text), day_only))
 
 
 def signal_map(values: Mapping[str, Column]) -> Column:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from gustline.functions.signals import quoted, reading_date, reading_time, signal_map, signal_value
 from gustline.schemas import MESSAGE_SCHEMA, SIGNAL_OF_FIELD, TIME_FIELD
 
-# Characters that do not count as content of a message.
-_BLANKS = " \t\r\n\f\x0b"
+# The white space of JSON, which is no content of a message.
+_BLANKS = " \t\r\n"
 
 
 def to_payload(rows: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from gustline.schemas import (
     FEATURES,
     HOURLY_MAPPING,
     LABEL,
+    LINE_SCHEMA,
     POWER_KEY,
     READING_SCHEMA,
     ROW_MAPPING,
@@ -50,6 +51,7 @@ from gustline.sources.streams import append_stream, csv_landing, open_stream, ta
 from gustline.sources.tables import (
     append_table,
     batch_sizes,
+    inline_relation,
     mapping_relation,
     mapping_view,
     preview,
@@ -415,7 +417,7 @@ def q_linear_one_feature(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = keyed_split(hourly, hour_key())
     line = fit_flow(hourly, train, linear(), ["wind_speed_average"]).stages[-1]
     row = (float(line.coefficients[0]), float(line.intercept))
-    return _rounded(spark.createDataFrame([row], "slope double, intercept double"), 6)
+    return _rounded(inline_relation(spark, [row], LINE_SCHEMA), 6)
 
 
 def _linear_scored(spark: SparkSession, folder: str) -> DataFrame:

@@ -82,6 +82,12 @@ READING_SCHEMA = _flat(
 
 MAPPING_SCHEMA = _flat({"sig_name": T.StringType(), "sig_mapping_name": T.StringType()})
 
+REPORT_SCHEMA = _flat(
+    {"position": T.IntegerType(), "name": T.StringType(), "type": T.StringType(), "nullable": T.BooleanType()}
+)
+
+LINE_SCHEMA = _flat({"slope": T.DoubleType(), "intercept": T.DoubleType()})
+
 TOPIC_SCHEMA = _flat({"value": T.StringType()})
 
 HOURLY_SCHEMA = _flat(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gustline.schemas import MAPPING_SCHEMA
+from gustline.schemas import MAPPING_SCHEMA, REPORT_SCHEMA
 
 
 def read_table(
@@ -71,12 +71,24 @@ def preview(df: DataFrame, rows: int = 20, order_by: Sequence[str | Column] = ()
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type, nullability."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, name string, type string, nullable boolean")
+    return inline_relation(df.sparkSession, rows, REPORT_SCHEMA)
+
+
+def inline_relation(spark: SparkSession, rows: Sequence[Sequence[object]], schema: T.StructType) -> DataFrame:
+    """Relation of a few literal rows. It is part of the plan itself, so reading it back or filtering
+    it needs no job and no Python worker. Values are bound as parameters, not pasted."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    texts = ", ".join("(" + ", ".join(f":v{i}_{j}" for j in range(len(row))) + ")" for i, row in enumerate(rows))
+    names = ", ".join(f"c{j}" for j in range(len(schema)))
+    values = {f"v{i}_{j}": value for i, row in enumerate(rows) for j, value in enumerate(row)}
+    literal = spark.sql(f"SELECT * FROM VALUES {texts} AS literal({names})", args=values)
+    return literal.select(*(F.col(f"c{j}").cast(f.dataType).alias(f.name) for j, f in enumerate(schema)))
 
 
 def mapping_relation(spark: SparkSession, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Name mapping as an inline relation."""
-    return spark.createDataFrame(list(pairs), MAPPING_SCHEMA)
+    return inline_relation(spark, pairs, MAPPING_SCHEMA)
 
 
 def mapping_view(spark: SparkSession, pairs: Sequence[tuple[str, str]], view: str) -> DataFrame:
