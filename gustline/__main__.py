@@ -20,7 +20,7 @@ from gustline.sources.streams import (
     table_sink,
     text_topic,
 )
-from gustline.sources.tables import preview, read_table, replace_table, schema_report
+from gustline.sources.tables import check_apart, preview, read_table, replace_table, schema_report
 from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded
 
 
@@ -62,6 +62,7 @@ def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
+    check_apart(args.hourly, args.out)
     result = train_from_table(spark, args.hourly, args.day, args.format)
     replace_table(result.metrics, f"{args.out}/metrics", args.format)
     replace_table(result.day, f"{args.out}/day", args.format)

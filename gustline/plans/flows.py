@@ -16,7 +16,7 @@ from gustline.operators.features import keyed_split
 from gustline.operators.models import fit_flow, linear, score_day, side_by_side, tree
 from gustline.operators.renaming import rename_columns
 from gustline.schemas import HOURLY_MAPPING, HOURLY_SCHEMA, LABEL, READING_SCHEMA
-from gustline.sources.tables import mapping_view, read_table, replace_table
+from gustline.sources.tables import check_apart, mapping_view, read_table, replace_table
 
 MAPPING_VIEW = "signal_name_mapping"
 
@@ -30,6 +30,7 @@ def hourly_status(readings: DataFrame, mapping: DataFrame | None = None) -> Data
 
 def analyse(spark: SparkSession, readings_path: str, hourly_path: str, daily_path: str, format: str = "parquet") -> None:
     """Daily counts and the hourly table, each computed once and written as a full replacement."""
+    check_apart(readings_path, hourly_path, daily_path)
     readings = read_table(spark, readings_path, format, READING_SCHEMA if format == "parquet" else None)
     replace_table(daily_distinct_stored(readings), daily_path, format)
     replace_table(hourly_status(readings), hourly_path, format)

@@ -58,11 +58,20 @@ def replace_table(
     partition_by: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace a table as a whole. ``df`` must not read from ``path``; Spark refuses that for plain
-    file formats, whose old files go before the new ones are computed."""
+    """Replace a table as a whole. ``df`` must not read from ``path``: for plain file formats the old
+    files go before the new rows are computed (see ``check_apart``)."""
     _write(df, path, "overwrite", format, partition_by, options)
 
 
+def check_apart(source: str, *targets: str) -> None:
+    """Refuse targets that are, hold or lie in the source table or another target."""
+    paths = [path.rstrip("/") + "/" for path in (source, *targets)]
+    for i, one in enumerate(paths):
+        for other in paths[i + 1 :]:
+            if one.startswith(other) or other.startswith(one):
+                raise ValueError(f"{one} and {other} overlap")
+
+
 def preview(df: DataFrame, rows: int = 20, order_by: Sequence[str | Column] = ()) -> DataFrame:
     """First rows of a frame; with an order it is a distributed top-k, not a full sort."""
     return (df.orderBy(*order_by) if order_by else df).limit(rows)
