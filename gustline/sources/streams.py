@@ -12,6 +12,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from gustline.schemas import CSV_SCHEMA, TOPIC_SCHEMA
 
 
+# Most bytes a file source hands to one micro-batch. A backlog of many terabytes becomes a row of
+# batches that commit one by one, so a lost driver repeats one of them and not the whole backlog.
+BATCH_BYTES = 1 << 40
+
+
 @dataclass(frozen=True)
 class Endpoint:
     """A source or sink known to Structured Streaming."""
@@ -21,15 +26,20 @@ class Endpoint:
     schema: T.StructType | None = None
 
 
+def _files(format: str, schema: T.StructType, options: Mapping[str, str]) -> Endpoint:
+    limited = {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options)
+    return Endpoint(format, options if limited else {"maxBytesPerTrigger": str(BATCH_BYTES)} | options, schema)
+
+
 def csv_landing(path: str, **options: str) -> Endpoint:
     """Directory that CSV files with a header are dropped into. Keep it apart from tables and
     checkpoints: every file below it is read. A cell that is not a number becomes NULL."""
-    return Endpoint("csv", {"path": path, "header": "true"} | options, CSV_SCHEMA)
+    return _files("csv", CSV_SCHEMA, {"path": path, "header": "true"} | options)
 
 
 def text_topic(path: str, **options: str) -> Endpoint:
     """Message topic as a directory of text files, one message per line."""
-    return Endpoint("text", {"path": path} | options, TOPIC_SCHEMA)
+    return _files("text", TOPIC_SCHEMA, {"path": path} | options)
 
 
 def kafka_source(servers: str, topic: str, starting: str = "earliest", **options: str) -> Endpoint:
