@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from gustline.functions.split import KEY_RANGE, MODULUS, MULTIPLIER
 from gustline.operators.features import SEED, TRAIN_SHARE
+from gustline.operators.models import TREE_BINS, TREE_DEPTH
 from gustline.plans.catalog import (
     CURVE_CELLS,
     CURVE_POINTS,
@@ -134,6 +135,64 @@ _HOUR_MEANS = (
     "f.power - m.prediction AS residual FROM indexed f JOIN hour_means m USING (hour) WHERE NOT f.is_train)"
 )
 
+def _tree() -> str:
+    """A regression tree of the default depth, level by level: candidate thresholds of each feature,
+    the squared-error gain of each candidate in each node, the best one per node, children.
+
+    Up to ``TREE_BINS`` distinct values, thresholds are all midpoints. Beyond, the k-th threshold
+    follows the value after which the running count passes k strides more closely than before it; at
+    most one threshold falls between two neighbours, hence the running minimum. The index of the band
+    is a category: in each node its values are ranked by their average label, and the ranks are cut.
+    """
+    *numeric, category = _FEATURES
+    c = len(numeric)
+    values = " UNION ALL ".join(f"SELECT id, {i} AS f, {name} AS x FROM rows_at_0" for i, name in enumerate(numeric))
+    steps = [
+        f"rows_at_0 AS (SELECT signal_date, hour, {_HOUR_KEY} AS id, is_train, power, "
+        + ", ".join(_FEATURES)
+        + ", 1 AS node FROM indexed)",
+        f"cells AS MATERIALIZED ({values})",
+        "sizes AS (SELECT f, x, count(*) AS c FROM cells JOIN rows_at_0 USING (id) WHERE is_train GROUP BY f, x)",
+        "ranked AS (SELECT f, x, row_number() OVER w - 1 AS i, lag(x) OVER w AS x_before, "
+        "2 * sum(c) OVER w - c AS middle, count(*) OVER (PARTITION BY f) AS n_values, "
+        f"sum(c) OVER (PARTITION BY f) / {float(TREE_BINS)} AS stride "
+        "FROM sizes WINDOW w AS (PARTITION BY f ORDER BY x))",
+        "passed AS (SELECT *, i + min(CASE WHEN i = 0 THEN 0 ELSE ceil(middle / (2 * stride)) - 1 END - i) "
+        "OVER (PARTITION BY f ORDER BY x) AS k FROM ranked)",
+        "stepped AS (SELECT *, k - lag(k) OVER (PARTITION BY f ORDER BY x) AS rise FROM passed)",
+        "thresholds AS MATERIALIZED (SELECT f, (x_before + x) / 2 AS threshold FROM stepped "
+        f"WHERE i > 0 AND (n_values <= {TREE_BINS} OR rise > 0) "
+        f"UNION ALL SELECT {c}, r + 0.5 FROM range((SELECT count(*) - 1 FROM indexes)) t(r))",
+    ]
+    for level in range(TREE_DEPTH):
+        steps += [
+            f"ranks_{level} AS (SELECT node, {category}, row_number() OVER (PARTITION BY node "
+            f"ORDER BY avg(power), {category}) - 1 AS x FROM rows_at_{level} WHERE is_train GROUP BY node, {category})",
+            f"cells_{level} AS MATERIALIZED (FROM cells UNION ALL SELECT r.id, {c}, coalesce(k.x, 1000) "
+            f"FROM rows_at_{level} r LEFT JOIN ranks_{level} k ON k.node = r.node AND k.{category} = r.{category})",
+            f"sums_{level} AS (SELECT r.node, t.f, t.threshold, count(*) AS n, sum(r.power) AS s, "
+            "count(*) FILTER (WHERE v.x <= t.threshold) AS nl, "
+            "sum(r.power) FILTER (WHERE v.x <= t.threshold) AS sl "
+            f"FROM rows_at_{level} r JOIN cells_{level} v USING (id) JOIN thresholds t ON t.f = v.f "
+            "WHERE r.is_train GROUP BY 1, 2, 3)",
+            f"gains_{level} AS (SELECT node, f, threshold, "
+            "sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain "
+            f"FROM sums_{level} WHERE nl > 0 AND nl < n)",
+            f"best_{level} AS MATERIALIZED (SELECT node, f, threshold FROM gains_{level} WHERE gain > 0 QUALIFY "
+            "row_number() OVER (PARTITION BY node ORDER BY round(gain, 4) DESC, f, threshold) = 1)",
+            f"rows_at_{level + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node "
+            "ELSE 2 * r.node + CAST(v.x > b.threshold AS INTEGER) END AS node "
+            f"FROM rows_at_{level} r LEFT JOIN best_{level} b ON r.node = b.node "
+            f"LEFT JOIN cells_{level} v ON v.id = r.id AND v.f = b.f)",
+        ]
+    steps += [
+        f"leaves AS (SELECT node, avg(power) AS prediction FROM rows_at_{TREE_DEPTH} WHERE is_train GROUP BY 1)",
+        "grown_scored AS (SELECT signal_date, hour, power AS actual, prediction "
+        f"FROM rows_at_{TREE_DEPTH} JOIN leaves USING (node) WHERE NOT is_train)",
+    ]
+    return ", ".join(steps)
+
+
 _METRICS = "count(*) AS rows, " + _cuts(
     {
         "avg(residual * residual)": "mse",
@@ -294,6 +353,7 @@ ORACLES: Mapping[str, str] = {
     + _cuts({"regr_slope(power, speed)": "slope", "regr_intercept(power, speed)": "intercept"}, 6)
     + " FROM indexed WHERE is_train",
     "linear_model_scores": _MODEL + _SCORES + "scored",
+    "tree_model_scores": _FRAME.rstrip() + ", " + _tree() + " " + _SCORES + "grown_scored",
     "tree_full_depth": _FRAME.rstrip() + ", " + _HOUR_MEANS + " " + _SCORES + "tree_scored",
     "score_day": _MODEL + _SCORES + f"scored_all WHERE signal_date = DATE '{SCORED_DAY}'",
     "regression_metrics": _MODEL + f"SELECT {_METRICS} FROM scored",
