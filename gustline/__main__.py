@@ -1,4 +1,4 @@
-"""Command line: ``python -m gustline publish|ingest|analyse|train|show``.
+"""Command line: ``python -m gustline publish|ingest|tap|analyse|train|show``.
 
 Every path, format, zone and limit is an argument; nothing is taken from the environment.
 """
@@ -14,6 +14,7 @@ from gustline.plans.flows import analyse, train_from_table
 from gustline.session import build_session
 from gustline.sources.streams import (
     Endpoint,
+    console,
     csv_landing,
     kafka_sink,
     kafka_source,
@@ -21,7 +22,7 @@ from gustline.sources.streams import (
     text_topic,
 )
 from gustline.sources.tables import check_apart, preview, read_table, replace_table, schema_report
-from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded
+from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded, tap
 
 
 def _pairs(options: list[str]) -> dict[str, str]:
@@ -57,6 +58,10 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     print(batch_counts(run_bounded(writer, args.timeout)))
 
 
+def _tap(spark: SparkSession, args: argparse.Namespace) -> None:
+    run_bounded(tap(spark, _topic(args, True), console(args.rows), args.checkpoint), args.timeout)
+
+
 def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
     analyse(spark, args.table, args.hourly, args.daily, args.format)
 
@@ -91,11 +96,11 @@ def _parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         return sub
 
-    def streaming(sub: argparse.ArgumentParser) -> None:
+    def streaming(sub: argparse.ArgumentParser, resumes: bool = True) -> None:
         sub.add_argument("--topic", required=True, help="topic name, or directory without --servers")
         sub.add_argument("--servers", help="Kafka bootstrap servers")
         sub.add_argument("--topic-option", action="append", default=[])
-        sub.add_argument("--checkpoint", required=True)
+        sub.add_argument("--checkpoint", required=resumes)
         sub.add_argument("--timeout", type=int, help="seconds")
 
     sub = command("publish", _publish)
@@ -111,6 +116,11 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--promote", action="append", default=[], help="column=signal key")
     sub.add_argument("--tasks-per-day", type=int)
 
+    sub = command("tap", _tap)
+    streaming(sub, resumes=False)
+    sub.add_argument("--starting", default="earliest")
+    sub.add_argument("--rows", type=int, default=20)
+
     sub = command("analyse", _analyse)
     for name in ("table", "hourly", "daily"):
         sub.add_argument(f"--{name}", required=True)

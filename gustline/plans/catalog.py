@@ -29,7 +29,7 @@ from gustline.operators.features import TRAIN_SHARE, assembler, fit_index, keyed
 from gustline.operators.models import DEEPEST, fit_flow, linear, score_day, side_by_side, tree
 from gustline.operators.readings import parse_readings, promote_signals, to_payload, with_validity
 from gustline.operators.renaming import long_form, map_names, rename_columns
-from gustline.plans.flows import hourly_status
+from gustline.plans.flows import banded_rows, hourly_status, typed_readings
 from gustline.schemas import (
     FEATURES,
     HOURLY_MAPPING,
@@ -37,7 +37,6 @@ from gustline.schemas import (
     LINE_SCHEMA,
     POWER_KEY,
     READING_SCHEMA,
-    ROW_MAPPING,
     SIGNAL_KEYS,
     SIGNAL_OF_FIELD,
     STATUS,
@@ -106,12 +105,6 @@ def _hourly(spark: SparkSession, folder: str) -> DataFrame:
     return hourly_status(_readings(spark, folder))
 
 
-def _typed(readings: DataFrame, *extra: str) -> DataFrame:
-    """Readings with their signals as double columns under the raw field names."""
-    promoted = promote_signals(readings, SIGNAL_OF_FIELD, "double")
-    return promoted.select(*extra, "signal_ts", *(F.col(quoted(name)) for name in SIGNAL_OF_FIELD))
-
-
 # --- analytics ---------------------------------------------------------------------------------
 
 
@@ -128,7 +121,7 @@ def q_daily_distinct_stored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_hourly_averages_typed(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(hourly_from_columns(_typed(_readings(spark, folder)), TYPED_AVERAGES), 6)
+    return _rounded(hourly_from_columns(typed_readings(_readings(spark, folder)), TYPED_AVERAGES), 6)
 
 
 def q_hourly_averages_map(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,9 +177,8 @@ def q_mapping_union(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_mapping_inline(spark: SparkSession, folder: str) -> DataFrame:
     """Row-level frame with its band, renamed by an inline relation."""
-    typed = _typed(readings_from_events(events(spark, folder), "event_id"), "event_id")
-    banded = with_band(typed, F.col(quoted("LV ActivePower (kW)")))
-    return _rounded(rename_columns(banded, mapping_relation(spark, ROW_MAPPING)), 6)
+    typed = typed_readings(readings_from_events(events(spark, folder), "event_id"), "event_id")
+    return _rounded(banded_rows(typed), 6)
 
 
 def q_rename_columns(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,15 +8,32 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gustline.functions.signals import quoted
 from gustline.functions.split import hour_key
-from gustline.operators.aggregates import daily_distinct_stored, hourly_with_band
+from gustline.operators.aggregates import daily_distinct_stored, hourly_with_band, with_band
 from gustline.operators.evaluation import density, histogram, joint_counts, metrics, with_residual
 from gustline.operators.features import keyed_split
 from gustline.operators.models import fit_flow, linear, score_day, side_by_side, tree
+from gustline.operators.readings import promote_signals
 from gustline.operators.renaming import rename_columns
-from gustline.schemas import HOURLY_MAPPING, HOURLY_SCHEMA, LABEL, READING_SCHEMA
-from gustline.sources.tables import check_apart, mapping_view, read_table, replace_table
+from gustline.schemas import (
+    HOURLY_MAPPING,
+    HOURLY_SCHEMA,
+    LABEL,
+    POWER_KEY,
+    READING_SCHEMA,
+    ROW_MAPPING,
+    SIGNAL_OF_FIELD,
+)
+from gustline.sources.tables import (
+    check_apart,
+    mapping_relation,
+    mapping_view,
+    read_table,
+    replace_table,
+)
 
 MAPPING_VIEW = "signal_name_mapping"
 
@@ -28,6 +45,20 @@ def hourly_status(readings: DataFrame, mapping: DataFrame | None = None) -> Data
     return rename_columns(hourly_with_band(readings), mapping)
 
 
+def typed_readings(readings: DataFrame, *extra: str) -> DataFrame:
+    """Readings with their signals as double columns under the raw field names instead of the map."""
+    promoted = promote_signals(readings, SIGNAL_OF_FIELD, "double")
+    return promoted.select(*extra, "signal_ts", *(F.col(quoted(name)) for name in SIGNAL_OF_FIELD))
+
+
+def banded_rows(typed: DataFrame, mapping: DataFrame | None = None) -> DataFrame:
+    """Typed readings with the band of each row's power, under mapped names."""
+    if mapping is None:
+        mapping = mapping_relation(typed.sparkSession, ROW_MAPPING)
+    power = next(name for name, key in SIGNAL_OF_FIELD.items() if key == POWER_KEY)
+    return rename_columns(with_band(typed, F.col(quoted(power))), mapping)
+
+
 def analyse(spark: SparkSession, readings_path: str, hourly_path: str, daily_path: str, format: str = "parquet") -> None:
     """Daily counts and the hourly table, each computed once and written as a full replacement."""
     check_apart(readings_path, hourly_path, daily_path)

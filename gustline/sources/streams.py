@@ -61,6 +61,11 @@ def table_sink(path: str, format: str = "parquet", **options: str) -> Endpoint:
     return Endpoint(format, {"path": path} | options)
 
 
+def console(rows: int = 20, truncate: bool = True) -> Endpoint:
+    """Console of the driver: the first rows of every batch."""
+    return Endpoint("console", {"numRows": str(rows), "truncate": str(truncate).lower()})
+
+
 def open_stream(spark: SparkSession, source: Endpoint) -> DataFrame:
     """Unbounded frame over a source."""
     reader = spark.readStream.format(source.format).options(**source.options)

@@ -52,6 +52,7 @@ def test_whole_way(spark, run, tmp_path, capsys):
         *("--partition-by", "signal_date", "--timeout", 300),
     )
     assert f"[(0, {len(rows)})]" in capsys.readouterr().out
+    run("tap", "--topic", at["topic"], "--rows", 2)
     run("analyse", "--table", at["table"], "--hourly", at["hourly"], "--daily", at["daily"])
     assert spark.read.parquet(str(at["hourly"])).count() == 24 * 25
     daily = spark.read.parquet(str(at["daily"])).collect()

@@ -11,6 +11,7 @@ from gustline.operators.readings import parse_readings
 from gustline.schemas import CSV_SCHEMA, READING_SCHEMA
 from gustline.sources.streams import (
     append_stream,
+    console,
     csv_landing,
     kafka_sink,
     kafka_source,
@@ -128,7 +129,7 @@ def test_tap_copies_bodies(spark, paths):
 def test_tap_to_console_needs_no_checkpoint(spark, paths):
     drop(paths["landing"], "a.csv", [row(0)])
     send(spark, paths)
-    query = run_bounded(tap(spark, text_topic(paths["topic"]), table_sink(paths["tap"], "console")))
+    query = run_bounded(tap(spark, text_topic(paths["topic"]), console()))
     assert query.exception() is None
 
 
