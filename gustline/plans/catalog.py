@@ -257,11 +257,11 @@ def q_invalid_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_append_then_read(spark: SparkSession, folder: str) -> DataFrame:
-    """Two appends to a table partitioned by day, then a scan."""
+    """Two appends to a table, then a scan."""
     path = scratch_path(spark, "append")
     readings = _readings(spark, folder)
     for _ in range(2):
-        append_table(readings, path, partition_by=["signal_date"])
+        append_table(readings, path)
     return _flat_readings(read_table(spark, path, schema=readings.schema))
 
 
@@ -340,10 +340,8 @@ def q_stream_to_hourly(spark: SparkSession, folder: str) -> DataFrame:
     table = scratch_path(spark, "promoted")
     promoted = {f"signal_{name}": key for key, name in FLAT_NAMES.items()}
     topic = text_topic(_topic(spark, folder))
-    writer = ingest(
-        spark, topic, table_sink(table), scratch_path(spark, "promoted-checkpoint"), ["signal_date"], promoted, 4
-    )
-    run_bounded(writer)
+    checkpoint = scratch_path(spark, "promoted-checkpoint")
+    run_bounded(ingest(spark, topic, table_sink(table), checkpoint, ["signal_date"], promoted))
     names = {column: f"avg_{name}" for column, name in zip(promoted, FLAT_NAMES.values(), strict=True)}
     return _rounded(hourly_from_columns(read_table(spark, table), names), 6)
 

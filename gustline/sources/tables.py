@@ -28,9 +28,15 @@ def read_table(
 
 
 def _write(
-    df: DataFrame, path: str, mode: str, format: str, partition_by: Sequence[str], options: Mapping[str, str] | None
+    df: DataFrame,
+    path: str,
+    mode: str,
+    format: str,
+    partition_by: Sequence[str],
+    gather: bool,
+    options: Mapping[str, str] | None,
 ) -> None:
-    if partition_by:
+    if partition_by and gather:
         # One shuffle that gathers a partition's rows into few files; AQE splits a partition that
         # is far larger than the rest (one day with a third of all rows) over several tasks.
         df = df.hint("rebalance", *partition_by)
@@ -45,10 +51,12 @@ def append_table(
     path: str,
     format: str = "parquet",
     partition_by: Sequence[str] = (),
+    gather: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Add rows to a table."""
-    _write(df, path, "append", format, partition_by, options)
+    """Add rows to a table. A partitioned write shuffles once to keep the number of files small; turn
+    ``gather`` off for input whose tasks hold few partition values each, such as rows in time order."""
+    _write(df, path, "append", format, partition_by, gather, options)
 
 
 def replace_table(
@@ -56,11 +64,12 @@ def replace_table(
     path: str,
     format: str = "parquet",
     partition_by: Sequence[str] = (),
+    gather: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> None:
     """Replace a table as a whole. ``df`` must not read from ``path``: for plain file formats the old
     files go before the new rows are computed (see ``check_apart``)."""
-    _write(df, path, "overwrite", format, partition_by, options)
+    _write(df, path, "overwrite", format, partition_by, gather, options)
 
 
 def check_apart(source: str, *targets: str) -> None:

@@ -73,7 +73,8 @@ def ingest(
     The sink is the engine's own, so a replayed batch is not appended twice. ``promoted`` (column ->
     signal key) stores signals as float columns beside the map. ``tasks_per_day`` is for a backlog
     that mixes many days, where each task would otherwise write one small file per day: it adds one
-    shuffle and bounds the files of a day and batch.
+    shuffle and bounds the files of a day and batch. Size it by a day's volume, since days ×
+    ``tasks_per_day`` tasks do the writing.
     """
     readings = parse_readings(open_stream(spark, topic))
     if promoted:

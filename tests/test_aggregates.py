@@ -1,7 +1,10 @@
 """Aggregates, bands and renaming on hand-made rows."""
 
 import datetime as dt
+import random
+from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +82,29 @@ def test_copies_of_readings_change_nothing(readings):
     assert hourly_from_columns(typed, {"power": "p"}).collect() == hourly_from_columns(once, {"power": "p"}).collect()
 
 
+def test_hot_groups_equal_brute_force(spark):
+    """A third of all rows are copies of one reading, another third falls on one day."""
+    chance = random.Random(5)
+    hot = reading("2018-01-02T05:00:00", "123.456")
+    rows = [hot] * 400
+    rows += [reading(f"2018-01-03T{chance.randrange(24):02d}:{chance.randrange(60):02d}:00", str(i / 7)) for i in range(400)]
+    rows += [
+        reading(f"2018-01-{chance.randrange(1, 29):02d}T{chance.randrange(24):02d}:{chance.randrange(60):02d}:00", str(i * 3.1))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "signal_date date, signal_ts timestamp, signals map<string,string>").repartition(8)
+    times, powers = defaultdict(set), defaultdict(list)
+    for day, time, signals in rows:
+        times[day].add(time)
+        powers[day.day, time.hour].append(float(np.float32(signals["ActivePower_kW"])))
+    found = {row.signal_date: row.distinct_signal_count for row in daily_distinct_stored(df).collect()}
+    assert found == {day: len(of_day) for day, of_day in times.items()}
+    averages = by_hour(hourly_from_map(df))
+    assert set(averages) == set(powers)
+    for key, of_hour in powers.items():
+        assert averages[key].avg_ActivePower_kW == pytest.approx(sum(of_hour) / len(of_hour), rel=1e-12)
+
+
 def test_daily_distinct(readings):
     more = readings.unionAll(readings.limit(3))
     assert [tuple(row) for row in daily_distinct_derived(more).collect()] == [

@@ -67,6 +67,13 @@ def test_partitioned_write_gathers_a_day(spark, tmp_path):
     assert sorted(files) == ["day=2018-01-01", "day=2018-01-02", "day=2018-01-03"]
 
 
+def test_partitioned_write_without_gathering_is_narrow(spark, tmp_path):
+    df = spark.range(0, 8, numPartitions=2).select((F.col("id") % 2).alias("side"), "id")
+    append_table(df, str(tmp_path / "t"), partition_by=["side"], gather=False)
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 4
+    assert read_table(spark, str(tmp_path / "t")).count() == 8
+
+
 def test_day_filter_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = days(spark, (1, 1), (2, 2))
