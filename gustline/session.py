@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Mapping
 from functools import cache
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -49,16 +48,9 @@ def _local_scratch_root() -> str:
     return tempfile.mkdtemp(prefix="gustline-")
 
 
-def _configured_root(spark: SparkSession) -> str | None:
-    try:
-        return spark.conf.get(CHECKPOINT_DIR)
-    except PySparkException:
-        return None
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder every executor can reach (``spark.checkpoint.dir``)."""
-    root = _configured_root(spark)
+    root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")

@@ -138,10 +138,12 @@ def test_scratch_folder_comes_from_the_session(spark):
 
 
 def test_no_local_scratch_on_a_cluster(spark, monkeypatch):
-    monkeypatch.setattr(session_module, "_configured_root", lambda _: None)
+    monkeypatch.setattr(session_module, "CHECKPOINT_DIR", "spark.checkpoint.dir.unset")
     assert scratch_path(spark, "x")  # local master
 
     class Cluster:
+        conf = spark.conf
+
         class sparkContext:
             master = "yarn"
 
