@@ -60,14 +60,18 @@ class Spread:
         return (self.high - self.low) / bins
 
     def auto_bins(self) -> int:
-        """Number of bins: the narrower of the Freedman-Diaconis and the Sturges width."""
+        """Number of bins: the narrower of the Freedman-Diaconis and the Sturges width, the former not
+        below half the square-root width, so that a far outlier cannot ask for any number of bins."""
         if self.quartile_range is None:
             raise ValueError("quartiles were not taken")
         if self.rows == 0:
             return 1
-        sturges = (self.high - self.low) / (math.log2(self.rows) + 1)
-        robust = 2 * self.quartile_range / self.rows ** (1 / 3)
-        return max(1, math.ceil((self.high - self.low) / (min(robust, sturges) if robust else sturges)))
+        extent = self.high - self.low
+        width = extent / (math.log2(self.rows) + 1)
+        if self.quartile_range > 0:
+            robust = 2 * self.quartile_range / self.rows ** (1 / 3)
+            width = min(width, max(robust, extent / self.rows**0.5 / 2))
+        return max(1, math.ceil(extent / width))
 
     def bandwidth(self) -> float:
         """Scott's rule for a Gaussian kernel."""

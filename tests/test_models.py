@@ -205,6 +205,13 @@ def test_histogram_takes_its_number_of_bins_from_the_data(spark):
     assert sum(row["rows"] for row in rows) == 1000
 
 
+def test_an_outlier_does_not_multiply_the_bins(spark):
+    numbers = [*np.random.default_rng(4).uniform(size=1000), 1e12]
+    rows = histogram(values(spark, numbers), "x").collect()
+    assert sorted(row["rows"] for row in rows) == [1, 1000]
+    assert max(row.bin for row in rows) < 2 * math.sqrt(1001) + 1
+
+
 def test_histogram_of_few_values(spark):
     assert [row["rows"] for row in histogram(values(spark, [3, 3, 3]), "x", 4).collect()] == [3]
     assert [row["rows"] for row in histogram(values(spark, [3, 3, 3]), "x").collect()] == [3]
