@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from functools import cache, wraps
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import binary, packing
+from gustline.llm import binary, jaccard, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 CAPACITY = 1024
 
 
+@cache
+def _archive() -> str:
+    root = Path(__file__).resolve().parents[2]
+    base = str(Path(tempfile.mkdtemp(prefix="gustline-"), "gustline"))
+    return shutil.make_archive(base, "zip", root, "gustline")
+
+
+def shipped(query: Query) -> Query:
+    """Sends the package to the executors first, so that their Python finds it wherever it runs."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        if not any("gustline" in name for name in spark.sparkContext.listFiles):
+            spark.sparkContext.addPyFile(_archive())
+        return query(spark, folder)
+
+    return run
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -24,6 +47,18 @@ def op2_bit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return binary.round_trip(table(spark, folder, "documents"), tokenizer=path, end_id=2)
 
 
+def op4_log_likelihood_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, score and verdict of all documents; those labelled good are the trusted ones."""
+    docs = table(spark, folder, "documents")
+    trusted = table(spark, folder, "labels").where("quality = 1")
+    return quality.judge(docs, quality.fit(docs, trusted))
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of five-word shingles are similar to 0.8 or more."""
+    return jaccard.groups(table(spark, folder, "documents"))
+
+
 def op9_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,7 +66,7 @@ def op9_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f
-    for f in (op2_bit_packing, op9_harmonic_packing)
+    f.__name__: shipped(f)
+    for f in (op2_bit_packing, op4_log_likelihood_quality, op7_jaccard_join, op9_harmonic_packing)
 }
 ORACLES: dict[str, str] = {}

@@ -1,9 +1,9 @@
-import hashlib
-import re
+import sys
+from pathlib import Path
 
 import pytest
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+sys.path.insert(0, str(Path(__file__).parent))
 
 
 @pytest.fixture
@@ -12,14 +12,6 @@ def rows(spark):
 
     def make(pairs, schema="doc_id long, text string"):
         df = spark.createDataFrame(pairs, schema)
-        return df.selectExpr("*", "1 as n", "'x' as kind", "'s' as source", "2 as start", "3L as h")
+        return df.selectExpr("*", "1 as n", "'x' as kind", "'s' as source", "2 as start", "3L as h", "4 as rep", "true as kept")
 
     return make
-
-
-def words(text):
-    return WORD.findall(text or "")
-
-
-def sha(text):
-    return hashlib.sha256(text.encode()).hexdigest()
