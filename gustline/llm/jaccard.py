@@ -101,7 +101,8 @@ def _prefixes(docs: DataFrame, counts: Broadcast, size: int, percent: int) -> Da
             parts = [prefix(own, counts.value, percent) for own in shingle_sets(words, size)]
             length = np.array([len(x) for x in parts])
             place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            yield np.concatenate(parts), np.repeat(ids[at : at + words.rows], length), place
+            hashes = np.concatenate(parts)
+            yield hashes, np.zeros(len(hashes), np.uint32), np.repeat(ids[at : at + words.rows], length), place
 
     return repeated(docs, emit)
 

@@ -11,7 +11,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import binary, jaccard, packing, quality
+from gustline.llm import binary, jaccard, packing, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,8 +65,13 @@ def op9_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer=path, end_id=0, capacity=CAPACITY)
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the 20-word passages that occur earlier."""
+    return substring.dedup(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
-    for f in (op2_bit_packing, op4_log_likelihood_quality, op7_jaccard_join, op9_harmonic_packing)
+    for f in (op2_bit_packing, op4_log_likelihood_quality, op7_jaccard_join, op9_harmonic_packing, op10_substring_dedup)
 }
 ORACLES: dict[str, str] = {}

@@ -20,7 +20,7 @@ BLOCK = 1 << 20  # entries sorted at once
 SETTLED = 1 << 16  # repeats of a block in one binary row
 RANGES_PER_PARTITION = 4  # hash ranges per shuffle partition; a range is held by a task at once
 
-Entries = tuple[np.ndarray, np.ndarray, np.ndarray]  # hash, document id, position
+Entries = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # hash, further hash bits, document id, position
 Emit = Callable[[pa.RecordBatch], Iterator[Entries]]
 
 
@@ -34,25 +34,39 @@ def from_planes(data: bytes, dtype, count: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, count).T).view(dtype).reshape(count)
 
 
-def _packed(h: np.ndarray, doc: np.ndarray, at: np.ndarray, many: np.ndarray) -> bytes:
+def _packed(h: np.ndarray, more: np.ndarray, doc: np.ndarray, at: np.ndarray, many: np.ndarray) -> bytes:
     least = int(doc.min())
     far = (doc - least).astype(np.uint64)
     head = np.array([len(h), least], np.int64).tobytes()
-    return head + planes(h) + planes(far) + planes(at.astype(np.uint32)) + planes(many.astype(np.uint8))
+    return head + b"".join(planes(x) for x in (h, more.astype(np.uint32), far, at.astype(np.uint32), many.astype(np.uint8)))
 
 
-def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
     n, least = np.frombuffer(data, np.int64, 2).tolist()
-    cut = [16, 16 + 8 * n, 16 + 16 * n, 16 + 20 * n, 16 + 21 * n]
-    h, far, at, many = (data[a:b] for a, b in zip(cut, cut[1:], strict=False))
-    doc = from_planes(far, np.uint64, n).astype(np.int64) + least
-    return from_planes(h, np.uint64, n), doc, from_planes(at, np.uint32, n).astype(np.int64), np.frombuffer(many, bool)
+    found, at = [], 16
+    for kind in (np.uint64, np.uint32, np.uint64, np.uint32, np.uint8):
+        size = n * np.dtype(kind).itemsize
+        found.append(from_planes(data[at : at + size], kind, n))
+        at += size
+    h, more, far, place, many = found
+    return h, more, far.astype(np.int64) + least, place.astype(np.int64), many.astype(bool)
+
+
+def _sorted(parts: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The entries by hash, document and position, and where the least entry of each one's hash is."""
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
+    columns = [x[order] for x in columns]
+    first = np.ones(len(order), bool)
+    first[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+    return columns, np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
 
 
 def repeated(docs: DataFrame, emit: Emit, *, drop_firsts: bool = False) -> DataFrame:
     """Rows (h, doc_id, at) of all entries whose hash more than one entry has.
 
-    With ``drop_firsts`` the least entry of each hash, by document id and position, is left out.
+    With ``drop_firsts`` the least entry of each hash, by document id and position, is left out, with
+    entries of the same id and position; ``h`` is then of no meaning.
     """
     ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -60,24 +74,23 @@ def repeated(docs: DataFrame, emit: Emit, *, drop_firsts: bool = False) -> DataF
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), pa.array(blobs, pa.binary())], ["part", "entries"])
 
     def block(parts: list[Entries], salt: int) -> pa.RecordBatch:
-        h, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((at, doc, h)) if drop_firsts else np.argsort(h, kind="stable")
-        h, doc, at = h[order], doc[order], at[order]
-        first = np.ones(len(h), bool)
-        first[1:] = h[1:] != h[:-1]
+        (h, more, doc, at), least = _sorted(parts)
+        first = least == np.arange(len(least))
+        elsewhere = (doc != doc[least]) | (at != at[least])
         kinds, blobs = [], []
-        again = np.flatnonzero(~first)  # settled here; any task may pass them on
+        again = np.flatnonzero(elsewhere if drop_firsts else ~first)  # settled here; any task may pass them on
         for k, a in enumerate(range(0, len(again), SETTLED)):
             own = again[a : a + SETTLED]
             kinds.append(ranges + (salt + k) % ranges)
-            blobs.append(_packed(h[own], doc[own], at[own], np.ones(len(own), bool)))
+            hidden = np.zeros(len(own), np.uint64) if drop_firsts else h[own]
+            blobs.append(_packed(hidden, np.zeros(len(own), np.uint32), doc[own], at[own], np.ones(len(own), bool)))
         follows = np.append(~first[1:], False)[first]
-        h, doc, at = h[first], doc[first], at[first]
+        h, more, doc, at = (x[first] for x in (h, more, doc, at))
         group = ((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
         found, begin = np.unique(group, return_index=True)
         kinds += found.astype(np.int64).tolist()
         for a, b in zip(begin, [*begin[1:], len(h)], strict=True):
-            blobs.append(_packed(h[a:b], doc[a:b], at[a:b], follows[a:b]))
+            blobs.append(_packed(*(x[a:b] for x in (h, more, doc, at, follows))))
         return batch_of(kinds, blobs)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,16 +108,17 @@ def repeated(docs: DataFrame, emit: Emit, *, drop_firsts: bool = False) -> DataF
 
     def settle(key: tuple, table: pa.Table) -> pa.Table:
         parts = [_unpacked(x.as_py()) for x in table.column("entries")]
-        h, doc, at, many = (np.concatenate(x) for x in zip(*parts, strict=True))
         if key[0].as_py() < ranges:
-            order = np.lexsort((at, doc, h))
-            h, doc, at, many = h[order], doc[order], at[order], many[order]
-            same = h[1:] == h[:-1]
-            keep = np.zeros(len(h), bool) if drop_firsts else many.copy()
-            keep[1:] |= same
-            if not drop_firsts:
-                keep[:-1] |= same
+            (h, _, doc, at, many), least = _sorted(parts)
+            if drop_firsts:
+                keep = (doc != doc[least]) | (at != at[least])
+            else:
+                first = least == np.arange(len(least))
+                keep = many | ~first
+                keep[:-1] |= ~first[1:]
             h, doc, at = h[keep], doc[keep], at[keep]
+        else:
+            h, _, doc, at, _ = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pa.table([pa.array(h.view(np.int64)), pa.array(doc), pa.array(at)], ["h", "doc_id", "at"])
 
     sent = docs.mapInArrow(send, "part long, entries binary")

@@ -23,12 +23,20 @@ from functools import cache
 
 import numpy as np
 
-KEPT = 500_000
-_LONGEST_KEPT = 40
+KEPT = 200_000
+_LONGEST_KEPT = 24
 _MARKS = frozenset(".,;:!?")
 _GAP = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Unsafe(Exception):
     pass
 
@@ -108,6 +116,8 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         if self._drops_space:
+            if _latin(text):  # lower-casing each letter commutes with the other steps here
+                text = text.lower()
             pieces = text.replace("\n", " ").split(" ")
             return np.frombuffer(b"".join(map(self._plain.__getitem__, pieces)), "<u4")
         return np.frombuffer(self._spaced(text), "<u4")
