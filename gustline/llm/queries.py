@@ -10,8 +10,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gustline.llm import binary, jaccard, packing, quality, substring
+from gustline.llm import binary, decontamination, jaccard, packing, quality, secrets, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,11 +55,21 @@ def op4_log_likelihood_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, trusted))
 
 
+def op6_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents. A source is an owner; its documents of one language are a repository."""
+    return secrets.scan(table(spark, folder, "documents"), owner=F.col("source"), repo=F.concat_ws("/", "source", "lang"))
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of five-word shingles are similar to 0.8 or more."""
     return jaccard.groups(table(spark, folder, "documents"))
 
 
+def op8_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of the benchmark in all documents."""
+    return decontamination.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +83,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
-    for f in (op2_bit_packing, op4_log_likelihood_quality, op7_jaccard_join, op9_harmonic_packing, op10_substring_dedup)
+    for f in (op2_bit_packing, op4_log_likelihood_quality, op6_secret_ownership, op7_jaccard_join, op8_spaced_seeds, op9_harmonic_packing, op10_substring_dedup)
 }
 ORACLES: dict[str, str] = {}
