@@ -237,3 +237,19 @@ def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     left = entries.select("h", "rep", "n", "at", "comp")
     right = left.select("h", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "at", "comp")))
     return _filtered(left.join(right, "h").where("rep < rep2 and comp <> comp2"), percent)
+
+
+def keep_one(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The documents with all their columns, one of each group: that with the least id. Of rows with one id
+    any one stays; rows without id stay."""
+    found = stage(groups(docs, size=size, percent=percent), "groups")
+    copies = stage(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    kept = without(docs, copies)
+    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids`` (a staged frame)."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(*docs.columns)

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import binary, decontamination, jaccard, packing, quality, secrets, substring
+from gustline.llm import binary, chat, decontamination, jaccard, licenses, packing, quality, secrets, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,12 +42,70 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# The fields of the tools, the short licence statements and the rules of the queries.
+TOOL_FIELDS = [
+    ("search", "query", "string", True),
+    ("search", "turn", "integer", True),
+    ("count", "n_chars", "integer", True),
+    ("count", "query", "string", False),
+    ("count", "turn", "integer", True),
+    ("translate", "lang", "string", True),
+    ("translate", "query", "string", True),
+]
+LICENSES = [
+    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("mit", "Released under the MIT License."),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
+    ("all-rights-reserved", "All rights reserved."),
+]
+RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def tool_traffic(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results made of a conversation table: each user turn calls a tool with its text, after the
+    user turn before it, and the assistant's next turn is the result."""
+    call_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    before = F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 2).cast("string"))
+    called = F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string"))
+    name = F.element_at(F.array(*map(F.lit, ("search", "count", "translate"))), (F.pmod("conv_id", F.lit(3)) + 1).cast("int"))
+    arguments = F.to_json(F.struct("turn", F.col("text").alias("query"), F.length("text").alias("n_chars")))
+    calls = turns.where("role = 'user'").select(
+        "conv_id", call_id.alias("call_id"), F.when(F.col("turn") >= 2, before).alias("parent_id"), name.alias("name"), arguments.alias("arguments")
+    )
+    results = turns.where("role = 'assistant'").select("conv_id", called.alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+def op1_tool_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """Tool calls made of all turns of all conversations, linked, levelled, validated and serialised."""
+    calls, results = tool_traffic(table(spark, folder, "conversations"))
+    schemas = spark.createDataFrame(TOOL_FIELDS, "name string, field string, kind string, required boolean")
+    return chat.link(calls, results, schemas)
+
+
 def op2_bit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents, written bit-packed in id order and read back."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return binary.round_trip(table(spark, folder, "documents"), tokenizer=path, end_id=2)
 
 
+def op3_license_inheritance(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences of all documents. The table has no paths, so a document lies in source/lang/(hundreds of its
+    id); one of under 1,000 characters stands for a licence file of its directory."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select("doc_id", path.alias("path"), "text", (F.col("n_chars") < 1000).alias("is_license"))
+    templates = spark.createDataFrame(LICENSES, "license string, text string")
+    return licenses.scan(files, templates, extra=["doc_id"])
+
+
 def op4_log_likelihood_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, score and verdict of all documents; those labelled good are the trusted ones."""
     docs = table(spark, folder, "documents")
@@ -55,6 +113,12 @@ def op4_log_likelihood_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, trusted))
 
 
+def op5_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages."""
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, folder, "pages"), rules)
+
+
 def op6_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents. A source is an owner; its documents of one language are a repository."""
     return secrets.scan(table(spark, folder, "documents"), owner=F.col("source"), repo=F.concat_ws("/", "source", "lang"))
@@ -81,8 +145,27 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.dedup(table(spark, folder, "documents"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages of the corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
-    for f in (op2_bit_packing, op4_log_likelihood_quality, op6_secret_ownership, op7_jaccard_join, op8_spaced_seeds, op9_harmonic_packing, op10_substring_dedup)
+    for f in (
+        op1_tool_linking,
+        op2_bit_packing,
+        op3_license_inheritance,
+        op4_log_likelihood_quality,
+        op5_redirect_equivalence,
+        op6_secret_ownership,
+        op7_jaccard_join,
+        op8_spaced_seeds,
+        op9_harmonic_packing,
+        op10_substring_dedup,
+        pipeline,
+    )
 }
 ORACLES: dict[str, str] = {}
