@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # digits, so "01 02 2018 00:00" and "1 2 2018 0:00" are the same instant.
 TIME_PATTERN = "d M yyyy H:mm"
 DATE_PATTERN = "d M yyyy"
+LEADING_TIME = r"^[0-9]{1,2} [0-9]{1,2} [0-9]{4} [0-9]{1,2}:[0-9]{2}(?![0-9])"
 
 
 def quoted(name: str) -> str:
@@ -20,7 +21,8 @@ def quoted(name: str) -> str:
 
 def reading_time(text: Column) -> Column:
     """Timestamp of a reading, NULL for bad text; anything after the minutes is ignored."""
-    return F.try_to_timestamp(F.substring_index(text, ":", 2), F.lit(TIME_PATTERN))
+    leading = F.regexp_extract(text, LEADING_TIME, 0)
+    return F.try_to_timestamp(F.when(leading != "", leading), F.lit(TIME_PATTERN))
 
 
 def reading_date(text: Column) -> Column:

@@ -1,6 +1,8 @@
 """Evaluation of predictions: metrics, residuals and the data behind their plots.
 
-Results are bounded by bins or grid points, never by rows, so any plotting tool can take them.
+Results are bounded by bins or grid points, so any plotting tool can take them. Only the automatic
+number of bins follows the rows, up to about twice their square root. NaN has no place on an axis: rows
+with it are left out of histograms, densities and joint counts, as are NULLs.
 """
 
 from __future__ import annotations
@@ -102,10 +104,16 @@ def spread(df: DataFrame, column: str, quartiles: bool = False) -> Spread:
     return Spread(row["rows"], low, high, float(row["deviation"] or 0.0), between)
 
 
+def _numbers(df: DataFrame, *columns: str) -> DataFrame:
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull() & ~F.isnan(column))
+    return df
+
+
 def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
-    """Fixed-width histogram: bin, its edges, rows in it (empty bins have no row). Without ``bins``
-    their number follows from the data."""
-    known = df.filter(F.col(column).isNotNull())
+    """Fixed-width histogram: bin, its edges, rows in it (0 for an empty bin). Without ``bins`` their
+    number follows from the data. No rows, no bins."""
+    known = _numbers(df, column)
     stats = spread(known, column, quartiles=bins is None)
     bins = bins or stats.auto_bins()
     width = stats.width(bins)
@@ -113,11 +121,12 @@ def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("rows")
     )
     number = F.col("bin")
-    return counts.select(
+    every = df.sparkSession.range(bins if stats.rows else 0).select(F.col("id").cast("int").alias("bin"))
+    return every.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         bin_edge(number, stats.low, width).alias("low"),
         bin_edge(number + F.lit(1), stats.low, width).alias("high"),
-        "rows",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
     )
 
 
@@ -134,7 +143,7 @@ def density(
     Rows are first reduced to at most ``cells`` cells (count and mean of each) with map-side partials;
     the kernel runs per cell and grid point, so its cost does not grow with the rows.
     """
-    known = df.filter(F.col(column).isNotNull())
+    known = _numbers(df, column)
     stats = spread(known, column)
     bandwidth = stats.bandwidth()
     spark = df.sparkSession
@@ -161,7 +170,7 @@ def joint_counts(
 ) -> DataFrame:
     """Actual against prediction as counts of square cells on one common scale, with the end of the
     y = x line (the largest actual value)."""
-    known = scored.filter(F.col(actual).isNotNull() & F.col(prediction).isNotNull())
+    known = _numbers(scored, actual, prediction)
     row = known.agg(
         F.least(F.min(actual), F.min(prediction)).alias("low"),
         F.greatest(F.max(actual), F.max(prediction)).alias("high"),

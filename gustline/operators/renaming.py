@@ -7,23 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A mapping above this many rows is joined by a salted shuffle instead of a broadcast.
-BROADCAST_ROWS = 10_000
-SALTS = 16
+def one_pair_per_name(mapping: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The pairs about ``names``, one for each: that with the least new name. The rule does not depend on
+    the order or partitioning of the mapping."""
+    relevant = mapping.filter(F.col("sig_name").isin(list(names)) & F.col("sig_mapping_name").isNotNull())
+    return relevant.groupBy("sig_name").agg(F.min("sig_mapping_name").alias("sig_mapping_name"))
 
 
 def rename_columns(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """Rename the columns of ``df`` that the mapping knows; other columns and other mapping rows are
-    left alone. The first pair for a name counts.
+    left alone. Of several pairs for a name the one with the least new name counts.
 
-    Only pairs about existing columns reach the driver, so what is collected is bounded by the
-    width of the frame and not by the mapping.
+    The pairs are aggregated to one per existing column before they reach the driver, so what is
+    collected is bounded by the width of the frame and not by the mapping.
     """
-    relevant = mapping.filter(F.col("sig_name").isin(df.columns) & F.col("sig_mapping_name").isNotNull())
-    names: dict[str, str] = {}
-    for pair in relevant.collect():
-        names.setdefault(pair["sig_name"], pair["sig_mapping_name"])
-    return df.withColumnsRenamed(names)
+    pairs = one_pair_per_name(mapping, df.columns).collect()
+    return df.withColumnsRenamed({pair["sig_name"]: pair["sig_mapping_name"] for pair in pairs})
 
 
 def long_form(df: DataFrame, ids: Sequence[str], name: str = "sig_name", value: str = "value") -> DataFrame:
@@ -35,19 +34,10 @@ def long_form(df: DataFrame, ids: Sequence[str], name: str = "sig_name", value:
 def map_names(long: DataFrame, mapping: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Resolve ``sig_name`` of long-form rows by joining the mapping; unknown names stay.
 
-    ``names`` are the names that can occur, so the mapping is cut to them first. It is broadcast
-    after its size is checked. A larger one (many pairs per name) is joined by shuffle; since the
-    few names would make a few huge partitions, the long side is salted by its ids and the mapping
-    repeated once per salt.
+    ``names`` are the names that can occur. The mapping is cut to them and to one pair each (the rule of
+    ``rename_columns``), so what is broadcast has at most as many rows as there are names.
     """
-    pairs = mapping.filter(F.col("sig_name").isin(list(names)))
-    if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        joined = long.join(F.broadcast(pairs), "sig_name", "left")
-    else:
-        salt = F.pmod(F.xxhash64(*ids), F.lit(SALTS)).cast("int")
-        every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        joined = long.withColumn("salt", salt).join(
-            pairs.withColumn("salt", every_salt), ["sig_name", "salt"], "left"
-        )
+    pairs = F.broadcast(one_pair_per_name(mapping, names))
+    joined = long.join(pairs, "sig_name", "left")
     resolved = F.coalesce("sig_mapping_name", "sig_name").alias("sig_mapping_name")
     return joined.select(*ids, resolved, "value")

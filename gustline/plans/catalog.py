@@ -8,6 +8,7 @@ the order of a distributed sum is free; maps and vectors are flattened so that t
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Mapping
 
 from pyspark.ml.functions import vector_to_array
@@ -357,6 +358,49 @@ def q_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     return batch_sizes(read_table(spark, table, schema=READING_SCHEMA)).select("batch_rows", "total_rows")
 
 
+def q_repeated_streams(spark: SparkSession, folder: str) -> DataFrame:
+    """Two ingestions with checkpoints of their own into one table, then a batch append to it."""
+    topic, table = scratch_path(spark, "shared-topic"), scratch_path(spark, "shared-readings")
+    landing = csv_landing(_landed(spark, folder))
+    run_bounded(publish(spark, landing, text_topic(topic), scratch_path(spark, "shared-sent")))
+    for number in range(2):
+        run_bounded(ingest(spark, text_topic(topic), table_sink(table), scratch_path(spark, f"shared-stored-{number}")))
+    append_table(parse_readings(read_table(spark, topic, "text")), table)
+    return _flat_readings(read_table(spark, table, schema=READING_SCHEMA))
+
+
+def q_trailing_time_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Text behind the minutes does not matter to the time."""
+    rows = rows_from_events(events(spark, folder), "event_id")
+    tail = F.element_at(F.array(*map(F.lit, ("", " abc", "abc", " PM", ":59"))), (F.col("event_id") % 5 + 1).cast("int"))
+    rows = rows.withColumn(TIME_FIELD, F.concat(F.col(quoted(TIME_FIELD)), tail))
+    messages = rows.select("event_id", F.to_json(F.struct(F.col(quoted(TIME_FIELD)))).alias("value"))
+    return parse_readings(messages, "event_id").select(
+        "event_id", "signal_date", F.col("signal_ts").cast("timestamp_ntz").alias("signal_ts")
+    )
+
+
+def q_old_landing_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the landing files arrive after a first run, dated forty days back."""
+    landing, path, checkpoint = (scratch_path(spark, name) for name in ("late-landing", "late-rows", "late-checkpoint"))
+    whole = _landed(spark, folder)
+    lines = spark.read.option("header", "true").csv(whole)
+    names = lines.columns
+    for number in range(2):
+        part = lines.filter(F.pmod(F.xxhash64(quoted(names[0])), F.lit(2)) == number)
+        part.write.mode("append").option("header", "true").csv(landing)
+        if number:
+            location = spark._jvm.org.apache.hadoop.fs.Path(landing)
+            files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+            forty_days_ago = int((time.time() - 40 * 86400) * 1000)
+            for file in files.listStatus(location):
+                files.setTimes(file.getPath(), forty_days_ago, -1)
+        rows = open_stream(spark, csv_landing(landing))
+        named = rows.withColumnsRenamed(dict(zip(rows.columns, ("time_text", *FLAT_NAMES.values()), strict=True)))
+        run_bounded(append_stream(named, table_sink(path), checkpoint))
+    return _rounded(read_table(spark, path, schema=named.schema), 6)
+
+
 # --- features and models -----------------------------------------------------------------------
 
 
@@ -471,22 +515,24 @@ def q_actual_vs_predicted_bins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows scored by both models over the default features, stored once."""
     hourly = _stored_hourly(spark, folder)
     train, test = keyed_split(hourly, hour_key())
-    models = {
-        "linear": fit_flow(hourly, train, linear()),
-        "tree": fit_flow(hourly, train, tree(max_depth=DEEPEST), ["hour"]),
-    }
-    return side_by_side(test, models, IDS)
+    models = {"linear": fit_flow(hourly, train, linear()), "tree": fit_flow(hourly, train, tree())}
+    return stage(side_by_side(test, models, IDS), "compared")
 
 
 def q_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(metrics(_compared(spark, folder), "actual", by=["model"]), 4)
 
 
+def _tree_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return with_residual(_compared(spark, folder), "actual").filter(F.col("model") == "tree")
+
+
 def q_model_comparison_residuals(spark: SparkSession, folder: str) -> DataFrame:
     """Residual histogram of each model on the same test rows."""
-    scored = with_residual(stage(_compared(spark, folder), "compared"), "actual")
+    scored = with_residual(_compared(spark, folder), "actual")
     linear_part, tree_part = (
         histogram(scored.filter(F.col("model") == name), "residual", HISTOGRAM_BINS).withColumn("model", F.lit(name))
         for name in ("linear", "tree")
@@ -494,6 +540,18 @@ def q_model_comparison_residuals(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(linear_part.unionByName(tree_part), 4)
 
 
+def q_model_comparison_density(spark: SparkSession, folder: str) -> DataFrame:
+    """Residual density of the tree (that of the linear model is ``residual_density``)."""
+    curve = density(_tree_rows(spark, folder), "residual", CURVE_POINTS, CURVE_CELLS)
+    return _rounded(curve.withColumn("model", F.lit("tree")), 6)
+
+
+def q_model_comparison_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """Actual against predicted of the tree (those of the linear model are ``actual_vs_predicted_bins``)."""
+    cells = joint_counts(_tree_rows(spark, folder), "actual", bins=JOINT_BINS)
+    return _rounded(cells.withColumn("model", F.lit("tree")), 4)
+
+
 QUERIES: Mapping[str, Query] = {
     name.removeprefix("q_"): function for name, function in list(globals().items()) if name.startswith("q_")
 }

@@ -62,7 +62,7 @@ def banded_rows(typed: DataFrame, mapping: DataFrame | None = None) -> DataFrame
 def analyse(spark: SparkSession, readings_path: str, hourly_path: str, daily_path: str, format: str = "parquet") -> None:
     """Daily counts and the hourly table, each computed once and written as a full replacement."""
     check_apart(readings_path, hourly_path, daily_path)
-    readings = read_table(spark, readings_path, format, READING_SCHEMA if format == "parquet" else None)
+    readings = read_table(spark, readings_path, format, READING_SCHEMA if format != "delta" else None)
     replace_table(daily_distinct_stored(readings), daily_path, format)
     replace_table(hourly_status(readings), hourly_path, format)
 
@@ -113,5 +113,5 @@ def train(hourly: DataFrame, day: dt.date) -> Training:
 
 
 def train_from_table(spark: SparkSession, hourly_path: str, day: dt.date, format: str = "parquet") -> Training:
-    schema = HOURLY_SCHEMA if format == "parquet" else None
+    schema = HOURLY_SCHEMA if format != "delta" else None
     return train(read_table(spark, hourly_path, format, schema), day)

@@ -187,7 +187,7 @@ def _tree() -> str:
         ]
     steps += [
         f"leaves AS (SELECT node, avg(power) AS prediction FROM rows_at_{TREE_DEPTH} WHERE is_train GROUP BY 1)",
-        "grown_scored AS (SELECT signal_date, hour, power AS actual, prediction "
+        "grown_scored AS (SELECT signal_date, hour, power AS actual, prediction, power - prediction AS residual "
         f"FROM rows_at_{TREE_DEPTH} JOIN leaves USING (node) WHERE NOT is_train)",
     ]
     return ", ".join(steps)
@@ -207,45 +207,45 @@ _METRICS = "count(*) AS rows, " + _cuts(
 def _histogram(source: str, bins: int, extra: str = "") -> str:
     place = f"LEAST(CAST(floor((residual - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1})"
     return (
-        f"SELECT bin, {_cut(f'lo + bin * (hi - lo) / {bins}', 4)} AS low, "
-        f"{_cut(f'lo + (bin + 1) * (hi - lo) / {bins}', 4)} AS high, count(*) AS rows{extra} "
-        f"FROM (SELECT {place} AS bin, lo, hi FROM {source}, "
-        f"(SELECT min(residual) AS lo, max(residual) AS hi FROM {source})) GROUP BY bin, lo, hi"
+        f"SELECT CAST(g AS INTEGER) AS bin, {_cut(f'lo + g * (hi - lo) / {bins}', 4)} AS low, "
+        f"{_cut(f'lo + (g + 1) * (hi - lo) / {bins}', 4)} AS high, "
+        f"(SELECT count(*) FROM {source} WHERE {place} = g) AS rows{extra} "
+        f"FROM range({bins}) t(g), (SELECT min(residual) AS lo, max(residual) AS hi FROM {source})"
     )
 
 
-def _density() -> str:
+def _density(model: str = "", source: str = "scored", extra: str = "") -> str:
     cells, points = CURVE_CELLS, CURVE_POINTS
     curve = "sum(weight * exp(-0.5 * power((x - centre) / bw, 2)) / sqrt(2 * pi())) / any_value(n * bw)"
     return (
-        _MODEL
+        (model or _MODEL)
         + ", stats AS (SELECT min(residual) AS lo, max(residual) AS hi, count(*) AS n, "
-        "stddev_samp(residual) * power(count(*), -0.2) AS bw FROM scored), "
-        f"cells AS (SELECT LEAST(CAST(floor((residual - lo) / ((hi - lo) / {cells})) AS INTEGER), {cells - 1}) AS cell, "
-        "count(*) AS weight, avg(residual) AS centre FROM scored, stats GROUP BY 1), "
+        f"stddev_samp(residual) * power(count(*), -0.2) AS bw FROM {source}), "
+        f"dense AS (SELECT LEAST(CAST(floor((residual - lo) / ((hi - lo) / {cells})) AS INTEGER), {cells - 1}) AS cell, "
+        f"count(*) AS weight, avg(residual) AS centre FROM {source}, stats GROUP BY 1), "
         f"grid AS (SELECT CAST(g AS INTEGER) AS point, lo + g * ((hi - lo) / {points - 1}) AS x, n, bw "
         f"FROM stats, range({points}) t(g)) "
-        f"SELECT point, {_cut('x', 6)} AS x, {_cut(curve, 6)} AS density "
-        "FROM grid, cells GROUP BY point, x"
+        f"SELECT point, {_cut('x', 6)} AS x, {_cut(curve, 6)} AS density{extra} "
+        "FROM grid, dense GROUP BY point, x"
     )
 
 
-def _joint() -> str:
+def _joint(model: str = "", source: str = "scored", extra: str = "") -> str:
     bins = JOINT_BINS
 
     def place(column: str) -> str:
         return f"GREATEST(LEAST(CAST(floor(({column} - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1}), 0)"
 
     return (
-        _MODEL
+        (model or _MODEL)
         + ", stats AS (SELECT LEAST(min(actual), min(prediction)) AS lo, "
-        "GREATEST(max(actual), max(prediction)) AS hi, max(actual) AS line_end FROM scored), "
+        f"GREATEST(max(actual), max(prediction)) AS hi, max(actual) AS line_end FROM {source}), "
         f"placed AS (SELECT {place('actual')} AS actual_bin, {place('prediction')} AS prediction_bin, "
-        "lo, hi, line_end FROM scored, stats) "
+        f"lo, hi, line_end FROM {source}, stats) "
         "SELECT actual_bin, prediction_bin, "
         f"{_cut(f'lo + actual_bin * (hi - lo) / {bins}', 4)} AS actual_low, "
         f"{_cut(f'lo + prediction_bin * (hi - lo) / {bins}', 4)} AS prediction_low, "
-        f"count(*) AS rows, {_cut('line_end', 4)} AS line_end FROM placed "
+        f"count(*) AS rows, {_cut('line_end', 4)} AS line_end{extra} FROM placed "
         "GROUP BY actual_bin, prediction_bin, lo, hi, line_end"
     )
 
@@ -274,6 +274,9 @@ _SCORES = (
     f"SELECT signal_date, hour, {_cuts({'actual': 'active_power_average', 'prediction': 'prediction'}, 4)} FROM "
 )
 
+_LANDED_ROWS_ONLY = f"SELECT * FROM ({_LANDED_ROWS})"
+_BOTH = _MODEL.rstrip() + ", " + _tree()
+
 ORACLES: Mapping[str, str] = {
     "hourly_status": _S + _STATUS_ROWS,
     "daily_distinct_derived": "SELECT CAST(ts AS DATE) AS date, count(DISTINCT ts) AS distinct_datapoints "
@@ -361,15 +364,16 @@ ORACLES: Mapping[str, str] = {
     "residual_histogram": _MODEL + _histogram("scored", HISTOGRAM_BINS),
     "residual_density": _density(),
     "actual_vs_predicted_bins": _joint(),
-    "model_comparison": _MODEL.rstrip()
-    + ", "
-    + _HOUR_MEANS
-    + f" SELECT 'linear' AS model, {_METRICS} FROM scored UNION ALL SELECT 'tree', {_METRICS} FROM tree_scored",
-    "model_comparison_residuals": _MODEL.rstrip()
-    + ", "
-    + _HOUR_MEANS
+    "model_comparison": _BOTH
+    + f" SELECT 'linear' AS model, {_METRICS} FROM scored UNION ALL SELECT 'tree', {_METRICS} FROM grown_scored",
+    "model_comparison_residuals": _BOTH
     + " "
     + _histogram("scored", HISTOGRAM_BINS, ", 'linear' AS model")
     + " UNION ALL "
-    + _histogram("tree_scored", HISTOGRAM_BINS, ", 'tree' AS model"),
+    + _histogram("grown_scored", HISTOGRAM_BINS, ", 'tree' AS model"),
+    "model_comparison_density": _density(_BOTH, "grown_scored", ", 'tree' AS model"),
+    "model_comparison_bins": _joint(_BOTH, "grown_scored", ", 'tree' AS model"),
+    "repeated_streams": " UNION ALL ".join([_LANDED_ROWS_ONLY] * 3),
+    "trailing_time_text": _R + f"SELECT event_id, signal_date, {_MINUTES} AS signal_ts FROM readings",
+    "old_landing_files": _R + f"SELECT {_TIME_TEXT}, {_LANDED} FROM readings",
 }

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -16,6 +18,14 @@ from gustline.schemas import CSV_SCHEMA, TOPIC_SCHEMA
 # batches that commit one by one, so a lost driver repeats one of them and not the whole backlog.
 BATCH_BYTES = 1 << 40
 
+# A file is read whatever its modification time: the file source would by default skip files older than
+# the newest by a week. The price: the driver remembers the path of every file seen in this span, so
+# give a smaller ``maxFileAge`` where old files never arrive late.
+MAX_FILE_AGE = "36500d"
+
+# File formats without a log of their own; batches are moved into their folders file by file.
+PLAIN_FORMATS = frozenset({"parquet", "orc", "json", "csv", "text"})
+
 
 @dataclass(frozen=True)
 class Endpoint:
@@ -27,8 +37,13 @@ class Endpoint:
 
 
 def _files(format: str, schema: T.StructType, options: Mapping[str, str]) -> Endpoint:
-    limited = {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options)
-    return Endpoint(format, options if limited else {"maxBytesPerTrigger": str(BATCH_BYTES)} | options, schema)
+    given = {name.lower() for name in options}  # option names are not case-sensitive
+    defaults = {}
+    if not given & {"maxfilespertrigger", "maxbytespertrigger"}:
+        defaults["maxBytesPerTrigger"] = str(BATCH_BYTES)
+    if "maxfileage" not in given:
+        defaults["maxFileAge"] = MAX_FILE_AGE
+    return Endpoint(format, defaults | options, schema)
 
 
 def csv_landing(path: str, **options: str) -> Endpoint:
@@ -57,7 +72,7 @@ def kafka_sink(servers: str, topic: str, **options: str) -> Endpoint:
 
 
 def table_sink(path: str, format: str = "parquet", **options: str) -> Endpoint:
-    """Table directory appended to by the engine's own sink, which records every batch it commits."""
+    """Table directory. Formats with a log of their own use their own sink; see ``append_stream``."""
     return Endpoint(format, {"path": path} | options)
 
 
@@ -77,10 +92,105 @@ def open_stream(spark: SparkSession, source: Endpoint) -> DataFrame:
 def append_stream(
     df: DataFrame, sink: Endpoint, checkpoint: str | None = None, partition_by: Sequence[str] = ()
 ) -> DataStreamWriter:
-    """Writer that appends a stream to a sink; the checkpoint makes it resume where it stopped."""
+    """Writer that appends a stream to a sink; the checkpoint makes it resume where it stopped.
+
+    A folder of a plain file format takes batches of any number of checkpoints and of batch writes: each
+    batch is written aside and its files are moved in under names that carry the checkpoint's identity
+    and the batch, after those of an earlier attempt at the same batch are removed. Readers need no log.
+    """
+    if sink.format in PLAIN_FORMATS:
+        return _plain_writer(df, sink, checkpoint, partition_by)
     writer = df.writeStream.format(sink.format).options(**sink.options).outputMode("append")
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer
+
+
+def _plain_writer(df: DataFrame, sink: Endpoint, checkpoint: str | None, partition_by: Sequence[str]) -> DataStreamWriter:
+    if checkpoint is None:
+        raise ValueError("a stream into files needs a checkpoint")
+    folder = sink.options["path"]
+    options = {name: value for name, value in sink.options.items() if name != "path"}
+    refuse_sink_log(df.sparkSession, folder)
+    identity = _identity(df.sparkSession, checkpoint)
+    counts: dict[int, int] = {}
+
+    def publish(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        seen = Observation()
+        name = f"{identity}-{number:012d}"
+        aside = f"{folder.rstrip('/')}/_staging-{name}"
+        rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+        writer = rows.write.format(sink.format).mode("overwrite").options(**options)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(aside)
+        _move_in(spark, aside, folder, name, f"{checkpoint.rstrip('/')}/published/{number:012d}")
+        counts[number] = seen.get["rows"]
+
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(publish)
+    writer.batch_rows = counts
+    return writer
+
+
+def _located(spark: SparkSession, path: str):
+    """Hadoop path and its file system."""
+    jvm = spark._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def refuse_sink_log(spark: SparkSession, folder: str) -> None:
+    """A folder with the log of the engine's file sink is read by that log alone; nothing else may be added."""
+    location, files = _located(spark, f"{folder.rstrip('/')}/_spark_metadata")
+    if files.exists(location):
+        raise ValueError(f"{folder} has the log of a streaming file sink; rewrite it as a plain table first")
+
+
+def _read_text(files, location) -> str:
+    stream = files.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _write_text(files, location, text: str) -> None:
+    stream = files.create(location, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the ingestion, kept with its checkpoint."""
+    location, files = _located(spark, f"{checkpoint.rstrip('/')}/ingestion")
+    if not files.exists(location):
+        _write_text(files, location, uuid.uuid4().hex)
+    return _read_text(files, location).strip()
+
+
+def _move_in(spark: SparkSession, aside: str, folder: str, name: str, record: str) -> None:
+    """Move the files of a batch into the folder. The record lists them before the first move, so that
+    a repeated attempt removes what an interrupted one left."""
+    source, files = _located(spark, aside)
+    noted, notes = _located(spark, record)
+    if notes.exists(noted):
+        for old in filter(None, _read_text(notes, noted).split("\n")):
+            files.delete(_located(spark, old)[0], False)
+    base, moves = source.toUri().getPath(), []
+    found = files.listFiles(source, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        inner = files.makeQualified(file).toUri().getPath().split(base.rstrip("/") + "/", 1)[1]
+        above, _, own = inner.rpartition("/")
+        if not own.startswith(("_", ".")):
+            moves.append((file, "/".join(filter(None, (folder.rstrip("/"), above, f"part-{name}-{own}")))))
+    _write_text(notes, noted, "\n".join(target for _, target in moves))
+    for file, target in moves:
+        location = _located(spark, target)[0]
+        files.mkdirs(location.getParent())
+        if not files.rename(file, location):
+            raise OSError(f"cannot move {file} to {target}")
+    files.delete(source, True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustline.schemas import MAPPING_SCHEMA, REPORT_SCHEMA
+from gustline.sources.streams import PLAIN_FORMATS, refuse_sink_log
 
 
 def read_table(
@@ -36,6 +37,8 @@ def _write(
     gather: bool,
     options: Mapping[str, str] | None,
 ) -> None:
+    if format in PLAIN_FORMATS:
+        refuse_sink_log(df.sparkSession, path)
     if partition_by and gather:
         # One shuffle that gathers a partition's rows into few files; AQE splits a partition that
         # is far larger than the rest (one day with a third of all rows) over several tasks.
@@ -72,9 +75,16 @@ def replace_table(
     _write(df, path, "overwrite", format, partition_by, gather, options)
 
 
+def _qualified(path: str) -> str:
+    """Path with scheme and absolute place, as the file system knows it."""
+    spark = SparkSession.active()
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location).toString().rstrip("/") + "/"
+
+
 def check_apart(source: str, *targets: str) -> None:
     """Refuse targets that are, hold or lie in the source table or another target."""
-    paths = [path.rstrip("/") + "/" for path in (source, *targets)]
+    paths = [_qualified(path) for path in (source, *targets)]
     for i, one in enumerate(paths):
         for other in paths[i + 1 :]:
             if one.startswith(other) or other.startswith(one):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from gustline.operators.readings import parse_readings, promote_signals, raw_tex
 from gustline.sources.streams import Endpoint, append_stream, open_stream
 
 BATCH = "batch"
+POLL = 0.2  # seconds between looks at the progress; the engine keeps the last 100 updates
 
 
 def counted(df: DataFrame) -> DataFrame:
@@ -19,27 +21,51 @@ def counted(df: DataFrame) -> DataFrame:
     return df.observe(BATCH, F.count(F.lit(1)).alias("rows"))
 
 
-def run_bounded(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:
-    """Process what is there now, in as many batches as the source's limits ask for, then stop; a
-    run that takes longer than ``timeout`` seconds is stopped and resumes from its checkpoint."""
-    query = writer.trigger(availableNow=True).start()
-    if timeout is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout):
-        query.stop()
+def run_bounded(writer: DataStreamWriter, timeout: int | None = None, every: str | None = None) -> StreamingQuery:
+    """Run a query to its end or for at most ``timeout`` seconds; it resumes from its checkpoint.
+
+    By default it processes what is there now, in as many batches as the source's limits ask for. With a
+    trigger interval ``every`` (such as "10 seconds") it keeps looking for new input until the timeout.
+    Counts of batches are gathered while it runs, so none are lost however many there are.
+    """
+    if every is not None and timeout is None:
+        raise ValueError("a query with a trigger interval needs a timeout")
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    query = writer.start()
+    counts = getattr(writer, "batch_rows", None)
+    folded: dict[int, int] = {} if counts is None else counts
+    end = None if timeout is None else time.monotonic() + timeout
+    while True:
+        done = query.awaitTermination(POLL if end is None else max(0.01, min(POLL, end - time.monotonic())))
+        if counts is None:
+            folded |= _recent(query)
+        if done:
+            break
+        if end is not None and time.monotonic() >= end:
+            query.stop()
+            break
+    query.batch_rows = folded
     return query
 
 
-def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch, rows) of the recent batches of a query. For totals over a table's whole life use
-    ``batch_sizes`` on the table."""
+def _recent(query: StreamingQuery) -> dict[int, int]:
     counts: dict[int, int] = {}
     for progress in query.recentProgress:
         observed = progress.observedMetrics.get(BATCH)
-        rows = observed["rows"] if observed is not None else progress.numInputRows
-        if rows:
-            counts[progress.batchId] = rows
-    return sorted(counts.items())
+        counts[progress.batchId] = observed["rows"] if observed is not None else progress.numInputRows
+    return counts
+
+
+def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
+    """(batch, rows) of all batches of a run that had rows. For totals over a table's whole life use
+    ``batch_sizes`` on the table."""
+    counts = getattr(query, "batch_rows", None)
+    return sorted((k, n) for k, n in (_recent(query) if counts is None else counts).items() if n)
+
+
+def total_rows(query: StreamingQuery) -> int:
+    """Rows of a whole run."""
+    return sum(n for _, n in batch_counts(query))
 
 
 def publish(spark: SparkSession, rows: Endpoint, topic: Endpoint, checkpoint: str) -> DataStreamWriter:
@@ -70,7 +96,7 @@ def ingest(
 ) -> DataStreamWriter:
     """Messages to the reading table. The stream is narrow from source to sink: no shuffle, no state.
 
-    The sink is the engine's own, so a replayed batch is not appended twice. ``promoted`` (column ->
+    A replayed batch is not appended twice (see ``append_stream``). ``promoted`` (column ->
     signal key) stores signals as float columns beside the map. ``tasks_per_day`` is for a backlog
     that mixes many days, where each task would otherwise write one small file per day: it adds one
     shuffle and bounds the files of a day and batch. Size it by a day's volume, since days ×

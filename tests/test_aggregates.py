@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gustline.functions.bands import band
-from gustline.operators import renaming
 from gustline.operators.aggregates import (
     daily_distinct_derived,
     daily_distinct_stored,
@@ -19,7 +18,7 @@ from gustline.operators.aggregates import (
     with_band,
 )
 from gustline.operators.readings import promote_signals
-from gustline.operators.renaming import long_form, map_names, rename_columns
+from gustline.operators.renaming import long_form, map_names, one_pair_per_name, rename_columns
 from gustline.plans.flows import hourly_status
 from gustline.schemas import HOURLY_MAPPING, HOURLY_SCHEMA, ROW_MAPPING, SIGNAL_KEYS, TYPED_AVERAGES
 from gustline.sources.tables import mapping_relation, mapping_view
@@ -208,12 +207,16 @@ def test_unknown_names_stay(spark, readings):
     assert names == {"active_power_average", *(f"avg_{key}" for key in SIGNAL_KEYS[1:])}
 
 
-def test_large_mapping_is_joined_without_broadcast_hint(spark, readings, monkeypatch):
+def test_contradicting_pairs_follow_one_rule(spark, readings):
     averages = hourly_from_map(readings)
-    mapping = mapping_relation(spark, HOURLY_MAPPING)
-    long = long_form(averages, IDS)
-    small = map_names(long, mapping, IDS, averages.columns)
-    monkeypatch.setattr(renaming, "BROADCAST_ROWS", 2)
-    large = map_names(long, mapping, IDS, averages.columns)
-    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
-    assert "salt" in large._jdf.queryExecution().toString()
+    extra = spark.range(100_000).selectExpr("'hour' as sig_name", "concat('z', id) as sig_mapping_name")
+    mapping = mapping_relation(spark, [*HOURLY_MAPPING, ("hour", "a")]).unionByName(extra)
+    for parts in (1, 7):
+        spread = mapping.repartition(parts)
+        assert one_pair_per_name(spread, averages.columns).count() == len(HOURLY_MAPPING[:4]) + 1
+        assert "a" in rename_columns(averages, spread).columns
+    long = long_form(averages.withColumn("power", F.lit(1.0)), IDS)
+    many = mapping_relation(spark, [("power", "p2"), ("power", "p1"), ("power", None)])
+    joined = map_names(long, many, IDS, ["power"])
+    assert joined.count() == long.count()
+    assert joined.filter("sig_mapping_name = 'p1'").count() == averages.count()

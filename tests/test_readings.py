@@ -82,6 +82,9 @@ def test_missing_fields_are_null(spark):
         ("01 02 2018 00:00", dt.date(2018, 2, 1), dt.datetime(2018, 2, 1)),
         ("1 2 2018 7:05", dt.date(2018, 2, 1), dt.datetime(2018, 2, 1, 7, 5)),
         ("01 02 2018 23:50:30", dt.date(2018, 2, 1), dt.datetime(2018, 2, 1, 23, 50)),
+        ("01 02 2018 00:00 abc", dt.date(2018, 2, 1), dt.datetime(2018, 2, 1)),
+        ("01 02 2018 00:00abc", dt.date(2018, 2, 1), dt.datetime(2018, 2, 1)),
+        ("01 02 2018 00:00 PM", dt.date(2018, 2, 1), dt.datetime(2018, 2, 1)),
         ("01 02 2018 25:00", dt.date(2018, 2, 1), None),
         ("01 02 2018", dt.date(2018, 2, 1), None),
         ("29 02 2020 12:00", dt.date(2020, 2, 29), dt.datetime(2020, 2, 29, 12)),

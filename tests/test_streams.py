@@ -2,6 +2,10 @@
 
 import csv
 import datetime as dt
+import os
+import threading
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,8 +23,8 @@ from gustline.sources.streams import (
     table_sink,
     text_topic,
 )
-from gustline.sources.tables import batch_sizes, read_table
-from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded, tap
+from gustline.sources.tables import append_table, batch_sizes, read_table, replace_table
+from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded, tap, total_rows
 
 HEADER = CSV_SCHEMA.names
 
@@ -107,6 +111,86 @@ def test_malformed_messages_reach_the_table(spark, paths, tmp_path):
     assert table(spark, paths).filter("signal_ts is null").count() == 2
 
 
+def test_many_checkpoints_and_batch_writes_share_a_table(spark, paths):
+    drop(paths["landing"], "a.csv", [row(m) for m in range(5)])
+    topics = [text_topic(paths["topic"]), text_topic(paths["topic"] + "2")]
+    for number, topic in enumerate(topics):
+        run_bounded(publish(spark, csv_landing(str(paths["landing"])), topic, f"{paths['sent']}{number}"))
+        query = run_bounded(ingest(spark, topic, table_sink(paths["table"]), f"{paths['stored']}{number}"))
+        assert total_rows(query) == 5
+    assert table(spark, paths).count() == 10
+    append_table(table(spark, paths).limit(3), paths["table"])
+    assert table(spark, paths).count() == 13
+    store(spark, paths)  # a third checkpoint, after a batch write
+    assert table(spark, paths).count() == 18
+    # two publishers into one topic
+    run_bounded(publish(spark, csv_landing(str(paths["landing"])), topics[0], f"{paths['sent']}-more"))
+    assert spark.read.text(paths["topic"]).count() == 10
+    # a table replaced between two runs goes on
+    replace_table(spark.createDataFrame([], READING_SCHEMA), paths["table"])
+    store(spark, paths)
+    assert table(spark, paths).count() == 5
+
+
+def test_replayed_batch_is_not_stored_twice(spark, paths, tmp_path):
+    for number in range(2):
+        drop(paths["landing"], f"{number}.csv", [row(m) for m in range(4)])
+        send(spark, paths)
+        store(spark, paths, partition_by=["signal_date"])
+    last = max((tmp_path / "stored" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    last.with_name(f".{last.name}.crc").unlink()
+    store(spark, paths, partition_by=["signal_date"])
+    assert table(spark, paths).count() == 8
+    assert not list((tmp_path / "table").glob("_staging*"))
+
+
+def test_table_with_a_sink_log_is_refused(spark, paths, tmp_path):
+    drop(paths["landing"], "a.csv", [row(0)])
+    send(spark, paths)
+    (tmp_path / "table" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="log"):
+        store(spark, paths)
+    with pytest.raises(ValueError, match="log"):
+        append_table(spark.range(1), paths["table"])
+
+
+def test_old_files_are_read(spark, paths):
+    drop(paths["landing"], "a.csv", [row(0)])
+    send(spark, paths)
+    drop(paths["landing"], "b.csv", [row(1)])
+    weeks_ago = time.time() - 40 * 86400
+    os.utime(paths["landing"] / "b.csv", (weeks_ago, weeks_ago))
+    assert total_rows(send(spark, paths)) == 1
+
+
+def test_option_names_are_not_case_sensitive():
+    options = csv_landing("x", maxfilespertrigger="1", MAXFILEAGE="1d").options
+    assert "maxBytesPerTrigger" not in options and "maxFileAge" not in options
+
+
+def test_counts_of_more_than_a_hundred_batches(spark, paths, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    for number in range(105):
+        (topic / f"{number}.txt").write_text('{"Date/Time":"01 01 2018 00:00"}\n')
+    query = store(spark, paths, topic={"maxFilesPerTrigger": "1"})
+    assert len(batch_counts(query)) == 105 and total_rows(query) == 105 == table(spark, paths).count()
+
+
+def test_running_stream_takes_files_that_arrive(spark, paths):
+    drop(paths["landing"], "a.csv", [row(0)])
+    send(spark, paths)
+    topic = text_topic(paths["topic"])
+    late = threading.Timer(4, lambda: Path(paths["topic"], "late.txt").write_text('{"Date/Time":"01 01 2018 00:10"}\n'))
+    late.start()
+    writer = ingest(spark, topic, table_sink(paths["table"]), paths["stored"])
+    query = run_bounded(writer, timeout=15, every="1 second")
+    assert not query.isActive and total_rows(query) == 2 == table(spark, paths).count()
+    with pytest.raises(ValueError):
+        run_bounded(writer, every="1 second")
+
+
 def test_partitioned_and_promoted(spark, paths, tmp_path):
     drop(paths["landing"], "a.csv", [row(0), row(1), ("02 01 2018 00:00", "1", "2", "3", "4"), ("bad", "1", "2", "3", "4")])
     send(spark, paths)
@@ -144,18 +228,8 @@ def test_fan_out_reads_one_topic_several_times(spark, paths):
 
 def test_timeout_stops_an_endless_query(spark, paths):
     endless = spark.readStream.format("rate").option("rowsPerSecond", 5).load().select(F.lit("{}").alias("value"))
-
-    class Endless:
-        """Writer whose trigger stays endless."""
-
-        def __init__(self, writer):
-            self.writer = writer
-
-        def trigger(self, **_):
-            return self.writer.trigger(processingTime="200 milliseconds")
-
     writer = append_stream(endless, text_topic(paths["topic"]), paths["sent"])
-    query = run_bounded(Endless(writer), timeout=2)
+    query = run_bounded(writer, timeout=4, every="200 milliseconds")
     assert not query.isActive
 
 

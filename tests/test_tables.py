@@ -58,6 +58,12 @@ def test_replacing_an_input_is_refused(spark, tmp_path):
     check_apart("/a/table", "/a/table2", "/a/b")
 
 
+def test_spellings_of_one_path_overlap(spark):
+    for one, other in (("/data/wind", "file:/data"), ("t", "./t"), ("/a/b", "/a/c/../b/x")):
+        with pytest.raises(ValueError):
+            check_apart(one, other)
+
+
 def test_partitioned_write_gathers_a_day(spark, tmp_path):
     df = spark.range(0, 4000, numPartitions=8).select(
         F.date_add(F.lit("2018-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("day"), "id"
