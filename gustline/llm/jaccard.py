@@ -10,14 +10,18 @@ link when the Jaccard similarity of their sets is at least ``percent`` / 100.
    over all rows, only keep frequent shingles out of the prefixes.
 2. Documents with equal signatures have equal sets and form a class at once.
 3. The first n - ceil(t n) + 1 shingles of each set are its prefix. Sets that link share a shingle
-   between their prefixes (``repeats`` finds those that more than one document has).
-4. Documents that share a prefix shingle are compared in rounds. In each round every shingle has one hub,
-   the least of its classes by a hash that changes with the round, and the others are compared with the
-   hub only, if they are not yet connected with it. So a large group of near copies takes pairs in
-   proportion to its size. When a round connects nothing, all pairs that remain unconnected and
-   uncompared are compared. Pairs pass a length filter and a positional filter in the join; each pair is
+   between their prefixes; ``repeats`` finds the documents whose prefix has one that is not theirs alone.
+4. Among those documents all shingles are looked up, so it is known which are unique. Unique shingles
+   come first in the order now, and the prefix is taken again: a document with more of them than its
+   prefix holds links with nothing and leaves. The number of shingles that are not unique bounds the
+   overlap with any other set (a filter on what lies behind the prefix, by counts).
+5. Documents that share a prefix shingle are compared in rounds. In the first ``STAR_ROUNDS`` every
+   shingle has one hub, the set with the fewest unique shingles, ties by a hash that changes with the
+   round; the others are compared with the hub only, if not yet connected with it. So a large group of
+   near copies takes pairs in proportion to its size. Then all pairs that remain unconnected and
+   uncompared are compared. Pairs pass length, count and positional filters in the join; each pair is
    verified once, after a suffix filter, on the whole sets.
-5. Links are contracted to components after each round; links inside a component cannot change it.
+6. Links are contracted to components after each round; links inside a component cannot change it.
 
 Nulls: a null text has no words. Rows without id form no links and get no component. Rows with one id
 and different texts count as one node. Other columns are ignored. An empty table gives an empty result.
@@ -41,6 +45,7 @@ from gustline.session import stage
 SIZE = 5
 PERCENT = 80
 CELLS = 1 << 17
+STAR_ROUNDS = 2
 BROADCAST_ROWS = 1 << 21  # ids sent to all tasks at most; more are joined by a shuffle
 
 _PASS = "cell long, amount long, doc_id long, n_shingles long, sig long, sig2 long"
@@ -99,14 +104,46 @@ def _prefixes(docs: DataFrame, counts: Broadcast, size: int, percent: int) -> Da
         ids = batch.column(0).to_numpy()
         for at, words in chunks(batch.column(1), lower=True):
             parts = [prefix(own, counts.value, percent) for own in shingle_sets(words, size)]
-            length = np.array([len(x) for x in parts])
-            place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            hashes = np.concatenate(parts)
-            yield hashes, np.zeros(len(hashes), np.uint32), np.repeat(ids[at : at + words.rows], length), place
+            yield _entries(ids[at : at + words.rows], parts)
 
     return repeated(docs, emit)
 
 
+def _entries(ids: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    hashes = np.concatenate(parts)
+    none = np.zeros(len(hashes), np.uint32)
+    return hashes, none, np.repeat(ids, [len(x) for x in parts]), none.astype(np.int64)
+
+
+def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size: int, percent: int) -> DataFrame:
+    """Prefix shingles (h, rep, n, shared, at) with unique ones, which are left out, in front."""
+
+    def emit(batch: pa.RecordBatch):
+        ids = batch.column(0).to_numpy()
+        for at, words in chunks(batch.column(1), lower=True):
+            yield _entries(ids[at : at + words.rows], list(shingle_sets(words, size)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[np.ndarray, ...]] = []
+            for rep, n, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                own = np.sort(row.values.to_numpy().view(np.uint64))
+                unique = n - len(own)
+                length = n - -(-percent * n // 100) + 1 - unique
+                if length > 0:
+                    rank = np.argsort(counts.value[(own % np.uint64(len(counts.value))).astype(np.int64)], kind="stable")
+                    first = own[rank[:length]].view(np.int64)
+                    same = np.ones(len(first), np.int64)
+                    out.append((first, rep * same, n * same, len(own) * same, unique + np.arange(len(first))))
+            if out:
+                columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "rep", "n", "shared", "at"])
+
+    lists = repeated(texts, emit).groupBy("doc_id").agg(F.collect_list("h").alias("hashes"))
+    rows = lists.join(sizes, "doc_id").select(F.col("doc_id").alias("rep"), "n", "hashes")
+    return rows.mapInArrow(cut, "h long, rep long, n long, shared long, at long")
+
+
 def _overlap(n: str, m: str, percent: int) -> str:
     """SQL for the least common part of two sets of n and m that link, times 100 + percent."""
     return f"{percent} * ({n} + {m})"
@@ -167,75 +204,69 @@ def groups(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT, id_col:
     keyed = members.where("n_shingles > 0 and doc_id is not null")
     keyed = stage(keyed.join(classes, ["sig", "sig2", "n_shingles"]).select("doc_id", "n_shingles", "rep").distinct(), "members")
 
-    shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64))
-    found = stage(_prefixes(docs.where("doc_id is not null"), shared, size, percent), "prefixes")
-    entries = found.join(keyed.withColumnRenamed("n_shingles", "n"), "doc_id").select("h", "rep", "n", "at").distinct()
-    entries = stage(entries, "entries")
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    found = _prefixes(docs.where("doc_id is not null"), shared, size, percent).select("doc_id").distinct()
+    ids = stage(keyed.join(found, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "candidate-ids")
+    texts = stage(_chosen(docs, ids).dropDuplicates(["doc_id"]), "candidate-texts")
+    sizes = keyed.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    entries = stage(_second_prefixes(texts, sizes, shared, size, percent), "entries")
 
     component = keyed.select(F.col("rep").alias("node"), F.col("rep").alias("comp")).distinct()
     tested = None
-    for number in range(10_000):
+    for number in range(STAR_ROUNDS + 1):
         placed = entries.join(component, F.col("rep") == F.col("node")).drop("node") if number else entries.withColumn("comp", F.col("rep"))
+        hub = F.struct((F.col("n") - F.col("shared")).alias("unique"), F.xxhash64("rep", F.lit(number)), "rep", "n", "shared", "at", "comp")
         spread = placed.groupBy("h").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min(F.struct(F.xxhash64("rep", F.lit(number)), "rep", "n", "at", "comp")).alias("hub"),
-        )
-        # only shingles held by more than one component go on
-        hubs = stage(spread.where("low < high").select("h", "hub"), "hubs")
-        open_entries = stage(placed.join(hubs, "h"), "open-entries")
-        if open_entries.isEmpty():
-            break
-        if not number:
-            ids = stage(open_entries.select(F.col("rep").alias("doc_id")).distinct(), "compared-ids")
-            texts = stage(_chosen(docs, ids).dropDuplicates(["doc_id"]), "compared-texts")
-        last = number > 0 and not merged
-        if last:
-            pairs = _all_pairs(open_entries, percent)
-        else:
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least_n"), F.min(hub).alias("hub")
+        )
+        # only shingles that more than one component has go on, and sets large enough for some other there
+        hubs = stage(spread.where("low < high").select("h", "least_n", "hub"), "hubs")
+        open_entries = placed.join(hubs, "h").where(f"{100 + percent} * shared >= {_overlap('n', 'least_n', percent)}")
+        if number < STAR_ROUNDS:
             pairs = _filtered(
                 open_entries.where("comp <> hub.comp").selectExpr(
-                    "rep", "n", "at", "hub.rep as rep2", "hub.n as n2", "hub.at as at2"
+                    "rep", "n", "shared", "at", "hub.rep as rep2", "hub.n as n2", "hub.shared as shared2", "hub.at as at2"
                 ), percent,
             )
+        else:
+            pairs = _all_pairs(stage(open_entries, "open-entries"), percent)
         pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         links = stage(_verified(pairs, texts, size, percent), "links")
-        merged = not links.isEmpty()
-        if merged:
-            named = component.select("node", "comp")
-            edges = links.join(named.withColumnRenamed("node", "a").withColumnRenamed("comp", "ca"), "a")
-            edges = edges.join(named.withColumnRenamed("node", "b").withColumnRenamed("comp", "cb"), "b")
+        if not links.isEmpty():
+            edges = links.join(component.withColumnsRenamed({"node": "a", "comp": "ca"}), "a")
+            edges = edges.join(component.withColumnsRenamed({"node": "b", "comp": "cb"}), "b")
             joined = components(edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            joined = joined.select(F.col("node").alias("comp"), F.col("component"))
+            joined = joined.select(F.col("node").alias("comp"), "component")
             component = stage(
                 component.join(joined, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")), "component"
             )
-        if last:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
 
     named = keyed.join(component, F.col("rep") == F.col("node")).select("doc_id", F.col("comp")).groupBy("doc_id").agg(F.min("comp").alias("comp"))
     return members.join(named, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
 
 
 def _filtered(pairs: DataFrame, percent: int) -> DataFrame:
-    """Length filter, and positional filter: what can follow the shared shingle in both sets must do.
+    """Length filter, count filter and positional filter: what can follow the shared shingle in both sets
+    must do.
 
-    The bound holds at the first shingle that both prefixes have, which is enough: a linked pair
+    The last bound holds at the first shingle that both prefixes have, which is enough: a linked pair
     passes there.
     """
+    needed = _overlap("n", "n2", percent)
     return pairs.where(
-        f"100 * least(n, n2) >= {percent} * greatest(n, n2) and "
-        f"{100 + percent} * least(n - at, n2 - at2) >= {_overlap('n', 'n2', percent)}"
+        f"100 * least(n, n2) >= {percent} * greatest(n, n2) and {100 + percent} * least(shared, shared2) >= {needed} "
+        f"and {100 + percent} * least(n - at, n2 - at2) >= {needed}"
     )
 
 
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs of one shingle that are in different components and pass the filters."""
-    left = entries.select("h", "rep", "n", "at", "comp")
-    right = left.select("h", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "at", "comp")))
+    left = entries.select("h", "rep", "n", "shared", "at", "comp")
+    right = left.select("h", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "shared", "at", "comp")))
     return _filtered(left.join(right, "h").where("rep < rep2 and comp <> comp2"), percent)
 
 
