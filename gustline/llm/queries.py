@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import binary, chat, decontamination, jaccard, licenses, packing, quality, secrets, substring, urls
+from gustline.llm import binary, chat, decontamination, jaccard, licenses, oracles, packing, quality, secrets, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,4 +168,9 @@ QUERIES: dict[str, Query] = {
         pipeline,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_redirect_equivalence": oracles.url_rules(RULES, urls.DEFAULT),
+    "op6_secret_ownership": oracles.secret_spans(secrets.MAX_OWNERS, secrets.MAX_REPOS),
+    "op7_jaccard_join": oracles.jaccard(jaccard.SIZE, jaccard.PERCENT),
+    "op10_substring_dedup": oracles.substrings(substring.SIZE),
+}
