@@ -1,0 +1,67 @@
+"""Benchmark passages against comparing all alignments."""
+
+import random
+import re
+
+from gustline.llm import decontamination
+
+
+def split(text):
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower()) if w]
+
+
+def plain(pairs, items, span=20, percent=80, seeds=True):
+    """Windows of items that agree in place, in alignments where some mask's words all agree."""
+    found = {}
+    masks = [[k for k, c in enumerate(m) if c == "1"] for m in decontamination.MASKS]
+    for doc, text in pairs:
+        w = split(text)
+        for item, passage in items:
+            p = split(passage)
+            if len(p) < decontamination.LEAST:
+                continue
+            n = min(span, len(p))
+            for shift in range(-len(p), len(w)):
+                same = [0 <= k + shift < len(w) and w[k + shift] == x for k, x in enumerate(p)]
+                full = [k for k in range(len(p) - 12) if 0 <= k + shift <= len(w) - 13 and any(all(same[k + j] for j in m) for m in masks)]
+                if not full:
+                    continue
+                best = max((sum(same[k : k + n]), -k) for k in range(len(p) - n + 1))
+                if best[0] * 100 >= n * percent:
+                    found[doc, item, shift] = best[0]
+    return found
+
+
+def corpus():
+    random.seed(11)
+    vocabulary = [f"w{k}" for k in range(3000)] + ["é", "漢字"]
+    items = [(k, " ".join(random.choices(vocabulary, k=random.randint(13, 60)))) for k in range(20)]
+    pairs = []
+    for doc in range(60):
+        own = random.choices(vocabulary, k=random.randint(0, 60))
+        if doc % 2:
+            passage = split(items[doc % 20][1])
+            for _ in range(random.choice([0, 0, 1, 2, 4])):
+                passage[random.randrange(len(passage))] = "other"
+            own += passage + random.choices(vocabulary, k=5)
+        pairs.append((doc, random.choice([" ", ", ", "\n"]).join(own).upper() if doc % 3 else " ".join(own)))
+    pairs += [(100, None), (101, ""), (102, " ".join(["a"] * 400)), (103, items[3][1]), (103, items[3][1]), (104, items[4][1] + " " + items[4][1])]
+    return pairs, [*items, (50, None), (51, ""), (52, "too few words"), (3, items[3][1])]
+
+
+def test_overlaps(rows, spark):
+    pairs, items = corpus()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.overlaps(rows(pairs).repartition(3), benchmark).collect()
+    want = plain(pairs, items)
+    assert {(r.doc_id, r.item_id, r.doc_start - r.item_start): r.n_matched for r in got} == want
+    assert len(got) == len(want) > 25
+
+
+def test_short_items_and_empty_tables(rows, spark):
+    short = "one two three four five six seven eight nine"
+    benchmark = spark.createDataFrame([(1, short)], "item_id long, text string")
+    docs = rows([(1, f"x y {short} z"), (2, "one x three x five x seven x nine"), (3, "a b c")])
+    assert [(r.doc_id, r.doc_start, r.n_matched) for r in decontamination.overlaps(docs, benchmark).collect()] == [(1, 2, 9)]
+    assert decontamination.overlaps(rows([]), benchmark).count() == 0
+    assert decontamination.overlaps(docs, benchmark.limit(0)).count() == 0
