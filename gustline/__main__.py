@@ -9,6 +9,7 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from gustline.plans.flows import analyse, train_from_table
 from gustline.session import build_session
@@ -22,7 +23,7 @@ from gustline.sources.streams import (
     text_topic,
 )
 from gustline.sources.tables import check_apart, preview, read_table, replace_table, schema_report
-from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded, tap
+from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded, tap, total_rows
 
 
 def _pairs(options: list[str]) -> dict[str, str]:
@@ -38,10 +39,13 @@ def _topic(args: argparse.Namespace, reading: bool) -> Endpoint:
     return kafka_sink(args.servers, args.topic, **options)
 
 
+def _told(query: StreamingQuery) -> None:
+    print(batch_counts(query), "total", total_rows(query))
+
+
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = csv_landing(args.landing, **_pairs(args.source_option))
-    query = run_bounded(publish(spark, rows, _topic(args, False), args.checkpoint), args.timeout)
-    print(batch_counts(query))
+    _told(run_bounded(publish(spark, rows, _topic(args, False), args.checkpoint), args.timeout, args.every))
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -55,20 +59,21 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         _pairs(args.promote),
         args.tasks_per_day,
     )
-    print(batch_counts(run_bounded(writer, args.timeout)))
+    _told(run_bounded(writer, args.timeout, args.every))
 
 
 def _tap(spark: SparkSession, args: argparse.Namespace) -> None:
-    run_bounded(tap(spark, _topic(args, True), console(args.rows), args.checkpoint), args.timeout)
+    run_bounded(tap(spark, _topic(args, True), console(args.rows), args.checkpoint), args.timeout, args.every)
 
 
 def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
-    analyse(spark, args.table, args.hourly, args.daily, args.format)
+    analyse(spark, args.table, args.hourly, args.daily, args.format, args.only_valid)
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     check_apart(args.hourly, args.out)
-    result = train_from_table(spark, args.hourly, args.day, args.format)
+    result = train_from_table(spark, args.hourly, args.day, args.format, args.handle_invalid)
+    print("left out", result.left_out)
     replace_table(result.metrics, f"{args.out}/metrics", args.format)
     replace_table(result.day, f"{args.out}/day", args.format)
     for name, model in result.models.items():
@@ -102,6 +107,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--topic-option", action="append", default=[])
         sub.add_argument("--checkpoint", required=resumes)
         sub.add_argument("--timeout", type=int, help="seconds")
+        sub.add_argument("--every", help="trigger interval, such as '10 seconds'; runs until --timeout")
 
     sub = command("publish", _publish)
     sub.add_argument("--landing", required=True)
@@ -124,8 +130,10 @@ def _parser() -> argparse.ArgumentParser:
     sub = command("analyse", _analyse)
     for name in ("table", "hourly", "daily"):
         sub.add_argument(f"--{name}", required=True)
+    sub.add_argument("--only-valid", action="store_true", help="leave out readings without a time")
 
     sub = command("train", _train)
+    sub.add_argument("--handle-invalid", choices=["error", "skip"], default="error")
     sub.add_argument("--hourly", required=True)
     sub.add_argument("--day", required=True, type=dt.date.fromisoformat)
     sub.add_argument("--out", required=True)

@@ -16,9 +16,10 @@ from gustline.operators.aggregates import daily_distinct_stored, hourly_with_ban
 from gustline.operators.evaluation import density, histogram, joint_counts, metrics, with_residual
 from gustline.operators.features import keyed_split
 from gustline.operators.models import fit_flow, linear, score_day, side_by_side, tree
-from gustline.operators.readings import promote_signals
+from gustline.operators.readings import promote_signals, split_invalid
 from gustline.operators.renaming import rename_columns
 from gustline.schemas import (
+    FEATURES,
     HOURLY_MAPPING,
     HOURLY_SCHEMA,
     LABEL,
@@ -26,7 +27,10 @@ from gustline.schemas import (
     READING_SCHEMA,
     ROW_MAPPING,
     SIGNAL_OF_FIELD,
+    STATUS,
+    STATUS_INDEX,
 )
+from gustline.session import stage
 from gustline.sources.tables import (
     check_apart,
     mapping_relation,
@@ -59,10 +63,22 @@ def banded_rows(typed: DataFrame, mapping: DataFrame | None = None) -> DataFrame
     return rename_columns(with_band(typed, F.col(quoted(power))), mapping)
 
 
-def analyse(spark: SparkSession, readings_path: str, hourly_path: str, daily_path: str, format: str = "parquet") -> None:
-    """Daily counts and the hourly table, each computed once and written as a full replacement."""
+def analyse(
+    spark: SparkSession,
+    readings_path: str,
+    hourly_path: str,
+    daily_path: str,
+    format: str = "parquet",
+    only_valid: bool = False,
+) -> None:
+    """Daily counts and the hourly table, each computed once and written as a full replacement.
+
+    With ``only_valid`` readings without a time, such as those of malformed messages, are left out.
+    """
     check_apart(readings_path, hourly_path, daily_path)
     readings = read_table(spark, readings_path, format, READING_SCHEMA if format != "delta" else None)
+    if only_valid:
+        readings, _ = split_invalid(readings)
     replace_table(daily_distinct_stored(readings), daily_path, format)
     replace_table(hourly_status(readings), hourly_path, format)
 
@@ -75,6 +91,7 @@ class Training:
     scored: DataFrame
     metrics: DataFrame
     day: DataFrame
+    left_out: int = 0
 
     def histogram(self, model: str, bins: int | None = None) -> DataFrame:
         return histogram(self.residuals(model), "residual", bins)
@@ -95,23 +112,43 @@ class Training:
         return self.models["linear"].stages[-1]
 
 
-def train(hourly: DataFrame, day: dt.date) -> Training:
+def usable(hourly: DataFrame) -> DataFrame:
+    """Hourly rows with a day, an hour, a label, a status and all features."""
+    needed = ["signal_date", "hour", LABEL, STATUS, *(name for name in FEATURES if name != STATUS_INDEX)]
+    for name in dict.fromkeys(needed):
+        hourly = hourly.filter(F.col(name).isNotNull())
+    return hourly
+
+
+def train(hourly: DataFrame, day: dt.date, handle_invalid: str = "error") -> Training:
     """Fit a linear model and a tree on the training rows of the hourly table, score the test rows
-    with both, and score one day with the linear model."""
+    with both, and score one day with the linear model.
+
+    A row with a missing value, such as the hour of malformed messages, is an error, or with
+    ``handle_invalid="skip"`` left out of everything; ``left_out`` tells how many were.
+    """
+    left_out = 0
+    if handle_invalid == "skip":
+        kept = usable(hourly)
+        left_out = hourly.count() - kept.count()
+        hourly = kept
     training, test = keyed_split(hourly, hour_key())
     models = {
         "linear": fit_flow(hourly, training, linear()),
         "tree": fit_flow(hourly, training, tree()),
     }
-    scored = side_by_side(test, models, ["signal_date", "hour"])
+    scored = stage(side_by_side(test, models, ["signal_date", "hour"]), "scored")
     return Training(
         models=models,
         scored=scored,
         metrics=metrics(scored, "actual", by=["model"]),
         day=score_day(models["linear"], hourly, day, LABEL),
+        left_out=left_out,
     )
 
 
-def train_from_table(spark: SparkSession, hourly_path: str, day: dt.date, format: str = "parquet") -> Training:
+def train_from_table(
+    spark: SparkSession, hourly_path: str, day: dt.date, format: str = "parquet", handle_invalid: str = "error"
+) -> Training:
     schema = HOURLY_SCHEMA if format != "delta" else None
-    return train(read_table(spark, hourly_path, format, schema), day)
+    return train(read_table(spark, hourly_path, format, schema), day, handle_invalid)

@@ -69,6 +69,29 @@ def test_whole_way(spark, run, tmp_path, capsys):
     assert "generation_status" in shown
 
 
+def test_bad_input_on_the_whole_way(spark, run, tmp_path, capsys):
+    chance = random.Random(4)
+    rows = []
+    for hour in range(24 * 8):
+        time = dt.datetime(2018, 1, 1) + dt.timedelta(hours=hour)
+        speed = "n/a" if hour == 30 else chance.uniform(0, 20)  # one hour never has a wind speed
+        rows.append((time.strftime("%d %m %Y %H:%M"), chance.uniform(0, 900), speed, 7, 90))
+    drop(tmp_path / "landing", "a.csv", rows)
+    at = {name: tmp_path / name for name in ("landing", "topic", "table", "sent", "stored", "hourly", "daily", "out")}
+    run("publish", "--landing", at["landing"], "--topic", at["topic"], "--checkpoint", at["sent"])
+    (at["topic"] / "bad.txt").write_text("{broken\n")
+    run("ingest", "--topic", at["topic"], "--checkpoint", at["stored"], "--table", at["table"])
+    assert f"total {len(rows) + 1}" in capsys.readouterr().out
+    run("analyse", "--table", at["table"], "--hourly", at["hourly"], "--daily", at["daily"])
+    with pytest.raises(Exception, match="null|NULL|Encountered"):
+        run("train", "--hourly", at["hourly"], "--day", "2018-01-02", "--out", at["out"])
+    run("train", "--hourly", at["hourly"], "--day", "2018-01-02", "--out", at["out"], "--handle-invalid", "skip")
+    assert "left out 2" in capsys.readouterr().out
+    assert spark.read.parquet(str(at["out"] / "day")).count() == 23
+    run("analyse", "--table", at["table"], "--hourly", at["hourly"], "--daily", at["daily"], "--only-valid")
+    assert spark.read.parquet(str(at["hourly"])).filter("signal_date is null").count() == 0
+
+
 def test_time_zone_is_required():
     with pytest.raises(SystemExit):
         cli.main(["show", "--table", "x"])
