@@ -207,9 +207,13 @@ def groups(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT, id_col:
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     found = _prefixes(docs.where("doc_id is not null"), shared, size, percent).select("doc_id").distinct()
     ids = stage(keyed.join(found, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "candidate-ids")
-    texts = stage(_chosen(docs, ids).dropDuplicates(["doc_id"]), "candidate-texts")
+    texts = stage(_chosen(docs, ids), "candidate-texts")
+    if texts.count() > ids.count():  # ids are repeated
+        texts = stage(texts.dropDuplicates(["doc_id"]), "candidate-texts")
     sizes = keyed.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
     entries = stage(_second_prefixes(texts, sizes, shared, size, percent), "entries")
+    ids = stage(entries.select(F.col("rep").alias("doc_id")).distinct(), "compared-ids")
+    texts = stage(_chosen(texts, ids), "compared-texts")
 
     component = keyed.select(F.col("rep").alias("node"), F.col("rep").alias("comp")).distinct()
     tested = None
