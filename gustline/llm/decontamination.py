@@ -28,6 +28,7 @@ WIDTH = 13
 SPAN = 20
 PERCENT = 80
 LEAST = 8
+BROADCAST_SEEDS = 1 << 20  # benchmark seeds (with their items' words) sent to all tasks at most
 TABLE_WORDS = 1 << 16  # 64-bit words of the bit table
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -95,28 +96,41 @@ def overlaps(
     kinds = _kinds(F.col("hashes"), short)
     item_seeds = None
     for seeds in kinds:
-        one = hashed.select("item_id", "item_words", F.posexplode(seeds).alias("item_at", "seed"))
+        one = hashed.select("item_id", F.posexplode(seeds).alias("item_at", "seed"))
         item_seeds = one if item_seeds is None else item_seeds.unionByName(one)
     item_seeds = stage(item_seeds, "item-seeds")
     table = _table(item_seeds)
 
     words = docs.select(F.col(id_col).alias("doc_id"), word_list(F.col(text_col)).alias("words"))
     words = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    words = words.join(F.broadcast(table), how="cross")  # one row: the bit table
+    # one row, the bit table, beside every document
+    words = words.withColumn("one", F.lit(1)).join(F.broadcast(table.withColumn("one", F.lit(1))), "one")
     bits = F.col("bits")
 
     def passed(seeds: Column) -> Column:
-        tested = F.transform(
-            seeds, lambda s, i: F.when(F.get(bits, _place(s)).bitwiseAND(_bit(s)) == _bit(s), F.struct(i.alias("at"), s.alias("seed")))
-        )
-        return F.filter(tested, lambda x: x.isNotNull())
-
-    passing = words.select("doc_id", "words", F.concat(*map(passed, _kinds(F.col("hashes"), short))).alias("hits")).where(F.size("hits") > 0)
-    hits = passing.select("doc_id", "words", F.explode("hits").alias("hit"))
-    around = F.slice("words", F.greatest(F.col("hit.at") - span, F.lit(0)) + 1, 2 * span + WIDTH)
+        """The seeds with both bits in the table, with their places; the second bit is seldom looked at."""
+
+        def test(seed: Column, i: Column) -> Column:
+            word = F.get(bits, _place(seed))
+            first = F.getbit(word, seed.bitwiseAND(63).cast("int")) == 1
+            second = F.getbit(word, F.shiftrightunsigned(seed, 6).bitwiseAND(63).cast("int")) == 1
+            return F.when(first & second, F.struct(i.alias("at"), seed.alias("seed")))
+
+        return F.filter(F.transform(seeds, test), lambda x: x.isNotNull())
+
+    # explode_outer: a filter on the array of hits would be moved down and the hits worked out twice
+    passing = words.select("doc_id", "words", F.concat(*map(passed, _kinds(F.col("hashes"), short))).alias("hits"))
+    hits = passing.select("doc_id", "words", F.explode_outer("hits").alias("hit")).where("hit is not null")
+    around = F.slice("words", F.greatest(F.col("hit.at") - span, F.lit(0)) + 1, 3 * span + WIDTH)
     hits = hits.select("doc_id", F.col("hit.seed").alias("seed"), F.col("hit.at").alias("doc_at"), around.alias("near"))
 
-    met = hits.join(item_seeds, "seed")
+    # of the hits of one alignment within a span of each other one is verified; its words reach past the others.
+    # Few seeds are sent to all tasks, so that hits are matched and thinned out before anything is shuffled
+    few = item_seeds.count() <= BROADCAST_SEEDS
+    met = hits.join(F.broadcast(item_seeds) if few else item_seeds, "seed").groupBy(
+        "doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), F.floor(F.col("doc_at") / span)
+    ).agg(F.min(F.struct("doc_at", "item_at", "near")).alias("hit")).select("doc_id", "item_id", "hit.*")
+    met = met.join(F.broadcast(items) if few else items, "item_id")
     first = F.greatest(F.col("doc_at") - span, F.lit(0))  # of near, in the document
     shift = F.col("doc_at") - F.col("item_at") - first  # item position + shift = position in near
     met = met.withColumn("shift", shift).withColumn("first", first)
