@@ -44,7 +44,7 @@ def test_no_cross_join_and_no_python(name, spark, folder):
     [
         ("hourly_status", 1),
         ("hourly_averages_map", 1),
-        ("mapping_broadcast_join", 1),
+        ("mapping_broadcast_join", 2),  # the averages, and the mapping cut to one pair per name
         ("day_filter", 1),
         ("daily_distinct_stored", 2),
         ("band_rows", 0),
