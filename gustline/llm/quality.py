@@ -1,8 +1,10 @@
 """Quality rules: a hashed n-gram log-likelihood ratio beside counts of plain faults.
 
-Words and word pairs of every document are hashed into ``buckets`` cells. Two multinomials over the
-cells are counted from all rows: one of the trusted documents, one of the whole corpus, both with one
-added to each cell. A document's score is the mean of log(trusted / corpus) over its n-grams, so its
+Words and word pairs of every document are hashed into cells. Their number follows the estimated number
+of distinct n-grams, one cell for ``PER_CELL`` of them, so that cells do not fill as the corpus grows.
+Up to ``MAX_CELLS`` cells, the ratios are an array that is sent to all tasks; more of them stay a table,
+and n-grams are joined with it. Two multinomials over the cells are counted from all rows: one of the
+trusted documents, one of the whole corpus, both with one added to each cell. A document's score is the mean of log(trusted / corpus) over its n-grams, so its
 length does not matter, and the document is kept when the score reaches the threshold and no base rule
 rejects it. Counts are integers summed over all tasks, so scores do not depend on the partitioning.
 
@@ -18,7 +20,8 @@ table gives an empty result, and without trusted documents every score is that o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustline.llm.words import Words, chunks
+from gustline.session import stage
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 16  # cells at least
+PER_CELL = 8  # distinct n-grams for each cell
+MAX_CELLS = 1 << 23  # cells gathered and sent to all tasks at most
+LEAST_HASHES = 1 << 12  # the least hashes, from which distinct n-grams are estimated, to about 1.6 %
 THRESHOLD = -0.12  # mean log ratio; trusted prose lies around 0, junk below -0.2
 MIN_WORDS = 20
 MAX_REPEATED = 30
@@ -44,12 +51,29 @@ JUDGED = (
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def ngram_cells(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cell and row of every word and word pair."""
+@dataclass
+class CellTable:
+    """Log ratios of more cells than one process is sent: (cell, ratio), and the ratio of cells without n-grams."""
+
+    buckets: int
+    cells: DataFrame
+    other: float
+
+
+Ratios = np.ndarray | CellTable
+
+
+def ngram_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every word and word pair."""
     row = words.row
     pairs, at = words.windows(2)
-    hashes = np.concatenate([words.hashes, pairs])
-    return (hashes % np.uint64(buckets)).astype(np.int64), np.concatenate([row, row[at]])
+    return np.concatenate([words.hashes, pairs]), np.concatenate([row, row[at]])
+
+
+def ngram_cells(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cell and row of every word and word pair."""
+    hashes, row = ngram_hashes(words)
+    return (hashes % np.uint64(buckets)).astype(np.int64), row
 
 
 def repeated_words(words: Words, size: int) -> np.ndarray:
@@ -108,67 +132,148 @@ def _trusted_flag(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, *, buckets: int = BUCKETS) -> np.ndarray:
+def distinct_ngrams(docs: DataFrame) -> int:
+    """Estimate from the least hashes of all n-grams; exact if there are fewer than ``LEAST_HASHES``.
+
+    Every task sends its ``LEAST_HASHES`` least ones.
+    """
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = np.empty(0, np.uint64)
+        for batch in batches:
+            for _, words in chunks(batch.column(0)):
+                hashes, _ = ngram_hashes(words)
+                if len(kept) == LEAST_HASHES:
+                    hashes = hashes[hashes < kept[-1]]
+                kept = np.unique(np.concatenate([kept, hashes]))[:LEAST_HASHES]
+        yield pa.RecordBatch.from_arrays([pa.array((kept >> np.uint64(1)).astype(np.int64))], ["h"])
+
+    found = docs.select("text").mapInArrow(least, "h long").distinct().orderBy("h").limit(LEAST_HASHES).toPandas()["h"]
+    return len(found) if len(found) < LEAST_HASHES else int((LEAST_HASHES - 1) * float(1 << 63) / float(found.iloc[-1] + 1))
+
+
+def fit(docs: DataFrame, trusted: DataFrame, *, buckets: int | None = None, max_cells: int = MAX_CELLS) -> Ratios:
     """Log ratio of each cell. ``docs`` has doc_id and text, ``trusted`` the doc_id of good ones.
 
-    Every task sends at most one row per cell, and the driver gets one row per cell.
+    Up to ``max_cells`` cells, every task sends at most one row per cell, and the driver gets one row per
+    cell; beyond, counts are sent per chunk of texts, and the driver gets sums only.
     """
+    buckets = buckets or max(BUCKETS, distinct_ngrams(docs) // PER_CELL)
+    wide = buckets > max_cells
+
+    def rows_of(cells: np.ndarray, raw: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (cells, raw, good)], ["cell", "n_raw", "n_good"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        raw, good = np.zeros((2, 0 if wide else buckets), np.int64)
         for batch in batches:
             flag = batch.column(1).to_numpy(zero_copy_only=False)
             for at, words in chunks(batch.column(0)):
                 cells, row = ngram_cells(words, buckets)
-                raw += np.bincount(cells, minlength=buckets)
-                good += np.bincount(cells[flag[at + row]], minlength=buckets)
-        used = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, raw[used], good[used])], ["cell", "n_raw", "n_good"])
+                used, place = np.unique(cells, return_inverse=True)
+                n_raw = np.bincount(place, minlength=len(used))
+                n_good = np.bincount(place[flag[at + row]], minlength=len(used))
+                if wide:
+                    yield rows_of(used, n_raw, n_good)
+                else:
+                    raw[used] += n_raw
+                    good[used] += n_good
+        if not wide:
+            used = np.flatnonzero(raw)
+            yield rows_of(used, raw[used], good[used])
 
     rows = _trusted_flag(docs.select("doc_id", "text"), trusted)
     counts = rows.mapInArrow(count, "cell long, n_raw long, n_good long")
-    sums = counts.groupBy("cell").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good")).toPandas()
+    sums = counts.groupBy("cell").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good"))
+    if wide:
+        sums = stage(sums, "ngram-cells")
+        total = sums.agg(F.coalesce(F.sum("n_raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("n_good"), F.lit(0)).alias("good")).first()
+        other = float(np.log(total.raw + buckets) - np.log(total.good + buckets))
+        return CellTable(buckets, sums.select("cell", (F.log(F.col("n_good") + 1) - F.log(F.col("n_raw") + 1) + other).alias("ratio")), other)
+    sums = sums.toArrow()
     raw, good = np.ones(buckets), np.ones(buckets)
-    raw[sums["cell"]] += sums["n_raw"]
-    good[sums["cell"]] += sums["n_good"]
+    raw[sums["cell"].to_numpy()] += sums["n_raw"].to_numpy()
+    good[sums["cell"].to_numpy()] += sums["n_good"].to_numpy()
     return np.log(good / good.sum()) - np.log(raw / raw.sum())
 
 
-def _judged(batch_texts: pa.Array, ratios: np.ndarray, threshold: float) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
-    for at, words in chunks(batch_texts):
-        found = faults(words, batch_texts.slice(at, words.rows))
-        cells, row = ngram_cells(words, len(ratios))
-        total = np.bincount(row, weights=ratios[cells], minlength=words.rows)
-        found["score"] = total / np.maximum(np.bincount(row, minlength=words.rows), 1)
+# Two hashes of a text; rows with one text have one score.
+_KEY = {"key_1": F.xxhash64, "key_2": lambda text: F.xxhash64(F.lit(1), text)}
+_UNIT = 1e9  # scores of a cell table are summed as integers, so they do not depend on the partitioning
+
+
+def _with_score(docs: DataFrame, ratios: CellTable) -> DataFrame:
+    """The documents with their score in a last column, by a join of n-grams with cells."""
+    buckets = ratios.buckets
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, words in chunks(batch.column(0)):
+                cells, row = ngram_cells(words, buckets)
+                order = np.lexsort((cells, row))
+                cells, row = cells[order], row[order]
+                new = np.flatnonzero(np.concatenate([[True], (cells[1:] != cells[:-1]) | (row[1:] != row[:-1])])) if len(cells) else np.empty(0, np.int64)
+                keys = [batch.column(k).take(pa.array(at + row[new])) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(cells[new]), pa.array(np.diff(np.append(new, len(cells))))], ["key_1", "key_2", "cell", "n"])
+
+    keyed = docs.withColumns({name: key(F.col("text")) for name, key in _KEY.items()})
+    met = keyed.select("text", *_KEY).mapInArrow(grams, "key_1 long, key_2 long, cell long, n long").join(ratios.cells, "cell", "left")
+    units = F.round(F.coalesce("ratio", F.lit(ratios.other)) * _UNIT).cast("decimal(38,0)")
+    scores = met.groupBy(*_KEY).agg((F.sum(units * F.col("n")).cast("double") / F.sum("n") / _UNIT).alias("ngram_score"))
+    return keyed.join(scores, [*_KEY], "left").select(*docs.columns, F.coalesce("ngram_score", F.lit(0.0)).alias("ngram_score"))
+
+
+Scorer = Callable[[pa.RecordBatch, int, Words], np.ndarray]
+
+
+def _scorer(docs: DataFrame, ratios: Ratios) -> tuple[DataFrame, Scorer]:
+    """The documents to run over, and what gives the scores of a chunk of theirs."""
+    if isinstance(ratios, CellTable):
+        return _with_score(docs, ratios), lambda batch, at, words: batch.column(batch.num_columns - 1).slice(at, words.rows).to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+
+    def score(batch: pa.RecordBatch, at: int, words: Words) -> np.ndarray:
+        cells, row = ngram_cells(words, len(shared.value))
+        total = np.bincount(row, weights=shared.value[cells], minlength=words.rows)
+        return total / np.maximum(np.bincount(row, minlength=words.rows), 1)
+
+    return docs, score
+
+
+def _judged(batch: pa.RecordBatch, at_text: int, score: Scorer, threshold: float) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    texts = batch.column(at_text)
+    for at, words in chunks(texts):
+        found = faults(words, texts.slice(at, words.rows))
+        found["score"] = score(batch, at, words)
         n, repeated = found["n_words"], found["n_repeat_words"]
         found["base_failed"] = (n < MIN_WORDS) | (100 * repeated > MAX_REPEATED * n)
         found["kept"] = ~found["base_failed"] & (found["score"] >= threshold)
         yield at, found
 
 
-def judge(docs: DataFrame, ratios: np.ndarray, *, threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> DataFrame:
     """Counts, score and verdict of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    scored, score = _scorer(docs.select(F.col("doc_id").cast("long"), "text"), ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, x in _judged(batch.column(1), shared.value, threshold):
+            for at, x in _judged(batch, 1, score, threshold):
                 columns = [batch.column(0).slice(at, len(x["kept"])), *(pa.array(x[c], pa.int64()) for c in _COUNTS)]
                 columns += [pa.array(x[c]) for c in ("base_failed", "score", "kept")]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *_COUNTS, "base_failed", "score", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, JUDGED)
+    return scored.mapInArrow(run, JUDGED)
 
 
-def keep_good(docs: DataFrame, ratios: np.ndarray, *, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
-    at_text = docs.columns.index("text")
+    scored, score = _scorer(docs, ratios)
+    at_text, width = docs.columns.index("text"), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [x["kept"] for _, x in _judged(batch.column(at_text), shared.value, threshold)]
+            kept = [x["kept"] for _, x in _judged(batch, at_text, score, threshold)]
             if kept:
-                yield batch.filter(pc.cast(pa.array(np.concatenate(kept)), pa.bool_()))
+                yield batch.select(range(width)).filter(pc.cast(pa.array(np.concatenate(kept)), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return scored.mapInArrow(run, docs.schema)

@@ -70,6 +70,34 @@ def test_empty_tables(rows, spark):
     assert quality.keep_good(rows([]), ratios).count() == 0
 
 
+def test_cells_follow_the_corpus(rows, spark):
+    random.seed(8)
+    some = [f"v{k}" for k in range(2000)]
+    prose = [(k, " ".join(random.choices(some, k=400))) for k in range(1600)]
+    junk = [(5000 + k, " ".join(random.choices("@@x ^^q ~z }}w {{v $$p ||o".split() + [f"@{j}#" for j in range(200)], k=60))) for k in range(40)]
+    docs = rows(prose + junk).repartition(3)
+    trusted = spark.createDataFrame([(k,) for k in range(0, 1600, 3)], "doc_id long")
+    grams = {g for _, text in prose + junk for w in [words(text)] for g in [*w, *zip(w, w[1:], strict=False)]}
+    assert abs(quality.distinct_ngrams(docs) / len(grams) - 1) < 0.06
+    ratios = quality.fit(docs, trusted)
+    assert len(ratios) > quality.BUCKETS and abs(len(ratios) * quality.PER_CELL / len(grams) - 1) < 0.06
+    scores = {r.doc_id: r.score for r in quality.judge(docs, ratios).collect()}
+    assert max(scores[doc] for doc, _ in junk) < quality.THRESHOLD < min(scores[doc] for doc, _ in prose[::3])
+
+
+def test_cells_beyond_one_process(rows, spark):
+    pairs = [*corpus(), (None, None), (3, corpus()[3][1])]
+    docs = rows(pairs).repartition(3)
+    trusted = spark.createDataFrame([(k,) for k in range(0, 60, 2)], "doc_id long")
+    one, wide = quality.fit(docs, trusted, buckets=1000), quality.fit(docs, trusted, buckets=1000, max_cells=10)
+    assert isinstance(wide, quality.CellTable)
+    key = lambda r: (str(r[0]), *r[1:7], r[8], round(r[7], 6))
+    assert sorted(map(key, quality.judge(docs, wide).collect())) == sorted(map(key, quality.judge(docs, one).collect()))
+    again = quality.keep_good(docs, wide)
+    assert again.columns == docs.columns and sorted(map(str, again.collect())) == sorted(map(str, quality.keep_good(docs, one).collect()))
+    assert quality.keep_good(docs.limit(0), wide).count() == 0
+
+
 def test_words_of_long_and_short_texts():
     import pyarrow as pa
 
