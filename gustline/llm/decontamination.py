@@ -1,18 +1,20 @@
 """Benchmark passages in training documents, found in spite of substituted words. DataFrame functions only.
 
 Words are runs of letters and digits (anything but ASCII marks, spaces and controls), lower-cased.
-Seeds: each of the fixed ``MASKS`` is laid over every word position; the words at its ones are hashed, the
-others may be anything. Training seeds are joined with benchmark seeds by hash. Before that join they are
+Seeds: a fixed mask is laid over every word position; the words at its ones are hashed, the others may be
+anything. The mask is chosen by the length of the item alone: the first of ``MASKS`` for items of ``LONG``
+words or more, the second for those of ``LEAST`` or more. Each fits, at some position, every pattern of
+places that agree as far as the rule below asks (shown by enumeration in the tests), so no passage is lost
+for want of a seed. Shorter items have one seed, of all their words. Training seeds are joined with benchmark seeds by hash. Before that join they are
 tested, inside each document's array, against a bit table of the benchmark's seeds. The table has a fixed
 size; with a very large benchmark it lets more seeds through to the join, and nothing else changes.
 
 A hit fixes an alignment of document and item. Around it, words are compared in place: the document
 holds the passage when some ``span`` consecutive words of the item (all, if it has fewer) agree in at
-least ``percent`` of 100 places.
+least ``percent`` of 100 places; an item shorter than ``LEAST`` words must agree in all.
 
 Nulls: null texts have no words; rows without id are judged like others. Repeated rows give repeated
-results only once (results are distinct). Items shorter than ``LEAST`` words are too common to count
-and are left out. Other columns are ignored. Empty tables give an empty result.
+results only once (results are distinct). Items without words are left out. Other columns are ignored. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from pyspark.sql import functions as F
 
 from gustline.session import stage
 
-# Seven places of up to twelve are looked at.
-MASKS = ["1101100101001", "1010011010110", "1110010100101"]
-WIDTH = 13
+# Fixed values. Complete for windows of 16 to 20 and of 8 to 15 words at PERCENT.
+MASKS = ["1101001", "1101"]
+LONG = 16
 SPAN = 20
 PERCENT = 80
 LEAST = 8
@@ -39,24 +41,21 @@ def word_list(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def _seeds(hashes: Column, number: int) -> Column:
-    """Hash of the mask's words at each position; an item shorter than the mask has a single seed
-    of its first words under the mask, marked by a number of its own."""
-    places = [k for k, c in enumerate(MASKS[number]) if c == "1"]
-    positions = F.sequence(F.lit(0), F.size(hashes) - WIDTH)
+def _seeds(hashes: Column, number: int, mask: str) -> Column:
+    """Hash of the mask's words at each position; seeds of different numbers do not meet."""
+    places = [k for k, c in enumerate(mask) if c == "1"]
+    positions = F.sequence(F.lit(0), F.size(hashes) - len(mask))
     seeds = F.transform(positions, lambda i: F.xxhash64(F.lit(number), *(F.get(hashes, i + k) for k in places)))
-    return F.when(F.size(hashes) >= WIDTH, seeds).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(hashes) >= len(mask), seeds).otherwise(F.array().cast("array<bigint>"))
 
 
-def _short_seeds(hashes: Column) -> Column:
-    """Hashes of ``LEAST``-word runs under the mask of every other word, for items shorter than a mask."""
-    positions = F.sequence(F.lit(0), F.size(hashes) - LEAST)
-    seeds = F.transform(positions, lambda i: F.xxhash64(F.lit(-1), *(F.get(hashes, i + k) for k in range(0, LEAST, 2))))
-    return F.when(F.size(hashes) >= LEAST, seeds).otherwise(F.array().cast("array<bigint>"))
-
-
-def _kinds(hashes: Column, short: bool) -> list[Column]:
-    return [_seeds(hashes, k) for k in range(len(MASKS))] + ([_short_seeds(hashes)] if short else [])
+def _kinds(items: DataFrame) -> list[tuple[int, str, Column]]:
+    """Number and mask of the seeds, and the items that have them."""
+    size = F.size("item_words")
+    kinds = [(0, MASKS[0], size >= LONG), (1, MASKS[1], (size >= LEAST) & (size < LONG))]
+    kinds += [(-n, "1" * n, size == n) for n in range(1, LEAST)]
+    held = items.agg(*(F.coalesce(F.bool_or(which), F.lit(False)) for *_, which in kinds)).first()
+    return [kind for kind, there in zip(kinds, held, strict=True) if there]
 
 
 def _bit(seed: Column) -> Column:
@@ -89,15 +88,13 @@ def overlaps(
     ``benchmark`` has item_id and text.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_list(F.col("text")).alias("item_words"))
-    items = stage(items.where(F.size("item_words") >= LEAST).distinct(), "items")
-    short = not items.where(F.size("item_words") < WIDTH).isEmpty()
+    items = stage(items.where(F.size("item_words") > 0).distinct(), "items")
+    kinds = _kinds(items)  # seeds of no item would meet nothing
 
     hashed = items.withColumn("hashes", F.transform("item_words", lambda w: F.xxhash64(w)))
-    kinds = _kinds(F.col("hashes"), short)
-    item_seeds = None
-    for seeds in kinds:
-        one = hashed.select("item_id", F.posexplode(seeds).alias("item_at", "seed"))
-        item_seeds = one if item_seeds is None else item_seeds.unionByName(one)
+    item_seeds = hashed.limit(0).select("item_id", F.lit(0).alias("item_at"), F.lit(0).cast("long").alias("seed"))
+    for number, mask, which in kinds:
+        item_seeds = item_seeds.unionByName(hashed.where(which).select("item_id", F.posexplode(_seeds(F.col("hashes"), number, mask)).alias("item_at", "seed")))
     item_seeds = stage(item_seeds, "item-seeds")
     table = _table(item_seeds)
 
@@ -118,10 +115,12 @@ def overlaps(
 
         return F.filter(F.transform(seeds, test), lambda x: x.isNotNull())
 
+    none = F.array().cast("array<struct<at:int,seed:bigint>>")
+    seeds = [none, *(passed(_seeds(F.col("hashes"), number, mask)) for number, mask, _ in kinds)]
     # explode_outer: a filter on the array of hits would be moved down and the hits worked out twice
-    passing = words.select("doc_id", "words", F.concat(*map(passed, _kinds(F.col("hashes"), short))).alias("hits"))
+    passing = words.select("doc_id", "words", F.concat(*seeds).alias("hits"))
     hits = passing.select("doc_id", "words", F.explode_outer("hits").alias("hit")).where("hit is not null")
-    around = F.slice("words", F.greatest(F.col("hit.at") - span, F.lit(0)) + 1, 3 * span + WIDTH)
+    around = F.slice("words", F.greatest(F.col("hit.at") - span, F.lit(0)) + 1, 3 * span)
     hits = hits.select("doc_id", F.col("hit.seed").alias("seed"), F.col("hit.at").alias("doc_at"), around.alias("near"))
 
     # of the hits of one alignment within a span of each other one is verified; its words reach past the others.
@@ -140,7 +139,8 @@ def overlaps(
         F.sequence(F.lit(0), F.size("same") - F.col("compared")),
         lambda i: F.struct(F.aggregate(F.slice("same", i + 1, F.col("compared")), F.lit(0), lambda a, x: a + x).alias("matched"), (-i).alias("behind")),
     )
-    met = met.withColumn("best", F.array_max(window)).where(F.col("best.matched") * 100 >= F.col("compared") * percent)
+    asked = F.when(F.size("item_words") < LEAST, 100).otherwise(percent)
+    met = met.withColumn("best", F.array_max(window)).where(F.col("best.matched") * 100 >= F.col("compared") * asked)
     start = -F.col("best.behind")
     return met.groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(
         F.max(F.struct(F.col("best.matched").alias("matched"), F.col("best.behind").alias("behind"), "compared")).alias("best")

@@ -2,6 +2,7 @@
 
 import random
 import re
+from itertools import combinations
 
 from gustline.llm import decontamination
 
@@ -65,3 +66,49 @@ def test_short_items_and_empty_tables(rows, spark):
     assert [(r.doc_id, r.doc_start, r.n_matched) for r in decontamination.overlaps(docs, benchmark).collect()] == [(1, 2, 9)]
     assert decontamination.overlaps(rows([]), benchmark).count() == 0
     assert decontamination.overlaps(docs, benchmark.limit(0)).count() == 0
+
+
+def tolerated(n):
+    return n - -(-n * decontamination.PERCENT // 100)
+
+
+def test_masks_hit_every_pattern_within_the_tolerance():
+    for n in range(decontamination.LEAST, decontamination.SPAN + 1):
+        mask = decontamination.MASKS[n < decontamination.LONG]
+        places = [k for k, c in enumerate(mask) if c == "1"]
+        laid = [{k + j for j in places} for k in range(n - len(mask) + 1)]
+        assert not [gone for gone in combinations(range(n), tolerated(n)) if all(x & set(gone) for x in laid)], n
+
+
+def test_all_alignments_without_a_seed_condition(rows, spark):
+    random.seed(12)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (*range(1, 23), 40)]
+    pairs = []
+    for n, text in items:
+        for _ in range(12):
+            passage = split(text)
+            at = random.randrange(max(1, n - decontamination.SPAN + 1))
+            for k in random.sample(range(min(n, 20)), min(n, tolerated(min(n, 20)) + random.choice([0, 0, 0, 1]))):
+                passage[at + k] = "other"
+            pairs.append((len(pairs), " ".join(random.choices(["x", "y"], k=random.randint(0, 2)) + passage + ["z"] * random.randint(0, 2))))
+    pairs += [(len(pairs), " ".join(["first", *split(items[12][1])[1:]])), (len(pairs) + 1, " ".join(split(items[8][1])[:-1]))]
+
+    want = {}
+    for doc, text in pairs:
+        w = split(text)
+        for item, passage in items:
+            p = split(passage)
+            n = min(decontamination.SPAN, len(p))
+            for shift in range(-len(p), len(w)):
+                same = [0 <= k + shift < len(w) and w[k + shift] == x for k, x in enumerate(p)]
+                best = max(sum(same[k : k + n]) for k in range(len(p) - n + 1))
+                if best * 100 >= n * (decontamination.PERCENT if len(p) >= decontamination.LEAST else 100):
+                    want[doc, item, shift] = best
+
+    def found(benchmark):
+        got = decontamination.overlaps(rows(pairs), spark.createDataFrame(benchmark, "item_id long, text string")).collect()
+        return {(r.doc_id, r.item_id, r.doc_start - r.item_start): r.n_matched for r in got}
+
+    assert found(items) == want and len(want) > 150
+    # an item's results do not depend on the other items
+    assert found([items[14]]) == {k: n for k, n in want.items() if k[1] == items[14][0]}
