@@ -1,11 +1,12 @@
 """Licences of files: sparse TF-IDF cosine to templates, then the nearest directory's licence.
 DataFrame functions only.
 
-The terms of the templates are the vocabulary; their document frequencies are counted over the whole
-corpus. Any other term counts as the rarest. Terms count once per unit. Units are the lines of every
-file and, for licence files, the whole text. A unit's cosine to a template is at most the share of its
-length that lies in the vocabulary, so units whose share is under the threshold leave before they are
-compared. A file's own licence is that of its best unit (ties: the template's name).
+Document frequencies of all terms are counted over the whole corpus, and a term weighs its number in the
+unit times log((1 + files) / (1 + frequency)) + 1. The terms of the templates are the vocabulary. Units
+are the lines of every file and, for licence files, the whole text. A unit's cosine to a template is at
+most the share of its length that lies in the vocabulary, and no term weighs less than 1, so units whose
+share is surely under the threshold leave before they are compared. Only the terms of the others are
+joined with the frequencies. A file's own licence is that of its best unit (ties: the template's name).
 
 A directory's licence is that of the licence files in it (the best, ties by path). Every other file
 without an own licence takes that of the nearest directory above it that has one. Inheritance is
@@ -23,61 +24,70 @@ from pyspark.sql import functions as F
 from gustline.session import stage
 
 THRESHOLD = 0.75
-MAX_TERMS = 5_000  # terms of all templates; they are sent to all tasks
+MAX_TERMS = 5_000  # terms of all templates sent to all tasks at most; with more, all units are compared by joins
 
 _BREAK = r"[^a-z0-9.+-]+"
 
 
-def terms_of(text: Column) -> Column:
-    """Distinct terms: runs of ASCII letters, digits and ``.+-``, lower-cased, without closing stops."""
+def _term_list(text: Column) -> Column:
+    """Terms: runs of ASCII letters, digits and ``.+-``, lower-cased, without closing stops."""
     parts = F.split(F.lower(text), _BREAK, -1)
-    return F.array_distinct(F.filter(F.transform(parts, lambda t: F.regexp_replace(t, r"[.+-]+$", "")), lambda t: t != ""))
+    return F.filter(F.transform(parts, lambda t: F.regexp_replace(t, r"[.+-]+$", "")), lambda t: t != "")
+
 
+def terms_of(text: Column) -> Column:
+    """Distinct terms."""
+    return F.array_distinct(_term_list(text))
 
-def _vocabulary(terms: DataFrame) -> Column:
-    """All terms of the templates (a checked number) as one constant."""
-    return F.lit(sorted(r.term for r in terms.select("term").distinct().collect())) if not terms.isEmpty() else F.array().cast("array<string>")
 
+def _weights(docs: DataFrame, templates: DataFrame) -> DataFrame:
+    """(term, weight) of all terms of the corpus and the templates."""
+    held = docs.select(F.explode(terms_of(F.col("text"))).alias("term"), F.lit(1).alias("one"))
+    said = templates.select(F.explode(terms_of(F.col("text"))).alias("term"), F.lit(0).alias("one"))
+    counted = held.unionByName(said).groupBy("term").agg(F.sum("one").alias("n"))
+    weight = F.log(F.lit(1.0 + docs.count()) / (1 + F.col("n"))) + 1
+    return stage(counted.select("term", weight.alias("weight")), "license-weights")
 
-def _weights(docs: DataFrame, templates: DataFrame) -> tuple[DataFrame, float]:
-    """(term, weight) of the vocabulary, and the weight of any other term."""
-    terms = stage(templates.select(F.explode(terms_of(F.col("text"))).alias("term")).distinct(), "license-terms")
-    if terms.count() > MAX_TERMS:
-        raise ValueError(f"templates have more than {MAX_TERMS} terms")
-    held = docs.select(F.explode(F.array_intersect(terms_of(F.col("text")), _vocabulary(terms))).alias("term"))
-    counted = held.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    total = docs.count()
-    rarest = float(docs.sparkSession.range(1).select(F.log(F.lit(1.0 + total)) + 1).first()[0])
-    weight = F.log(F.lit(1.0 + total) / (1 + F.coalesce("n", F.lit(0)))) + 1
-    return stage(terms.join(F.broadcast(counted), "term", "left").select("term", weight.alias("weight")), "license-weights"), rarest
+
+def _counted(units: DataFrame, *by: str) -> DataFrame:
+    """(by, term, tf): how often each term is in the ``terms`` of each unit."""
+    return units.select(*by, F.explode("terms").alias("term")).groupBy(*by, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def own_licenses(files: DataFrame, templates: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """(key, license, score) of the files (key, text, is_license) with a unit like a template."""
-    weights, rarest = _weights(files, templates)
-    known = templates.select("license", F.explode(terms_of(F.col("text"))).alias("term")).distinct().join(F.broadcast(weights), "term")
-    norms = known.groupBy("license").agg(F.sum(F.col("weight") * F.col("weight")).alias("length"))
-    known = stage(known.join(norms, "license").groupBy("term", "weight").agg(F.collect_list(F.struct("license", "length")).alias("held")), "license-vectors")
-    vocabulary = _vocabulary(known)
+    weights = _weights(files, templates)
+    part = F.col("tf") * F.col("weight")
+    known = _counted(templates.select("license", "text").distinct().select("license", _term_list(F.col("text")).alias("terms")), "license")
+    known = stage(known.join(weights, "term").select("license", "term", "weight", part.alias("part")), "license-vectors")
+    lengths = known.groupBy("license").agg(F.sum(F.col("part") * F.col("part")).alias("template"))
+    vocabulary = known.select("term", "weight").distinct()
 
     text = F.coalesce("text", F.lit(""))
     units = F.when(F.col("is_license"), F.concat(F.split(text, "\n", -1), F.array(text))).otherwise(F.split(text, "\n", -1))
-    lines = files.select("key", F.posexplode(units).alias("unit", "line")).select("key", "unit", terms_of(F.col("line")).alias("terms"))
-    lines = lines.select("key", "unit", F.array_intersect("terms", vocabulary).alias("inside"), F.size("terms").alias("n_terms"))
-    # no term weighs more than the rarest, so the share inside is at most that of the numbers of terms
-    lines = lines.where(F.size("inside") >= threshold * threshold * F.col("n_terms")).where(F.size("inside") > 0)
-    hits = lines.select("key", "unit", "n_terms", F.size("inside").alias("n_inside"), F.explode("inside").alias("term"))
-    hits = hits.join(F.broadcast(known), "term")
-    squared = F.col("weight") * F.col("weight")
-    unit = hits.groupBy("key", "unit").agg(
-        (F.sum(squared) + (F.first("n_terms") - F.first("n_inside")) * F.lit(rarest * rarest)).alias("length"),
-        F.sum(squared).alias("inside"),
-        F.flatten(F.collect_list(F.transform("held", lambda x: F.struct(x["license"].alias("license"), x["length"].alias("template"), squared.alias("part"))))).alias("parts"),
-    )
-    unit = unit.where(F.col("inside") >= threshold * threshold * F.col("length"))
-    scored = unit.select("key", "unit", "length", F.explode("parts").alias("p")).groupBy("key", "unit", F.col("p.license").alias("license")).agg(
-        F.round(F.sum("p.part") / F.sqrt(F.first("length") * F.first("p.template")), 6).alias("score")
-    )
+    lines = files.select("key", F.posexplode(units).alias("unit", "line")).select("key", "unit", _term_list(F.col("line")).alias("terms"))
+    few = vocabulary.limit(MAX_TERMS + 1).count() <= MAX_TERMS
+    if few:
+        terms = sorted(vocabulary.collect())
+        names = F.lit([r.term for r in terms]) if terms else F.array().cast("array<string>")
+        weight_of = F.map_from_arrays(names, F.lit([r.weight for r in terms]) if terms else F.array().cast("array<double>"))
+        lines = lines.select("key", "unit", "terms", F.filter("terms", lambda t: F.array_contains(names, t)).alias("inside")).where(F.size("inside") > 0)
+        most = F.aggregate(
+            F.array_distinct("inside"),
+            F.lit(0.0),
+            lambda a, t: a + F.pow(F.size(F.filter("inside", lambda x: x == t)) * F.element_at(weight_of, t), F.lit(2.0)),
+        )
+        outside = F.size("terms") - F.size("inside")
+        # a little less than the threshold, so that rounding drops nothing
+        lines = lines.where(most >= (threshold * threshold - 1e-6) * (most + outside))
+        known, lengths = F.broadcast(known), F.broadcast(lengths)
+    # rows with one key have the same units
+    lines = stage(lines.select("key", "unit", "terms").dropDuplicates(["key", "unit"]), "license-units")
+    own = stage(_counted(lines, "key", "unit").join(weights, "term").select("key", "unit", "term", part.alias("own")), "license-parts")
+    norms = own.groupBy("key", "unit").agg(F.sum(F.col("own") * F.col("own")).alias("length"))
+    dots = own.join(known.drop("weight"), "term").groupBy("key", "unit", "license").agg(F.sum(F.col("own") * F.col("part")).alias("dot"))
+    score = F.round(F.col("dot") / F.sqrt(F.col("length") * F.col("template")), 6)
+    scored = dots.join(norms, ["key", "unit"]).join(lengths, "license").select("key", "license", score.alias("score"))
     best = scored.where(F.col("score") >= threshold).groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("rank"), "license")).alias("best"))
     return best.select("key", F.col("best.license").alias("license"), (-F.col("best.rank")).alias("score"))
 

@@ -258,3 +258,31 @@ def test_licenses_of_nulls_repeats_and_empty_tables(spark):
     assert got == sorted(map(str, [(None, "mit", "own"), ("x/y", "mit", "own"), ("x/y", "mit", "own"), ("x/z", None, "none")]))
     assert licenses.scan(files.limit(0), templates).count() == 0
     assert {r.origin for r in licenses.scan(files, templates.limit(0)).collect()} == {"none"}
+
+
+def test_licenses_weigh_all_terms_by_corpus_frequency(spark):
+    common = "This file is released under the MIT License."
+    files = [(f"f{k}", "this file is here", False) for k in range(200)] + [("a", common, False), ("b", "mit mit mit mit mit mit mit mit released under the license", False)]
+
+    def listed(text):
+        return [t for t in (re.sub(r"[.+-]+$", "", t) for t in re.split(r"[^a-z0-9.+-]+", text.lower())) if t]
+
+    n = {t: sum(t in listed(text) for _, text, _ in files) for _, text, _ in [*files, (0, TEMPLATES[0][1], 0), (0, TEMPLATES[1][1], 0)] for t in listed(text)}
+
+    def vector(text):
+        return {t: listed(text).count(t) * (math.log((1 + len(files)) / (1 + n[t])) + 1) for t in listed(text)}
+
+    def cosine(a, b):
+        return sum(a[t] * b[t] for t in a.keys() & b.keys()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    want = {path: max(cosine(vector(text), vector(template)) for _, template in TEMPLATES) for path, text, _ in files}
+    df = spark.createDataFrame(files, "path string, text string, is_license boolean")
+    templates = spark.createDataFrame(TEMPLATES, "license string, text string")
+    for terms in (licenses.MAX_TERMS, 3):  # beyond the bound the vocabulary is joined
+        old, licenses.MAX_TERMS = licenses.MAX_TERMS, terms
+        try:
+            got = {r.path: r.score for r in licenses.scan(df, templates).collect() if r.score is not None}
+        finally:
+            licenses.MAX_TERMS = old
+        assert got == {path: round(score, 6) for path, score in want.items() if score >= licenses.THRESHOLD}
+        assert "a" in got and "b" not in got
