@@ -23,7 +23,8 @@ from gustline.sources.streams import (
     text_topic,
 )
 from gustline.sources.tables import check_apart, preview, read_table, replace_table, schema_report
-from gustline.streaming.flows import batch_counts, ingest, publish, run_bounded, tap, total_rows
+from gustline.streaming.flows import ingest, publish, tap
+from gustline.streaming.runs import batch_counts, run_bounded, total_rows
 
 
 def _pairs(options: list[str]) -> dict[str, str]:

@@ -1,8 +1,9 @@
 """Evaluation of predictions: metrics, residuals and the data behind their plots.
 
 Results are bounded by bins or grid points, so any plotting tool can take them. Only the automatic
-number of bins follows the rows, up to about twice their square root. NaN has no place on an axis: rows
-with it are left out of histograms, densities and joint counts, as are NULLs.
+number of bins follows the rows, up to about twice their square root. NaN and the infinities have no
+place on an axis of finite bins: rows with one are left out of histograms, densities and joint counts, as
+are NULLs; ``not_finite`` tells how many there are.
 """
 
 from __future__ import annotations
@@ -15,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustline.functions.bins import bin_edge, fixed_bin
+from gustline.operators.selection import quantiles
 
 # Points of a density curve, cells it is computed from, bins per axis of a 2-D count.
 GRID_POINTS = 200
 DENSITY_CELLS = 2048
 JOINT_BINS = 50
-QUANTILE_ACCURACY = 10_000
 
 
 def metrics(
@@ -66,7 +67,7 @@ class Spread:
         below half the square-root width, so that a far outlier cannot ask for any number of bins."""
         if self.quartile_range is None:
             raise ValueError("quartiles were not taken")
-        if self.rows == 0:
+        if self.rows == 0 or self.deviation == 0:
             return 1
         extent = self.high - self.low
         width = extent / (math.log2(self.rows) + 1)
@@ -81,23 +82,21 @@ class Spread:
 
 
 def spread(df: DataFrame, column: str, quartiles: bool = False) -> Spread:
-    """One pass over a column. Quartiles are approximate (rank error 1e-4): exact ones would gather
-    the column's values in one task."""
+    """One pass over a column. Quartiles are exact, interpolated between neighbours; they are found by
+    counting in a few more passes (see ``selection``), with nothing sorted or gathered."""
     summary = [
         F.count(column).alias("rows"),
         F.min(column).alias("low"),
         F.max(column).alias("high"),
         F.stddev_samp(column).alias("deviation"),
     ]
-    if quartiles:
-        summary.append(F.percentile_approx(column, [0.25, 0.75], QUANTILE_ACCURACY).alias("quartiles"))
     row = df.agg(*summary).first()
     between = None
     if row["rows"] == 0:
         return Spread(0, 0.0, 1.0, 0.0, 0.0 if quartiles else None)
     if quartiles:
-        lower, upper = row["quartiles"]
-        between = float(upper - lower)
+        lower, upper = quantiles(df, column, (0.25, 0.75))
+        between = upper - lower
     low, high = float(row["low"]), float(row["high"])
     if low == high:
         low, high = low - 0.5, high + 0.5
@@ -106,10 +105,26 @@ def spread(df: DataFrame, column: str, quartiles: bool = False) -> Spread:
 
 def _numbers(df: DataFrame, *columns: str) -> DataFrame:
     for column in columns:
-        df = df.filter(F.col(column).isNotNull() & ~F.isnan(column))
+        df = df.filter(F.abs(F.col(column)) < F.lit(math.inf))  # NaN is beyond infinity
     return df
 
 
+def not_finite(df: DataFrame, *columns: str) -> DataFrame:
+    """(column, missing, not_a_number, infinite): the rows that have no place on the axis of each column."""
+    counts = []
+    for i, column in enumerate(columns):
+        value = F.col(column).cast("double")
+        missing, odd = value.isNull(), F.coalesce(F.isnan(value), F.lit(False))
+        infinite = F.coalesce((F.abs(value) == F.lit(math.inf)), F.lit(False))
+        counts += [F.count_if(test).alias(f"{name}_{i}") for name, test in (("missing", missing), ("odd", odd), ("infinite", infinite))]
+    parts = ", ".join(f"'{_escaped(c)}', missing_{i}, odd_{i}, infinite_{i}" for i, c in enumerate(columns))
+    return df.agg(*counts).selectExpr(f"stack({len(columns)}, {parts}) as (column, missing, not_a_number, infinite)")
+
+
+def _escaped(name: str) -> str:
+    return name.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def histogram(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
     """Fixed-width histogram: bin, its edges, rows in it (0 for an empty bin). Without ``bins`` their
     number follows from the data. No rows, no bins."""

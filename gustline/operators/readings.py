@@ -7,12 +7,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gustline.functions.signals import quoted, reading_date, reading_time, signal_map, signal_value
 from gustline.schemas import MESSAGE_SCHEMA, SIGNAL_OF_FIELD, TIME_FIELD
+from gustline.session import stage
 
-# The white space of JSON, which is no content of a message.
+# The white space of JSON, which is no content of a message, and its values without parts.
 _BLANKS = " \t\r\n"
+_SCALAR = r'^(null|true|false|-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?|"([^"\\]|\\.)*")$'
 
 
 def to_payload(rows: DataFrame) -> DataFrame:
@@ -57,6 +60,45 @@ def parse_readings(messages: DataFrame, *extra: str) -> DataFrame:
     return shape_readings(parse_messages(messages, *extra), *extra)
 
 
+# Reasons why a message has no place among the readings.
+NO_BODY, BLANK, NOT_JSON, NOT_AN_OBJECT, NO_TIME, BAD_TIME = (
+    "no body", "blank", "not JSON", "not an object", "no time", "bad time",
+)
+_DAMAGED = "damaged_text"
+
+
+def inspect_messages(messages: DataFrame, *extra: str) -> DataFrame:
+    """All messages as readings with their ``body`` and the ``problem`` that each has, if any.
+
+    The body is parsed once: the parser itself tells which text it could not read. Nothing is dropped,
+    so one pass can be dealt out to a table, a quarantine and a copy.
+    """
+    body = F.col("value").cast("string")
+    shape = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField(_DAMAGED, T.StringType())])
+    parsed = messages.select(
+        *extra, body.alias("body"), F.from_json(body, shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _DAMAGED}).alias("data")
+    )
+    time, bare = F.col("data").getField(TIME_FIELD), F.btrim("body", F.lit(_BLANKS))
+    shaped = shape_readings(parsed, *extra, "body", "data")
+    problem = (
+        F.when(F.col("body").isNull(), NO_BODY)
+        .when(bare == "", BLANK)
+        .when(~bare.startswith("{") & (bare.startswith("[") | bare.rlike(_SCALAR)), NOT_AN_OBJECT)
+        .when(F.col(f"data.{_DAMAGED}").isNotNull(), NOT_JSON)
+        .when(time.isNull(), NO_TIME)
+        .when(F.col("signal_ts").isNull(), BAD_TIME)
+    )
+    return shaped.withColumn("problem", problem).drop("data")
+
+
+def route(messages: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame]:
+    """(readings, damaged messages with body and problem). Both are taken from one written pass, so the
+    messages are read and parsed once."""
+    inspected = stage(inspect_messages(messages, *extra), "inspected")
+    damaged = F.col("problem").isNotNull()
+    return inspected.where(~damaged).drop("body", "problem"), inspected.where(damaged).select(*extra, "body", "problem")
+
+
 def with_validity(readings: DataFrame) -> DataFrame:
     """Add ``is_valid``: whether the reading has a time. Costs no second parse of the message."""
     return readings.withColumn("is_valid", F.col("signal_ts").isNotNull())

@@ -25,11 +25,12 @@ from gustline.operators.aggregates import (
     hourly_from_map,
     with_band,
 )
-from gustline.operators.evaluation import density, histogram, joint_counts, metrics, with_residual
-from gustline.operators.features import TRAIN_SHARE, assembler, fit_index, keyed_split, random_split
+from gustline.operators.evaluation import density, histogram, joint_counts, metrics, not_finite, with_residual
+from gustline.operators.features import TRAIN_SHARE, assembler, exact_split, fit_index, keyed_split, random_split
 from gustline.operators.models import DEEPEST, fit_flow, linear, score_day, side_by_side, tree
-from gustline.operators.readings import parse_readings, promote_signals, to_payload, with_validity
+from gustline.operators.readings import parse_readings, promote_signals, raw_text, route, to_payload, with_validity
 from gustline.operators.renaming import long_form, map_names, rename_columns
+from gustline.operators.selection import quantiles
 from gustline.plans.flows import banded_rows, hourly_status, typed_readings
 from gustline.schemas import (
     FEATURES,
@@ -43,11 +44,13 @@ from gustline.schemas import (
     STATUS,
     STATUS_INDEX,
     TIME_FIELD,
+    TOTALS_SCHEMA,
     TYPED_AVERAGES,
 )
 from gustline.session import scratch_path, stage
+from gustline.sources.commits import located, names_in
 from gustline.sources.driver_tables import events, readings_from_events, rows_from_events
-from gustline.sources.streams import append_stream, csv_landing, open_stream, table_sink, text_topic
+from gustline.sources.streams import Endpoint, append_stream, csv_landing, open_stream, table_sink, text_topic
 from gustline.sources.tables import (
     append_table,
     batch_sizes,
@@ -58,7 +61,8 @@ from gustline.sources.tables import (
     read_table,
     replace_table,
 )
-from gustline.streaming.flows import ingest, publish, run_bounded, tap
+from gustline.streaming.flows import distribute, ingest, publish, tap
+from gustline.streaming.runs import lifetime_batches, run_bounded
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,6 +258,33 @@ def q_invalid_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _damaged(rows: DataFrame) -> Column:
+    """Message bodies damaged by event type: cut text, no time field, values that are no object, blanks,
+    a time that is none."""
+    values = [F.col(quoted(name)) for name in SIGNAL_OF_FIELD]
+    whole = F.to_json(F.struct(F.col(quoted(TIME_FIELD)), *values))
+    late = F.to_json(F.struct(F.concat(F.lit("on "), F.col(quoted(TIME_FIELD))).alias(TIME_FIELD), *values))
+    even = F.col("event_id") % 2 == 0
+    return (
+        F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), whole))
+        .when((F.col("event_type") == "purchase") & even, F.to_json(F.struct(*values)))
+        .when(F.col("event_type") == "purchase", late)
+        .when((F.col("event_type") == "signup") & even, F.lit("null"))
+        .when(F.col("event_type") == "signup", F.lit("[]"))
+        .when((F.col("event_type") == "view") & even, F.lit(" \t"))
+        .otherwise(whole)
+    )
+
+
+def q_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Every damaged message with its reason and whether its body was kept as sent, beside the good ones."""
+    rows = rows_from_events(events(spark, folder), "event_id", "event_type")
+    messages = rows.select("event_id", _damaged(rows).alias("value"))
+    good, damaged = route(messages, "event_id", "value")
+    kept = damaged.select("event_id", "problem", F.col("body").eqNullSafe(F.col("value")).alias("body_kept"))
+    return kept.unionByName(good.select("event_id", F.lit(None).cast("string").alias("problem"), F.lit(None).cast("boolean").alias("body_kept")))
+
+
 # --- sinks and streams -------------------------------------------------------------------------
 
 
@@ -380,6 +411,15 @@ def q_trailing_time_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _date_back(spark: SparkSession, landing: str, names: set[str] | None = None) -> None:
+    """Give files of a folder (all, or those named) a date forty days back."""
+    location, files = located(spark, landing)
+    forty_days_ago = int((time.time() - 40 * 86400) * 1000)
+    for file in files.listStatus(location):
+        if names is None or file.getPath().getName() in names:
+            files.setTimes(file.getPath(), forty_days_ago, -1)
+
+
 def q_old_landing_files(spark: SparkSession, folder: str) -> DataFrame:
     """Half of the landing files arrive after a first run, dated forty days back."""
     landing, path, checkpoint = (scratch_path(spark, name) for name in ("late-landing", "late-rows", "late-checkpoint"))
@@ -390,17 +430,79 @@ def q_old_landing_files(spark: SparkSession, folder: str) -> DataFrame:
         part = lines.filter(F.pmod(F.xxhash64(quoted(names[0])), F.lit(2)) == number)
         part.write.mode("append").option("header", "true").csv(landing)
         if number:
-            location = spark._jvm.org.apache.hadoop.fs.Path(landing)
-            files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-            forty_days_ago = int((time.time() - 40 * 86400) * 1000)
-            for file in files.listStatus(location):
-                files.setTimes(file.getPath(), forty_days_ago, -1)
+            _date_back(spark, landing)
         rows = open_stream(spark, csv_landing(landing))
         named = rows.withColumnsRenamed(dict(zip(rows.columns, ("time_text", *FLAT_NAMES.values()), strict=True)))
         run_bounded(append_stream(named, table_sink(path), checkpoint))
     return _rounded(read_table(spark, path, schema=named.schema), 6)
 
 
+def q_fan_out(spark: SparkSession, folder: str) -> DataFrame:
+    """One stream into three sinks: the reading table, copies of all bodies, damaged messages."""
+    rows = rows_from_events(events(spark, folder), "event_id", "event_type")
+    topic, table, copies, damaged = (scratch_path(spark, f"fan-{name}") for name in ("topic", "table", "tap", "damaged"))
+    rows.select(_damaged(rows).alias("value")).write.text(topic)
+    writer = distribute(
+        spark, text_topic(topic), scratch_path(spark, "fan-checkpoint"), table_sink(table), text_topic(copies), table_sink(damaged)
+    )
+    run_bounded(writer)
+    readings = read_table(spark, table, schema=READING_SCHEMA)
+    power = _cut(signal_value(POWER_KEY, "double"), 6)
+    copied = F.get_json_object("value", "$['LV ActivePower (kW)']").try_cast("double")
+    none = F.lit(None).cast("string")
+    return (
+        readings.select(F.lit("table").alias("sink"), none.alias("problem"), power.alias("power"))
+        .unionByName(read_table(spark, copies, "text").select(F.lit("tap").alias("sink"), none.alias("problem"), _cut(copied, 6).alias("power")))
+        .unionByName(read_table(spark, damaged).select(F.lit("quarantine").alias("sink"), "problem", F.lit(None).cast("double").alias("power")))
+    )
+
+
+def q_failed_replacement(spark: SparkSession, folder: str) -> DataFrame:
+    """A table, a replacement of it that fails half-way, then one that is made of the table itself."""
+    path = scratch_path(spark, "kept")
+    hourly = _hourly(spark, folder)
+    replace_table(hourly, path)
+    failing = hourly.withColumn("hour", F.when(F.col("hour") < 23, F.col("hour")).otherwise(F.raise_error(F.lit("stop")).cast("int")))
+    try:
+        replace_table(failing, path)
+    except Exception as error:  # noqa: BLE001  the failure is the point
+        if "stop" not in str(error):
+            raise
+    replace_table(read_table(spark, path, schema=hourly.schema).filter("hour % 2 = 0"), path)
+    return _rounded(read_table(spark, path, schema=hourly.schema), 6)
+
+
+def q_archived_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing files that are archived once read; the last third arrives dated forty days back."""
+    landing, archive, path, checkpoint = (scratch_path(spark, f"archived-{name}") for name in ("in", "read", "rows", "checkpoint"))
+    lines = spark.read.option("header", "true").csv(_landed(spark, folder))
+    names = lines.columns
+    source = csv_landing(landing, archive)
+    for number in range(3):
+        there = set(names_in(spark, landing))
+        part = lines.filter(F.pmod(F.xxhash64(quoted(names[0])), F.lit(3)) == number)
+        part.write.mode("append").option("header", "true").csv(landing)
+        if number == 2:
+            _date_back(spark, landing, set(names_in(spark, landing)) - there)
+        run_bounded(publish(spark, source, text_topic(path), checkpoint))
+    messages = read_table(spark, path, "text")
+    return _flat_readings(parse_readings(messages))
+
+
+def q_stream_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all batches of a stream into a sink without files, told by the engine's events and kept
+    over two runs of six batches each."""
+    topic, checkpoint = scratch_path(spark, "totals-topic"), scratch_path(spark, "totals-checkpoint")
+    messages = to_payload(rows_from_events(events(spark, folder)))
+    for _ in range(2):
+        messages.repartition(6).write.mode("append").text(topic)
+        source = open_stream(spark, text_topic(topic, maxFilesPerTrigger="1"))
+        run_bounded(append_stream(raw_text(source), Endpoint("noop"), checkpoint))
+    return inline_relation(spark, lifetime_batches(spark, checkpoint), TOTALS_SCHEMA).agg(
+        F.count("batch").alias("batches"), F.sum("rows").alias("rows")
+    )
+
+
 # --- features and models -----------------------------------------------------------------------
 
 
@@ -437,6 +539,19 @@ def q_keyed_split_events(spark: SparkSession, folder: str) -> DataFrame:
     return events(spark, folder).groupBy(side.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_exact_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly rows with their side of a split of exact size."""
+    train, test = exact_split(_stored_hourly(spark, folder), hour_key())
+    tagged = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return tagged.select(*IDS, "part")
+
+
+def q_exact_split_events(spark: SparkSession, folder: str) -> DataFrame:
+    """All events with their side of a split of exact size."""
+    train, test = exact_split(events(spark, folder).select("event_id"), F.col("event_id"))
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 def q_random_split_cover(spark: SparkSession, folder: str) -> DataFrame:
     """A random split takes every row exactly once."""
     parts = random_split(_stored_hourly(spark, folder))
@@ -506,6 +621,19 @@ def q_residual_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(histogram(_residuals(spark, folder), "residual", HISTOGRAM_BINS), 4)
 
 
+def q_residual_histogram_auto(spark: SparkSession, folder: str) -> DataFrame:
+    """Residual histogram with as many bins as the rows and their quartiles ask for."""
+    return _rounded(histogram(_residuals(spark, folder), "residual"), 4)
+
+
+def q_event_quartiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quartiles of the values of all events, and the rows that have no place among them."""
+    source = events(spark, folder)
+    low, middle, high = quantiles(source, "value", (0.25, 0.5, 0.75))
+    left_out = not_finite(source, "value").select("missing", "not_a_number", "infinite")
+    return left_out.select(*(_cut(F.lit(x), 6).alias(name) for name, x in (("low", low), ("middle", middle), ("high", high))), "missing", "not_a_number", "infinite")
+
+
 def q_residual_density(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(density(_residuals(spark, folder), "residual", CURVE_POINTS, CURVE_CELLS), 6)
 

@@ -65,8 +65,15 @@ def _band(power: str) -> str:
     )
 
 
+def _rank(key: str) -> str:
+    return f"((({key} + {SEED}) % {KEY_RANGE}) * {MULTIPLIER} % {MODULUS})"
+
+
 def _position(key: str) -> str:
-    return f"((({key} + {SEED}) % {KEY_RANGE}) * {MULTIPLIER} % {MODULUS}) / {float(MODULUS)}"
+    return f"{_rank(key)} / {float(MODULUS)}"
+
+
+_SIDE = f"CASE WHEN place <= ceil(round(n * {1 - TRAIN_SHARE}, 6)) THEN 'test' ELSE 'train' END"
 
 
 _FEATURES = ("speed", "curve", "direction", "status_index")
@@ -193,6 +200,22 @@ def _tree() -> str:
     return ", ".join(steps)
 
 
+# event_type and event_id of every message, and what is wrong with it
+_DAMAGED = (
+    "WITH damaged AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'not JSON' "
+    "WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN 'no time' WHEN event_type = 'purchase' THEN 'bad time' "
+    "WHEN event_type = 'signup' THEN 'not an object' WHEN event_type = 'view' AND event_id % 2 = 0 THEN 'blank' "
+    "END AS problem FROM events) "
+)
+
+# the narrower of two widths, the first of them not below half the square-root width
+_AUTO_BINS = (
+    "measured AS (SELECT count(*) AS n, max(residual) - min(residual) AS extent, "
+    "quantile_cont(residual, 0.75) - quantile_cont(residual, 0.25) AS iqr FROM scored), "
+    "auto AS (SELECT CAST(ceil(extent / least(extent / (log2(n) + 1), "
+    "greatest(2 * iqr / power(n, 1.0 / 3), extent / sqrt(n) / 2))) AS INTEGER) AS bins FROM measured) "
+)
+
 _METRICS = "count(*) AS rows, " + _cuts(
     {
         "avg(residual * residual)": "mse",
@@ -204,8 +227,8 @@ _METRICS = "count(*) AS rows, " + _cuts(
 )
 
 
-def _histogram(source: str, bins: int, extra: str = "") -> str:
-    place = f"LEAST(CAST(floor((residual - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1})"
+def _histogram(source: str, bins: int | str, extra: str = "") -> str:
+    place = f"LEAST(CAST(floor((residual - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins} - 1)"
     return (
         f"SELECT CAST(g AS INTEGER) AS bin, {_cut(f'lo + g * (hi - lo) / {bins}', 4)} AS low, "
         f"{_cut(f'lo + (g + 1) * (hi - lo) / {bins}', 4)} AS high, "
@@ -325,10 +348,21 @@ ORACLES: Mapping[str, str] = {
     "WHERE NOT (event_type = 'view' AND event_id % 2 = 0)) "
     "SELECT event_type, is_valid, count(*) AS rows, count(*) FILTER (WHERE has_power) AS with_power "
     "FROM kept GROUP BY 1, 2",
+    "quarantine": _DAMAGED
+    + "SELECT event_id, problem, CASE WHEN problem IS NOT NULL THEN true END AS body_kept FROM damaged",
+    "fan_out": _R.rstrip() + ", " + _DAMAGED.removeprefix("WITH ")
+    + f"SELECT 'table' AS sink, NULL AS problem, {_cut('power_d', 6)} AS power "
+    "FROM readings JOIN damaged USING (event_id) WHERE problem IS NULL "
+    "UNION ALL SELECT 'tap', NULL, CASE WHEN problem IS NULL OR problem IN ('no time', 'bad time') "
+    f"THEN {_cut('power_d', 6)} END FROM readings JOIN damaged USING (event_id) "
+    "UNION ALL SELECT 'quarantine', problem, NULL FROM damaged WHERE problem IS NOT NULL",
     "append_then_read": _R
     + f"SELECT signal_date, signal_ts, {_FLAT} FROM readings "
     f"UNION ALL SELECT signal_date, signal_ts, {_FLAT} FROM readings",
     "overwrite_then_read": _S + _STATUS_ROWS,
+    "failed_replacement": _S + _STATUS_ROWS + " WHERE hour % 2 = 0",
+    "archived_landing": _LANDED_ROWS,
+    "stream_totals": "SELECT CAST(12 AS BIGINT) AS batches, 2 * count(*) AS rows FROM events",
     "csv_stream": _R + f"SELECT {_TIME_TEXT}, {_LANDED} FROM readings",
     "stream_publish": _LANDED_ROWS,
     "raw_tap": _R + f"SELECT {_TIME_TEXT}, {_cut('power_d', 6)} AS power FROM readings",
@@ -349,6 +383,11 @@ ORACLES: Mapping[str, str] = {
     + "SELECT signal_date, hour, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM indexed",
     "keyed_split_events": f"SELECT CASE WHEN {_position('event_id')} < {TRAIN_SHARE} THEN 'train' ELSE 'test' END "
     "AS part, count(*) AS rows FROM events GROUP BY 1",
+    "exact_split": _H.rstrip()
+    + f", placed AS (SELECT signal_date, hour, row_number() OVER (ORDER BY {_rank(_HOUR_KEY)}) AS place, "
+    f"count(*) OVER () AS n FROM hourly) SELECT signal_date, hour, {_SIDE} AS part FROM placed",
+    "exact_split_events": f"WITH placed AS (SELECT event_id, row_number() OVER (ORDER BY {_rank('event_id')}) AS place, "
+    f"count(*) OVER () AS n FROM events) SELECT event_id, {_SIDE} AS part FROM placed",
     "random_split_cover": _H
     + "SELECT signal_date, count(*) AS rows, count(DISTINCT hour) AS distinct_hours FROM hourly GROUP BY 1",
     "linear_one_feature": _FRAME
@@ -362,6 +401,11 @@ ORACLES: Mapping[str, str] = {
     "regression_metrics": _MODEL + f"SELECT {_METRICS} FROM scored",
     "residuals": _MODEL + f"SELECT signal_date, hour, {_cut('residual', 4)} AS residual FROM scored",
     "residual_histogram": _MODEL + _histogram("scored", HISTOGRAM_BINS),
+    "residual_histogram_auto": _MODEL.rstrip() + ", " + _AUTO_BINS + _histogram("scored", "(SELECT bins FROM auto)"),
+    "event_quartiles": "SELECT "
+    + _cuts({f"quantile_cont(value, {share})": name for share, name in ((0.25, "low"), (0.5, "middle"), (0.75, "high"))}, 6)
+    + ", count(*) FILTER (WHERE value IS NULL) AS missing, count(*) FILTER (WHERE isnan(value)) AS not_a_number, "
+    "count(*) FILTER (WHERE isinf(value)) AS infinite FROM events",
     "residual_density": _density(),
     "actual_vs_predicted_bins": _joint(),
     "model_comparison": _BOTH

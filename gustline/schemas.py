@@ -90,6 +90,8 @@ LINE_SCHEMA = _flat({"slope": T.DoubleType(), "intercept": T.DoubleType()})
 
 TOPIC_SCHEMA = _flat({"value": T.StringType()})
 
+TOTALS_SCHEMA = _flat({"batch": T.LongType(), "rows": T.LongType()})
+
 HOURLY_SCHEMA = _flat(
     {"signal_date": T.DateType(), "hour": T.IntegerType()}
     | {new: T.DoubleType() for old, new in HOURLY_MAPPING if old.startswith("avg_")}

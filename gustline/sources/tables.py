@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustline.schemas import MAPPING_SCHEMA, REPORT_SCHEMA
+from gustline.sources.commits import commit, current_folder, new_writer, read_folder, replace
 from gustline.sources.streams import PLAIN_FORMATS, refuse_sink_log
 
 
@@ -19,31 +20,31 @@ def read_table(
     format: str = "parquet",
     schema: T.StructType | None = None,
     options: Mapping[str, str] | None = None,
+    keep_commits: bool = False,
 ) -> DataFrame:
     """Scan a table. Give the schema where it is known: it saves the footer reads of inference and
-    pins the type of partition columns."""
+    pins the type of partition columns.
+
+    A table of a plain file format is read as of its complete writes (see ``commits``): rows of a job
+    that is running or has failed are not seen. ``keep_commits`` adds the writer and number of each
+    row's write.
+    """
+    if format in PLAIN_FORMATS:
+        return read_folder(spark, path, format, schema, options or {}, keep_commits)
     reader = spark.read.format(format).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
 
 
-def _write(
-    df: DataFrame,
-    path: str,
-    mode: str,
-    format: str,
-    partition_by: Sequence[str],
-    gather: bool,
-    options: Mapping[str, str] | None,
-) -> None:
-    if format in PLAIN_FORMATS:
-        refuse_sink_log(df.sparkSession, path)
-    if partition_by and gather:
-        # One shuffle that gathers a partition's rows into few files; AQE splits a partition that
-        # is far larger than the rest (one day with a third of all rows) over several tasks.
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(format).mode(mode).options(**(options or {}))
+def _gathered(df: DataFrame, partition_by: Sequence[str], gather: bool) -> DataFrame:
+    """One shuffle that gathers a partition's rows into few files; AQE splits a partition that is far
+    larger than the rest (one day with a third of all rows) over several tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by and gather else df
+
+
+def _write(df: DataFrame, path: str, mode: str, format: str, partition_by: Sequence[str], options: Mapping[str, str]) -> None:
+    writer = df.write.format(format).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -57,9 +58,15 @@ def append_table(
     gather: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Add rows to a table. A partitioned write shuffles once to keep the number of files small; turn
-    ``gather`` off for input whose tasks hold few partition values each, such as rows in time order."""
-    _write(df, path, "append", format, partition_by, gather, options)
+    """Add rows to a table; readers see all of them or none. A partitioned write shuffles once to keep
+    the number of files small; turn ``gather`` off for input whose tasks hold few partition values each,
+    such as rows in time order."""
+    df = _gathered(df, partition_by, gather)
+    if format not in PLAIN_FORMATS:
+        _write(df, path, "append", format, partition_by, options or {})
+        return
+    refuse_sink_log(df.sparkSession, path)
+    commit(df, current_folder(df.sparkSession, path), new_writer(), 0, format, partition_by, options)
 
 
 def replace_table(
@@ -70,9 +77,14 @@ def replace_table(
     gather: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace a table as a whole. ``df`` must not read from ``path``: for plain file formats the old
-    files go before the new rows are computed (see ``check_apart``)."""
-    _write(df, path, "overwrite", format, partition_by, gather, options)
+    """Replace a table as a whole. Until the new rows are complete, and if the job fails, readers see the
+    old ones; ``df`` may read the table itself. The replaced rows are deleted by the next replacement."""
+    df = _gathered(df, partition_by, gather)
+    if format not in PLAIN_FORMATS:
+        _write(df, path, "overwrite", format, partition_by, options or {})
+        return
+    refuse_sink_log(df.sparkSession, path)
+    replace(df, path, format, partition_by, options)
 
 
 def _qualified(path: str) -> str:

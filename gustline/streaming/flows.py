@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter
 
-from gustline.operators.readings import parse_readings, promote_signals, raw_text, to_payload
-from gustline.sources.streams import Endpoint, append_stream, open_stream
+from gustline.operators.readings import BLANK, NO_BODY, inspect_messages, parse_readings, promote_signals, raw_text, to_payload
+from gustline.sources.streams import Endpoint, Output, append_stream, fan_out, open_stream, readmit_late
 
 BATCH = "batch"
-POLL = 0.2  # seconds between looks at the progress; the engine keeps the last 100 updates
 
 
 def counted(df: DataFrame) -> DataFrame:
@@ -21,55 +19,12 @@ def counted(df: DataFrame) -> DataFrame:
     return df.observe(BATCH, F.count(F.lit(1)).alias("rows"))
 
 
-def run_bounded(writer: DataStreamWriter, timeout: int | None = None, every: str | None = None) -> StreamingQuery:
-    """Run a query to its end or for at most ``timeout`` seconds; it resumes from its checkpoint.
-
-    By default it processes what is there now, in as many batches as the source's limits ask for. With a
-    trigger interval ``every`` (such as "10 seconds") it keeps looking for new input until the timeout.
-    Counts of batches are gathered while it runs, so none are lost however many there are.
-    """
-    if every is not None and timeout is None:
-        raise ValueError("a query with a trigger interval needs a timeout")
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    query = writer.start()
-    counts = getattr(writer, "batch_rows", None)
-    folded: dict[int, int] = {} if counts is None else counts
-    end = None if timeout is None else time.monotonic() + timeout
-    while True:
-        done = query.awaitTermination(POLL if end is None else max(0.01, min(POLL, end - time.monotonic())))
-        if counts is None:
-            folded |= _recent(query)
-        if done:
-            break
-        if end is not None and time.monotonic() >= end:
-            query.stop()
-            break
-    query.batch_rows = folded
-    return query
-
-
-def _recent(query: StreamingQuery) -> dict[int, int]:
-    counts: dict[int, int] = {}
-    for progress in query.recentProgress:
-        observed = progress.observedMetrics.get(BATCH)
-        counts[progress.batchId] = observed["rows"] if observed is not None else progress.numInputRows
-    return counts
-
-
-def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch, rows) of all batches of a run that had rows. For totals over a table's whole life use
-    ``batch_sizes`` on the table."""
-    counts = getattr(query, "batch_rows", None)
-    return sorted((k, n) for k, n in (_recent(query) if counts is None else counts).items() if n)
-
-
-def total_rows(query: StreamingQuery) -> int:
-    """Rows of a whole run."""
-    return sum(n for _, n in batch_counts(query))
-
-
-def publish(spark: SparkSession, rows: Endpoint, topic: Endpoint, checkpoint: str) -> DataStreamWriter:
-    """Raw rows to JSON messages."""
+def publish(
+    spark: SparkSession, rows: Endpoint, topic: Endpoint, checkpoint: str, age: str = "7 days"
+) -> DataStreamWriter:
+    """Raw rows to JSON messages. Where read files are archived, late ones are let in first."""
+    if rows.options.get("cleanSource") == "archive":
+        readmit_late(spark, rows, checkpoint, age)
     return append_stream(counted(to_payload(open_stream(spark, rows))), topic, checkpoint)
 
 
@@ -108,3 +63,28 @@ def ingest(
     if tasks_per_day:
         readings = gathered(readings, "signal_date", tasks_per_day)
     return append_stream(counted(readings), table, checkpoint, partition_by)
+
+
+def distribute(
+    spark: SparkSession,
+    topic: Endpoint,
+    checkpoint: str,
+    table: Endpoint,
+    tap: Endpoint | None = None,
+    quarantine: Endpoint | None = None,
+    partition_by: Sequence[str] = (),
+) -> DataStreamWriter:
+    """Messages to the reading table, copies of all bodies to ``tap``, and damaged messages with their
+    body and reason to ``quarantine``: the topic is read and parsed once per batch for all of them.
+
+    Without a quarantine damaged messages but for blank ones become readings of NULLs, as in ``ingest``.
+    """
+    columns = ["signal_date", "signal_ts", "create_date", "create_ts", "signals"]
+    left_out = F.col("problem").isNotNull() if quarantine is not None else F.coalesce("problem", F.lit("")).isin(NO_BODY, BLANK)
+    outputs = {"table": Output(table, lambda batch: batch.where(~left_out).select(*columns), partition_by)}
+    if tap is not None:
+        outputs["tap"] = Output(tap, lambda batch: batch.where("body is not null").select(F.col("body").alias("value")))
+    if quarantine is not None:
+        damaged = ("body", "problem", "create_date", "create_ts")
+        outputs["quarantine"] = Output(quarantine, lambda batch: batch.where("problem is not null").select(*damaged))
+    return fan_out(inspect_messages(open_stream(spark, topic)), outputs, checkpoint)

@@ -7,6 +7,7 @@ import pytest
 from test_streams import drop
 
 from gustline import __main__ as cli
+from gustline.sources.tables import read_table
 
 
 @pytest.fixture
@@ -54,16 +55,16 @@ def test_whole_way(spark, run, tmp_path, capsys):
     assert f"[(0, {len(rows)})]" in capsys.readouterr().out
     run("tap", "--topic", at["topic"], "--rows", 2)
     run("analyse", "--table", at["table"], "--hourly", at["hourly"], "--daily", at["daily"])
-    assert spark.read.parquet(str(at["hourly"])).count() == 24 * 25
-    daily = spark.read.parquet(str(at["daily"])).collect()
+    assert read_table(spark, str(at["hourly"])).count() == 24 * 25
+    daily = read_table(spark, str(at["daily"])).collect()
     assert {row.distinct_signal_count for row in daily} == {144}
     run("train", "--hourly", at["hourly"], "--day", "2018-01-19", "--out", at["out"])
-    metrics = {row.model: row for row in spark.read.parquet(str(at["out"] / "metrics")).collect()}
+    metrics = {row.model: row for row in read_table(spark, str(at["out"] / "metrics")).collect()}
     assert metrics["linear"].r2 > 0.9
-    assert spark.read.parquet(str(at["out"] / "day")).count() == 24
+    assert read_table(spark, str(at["out"] / "day")).count() == 24
     for part in ("histogram", "density", "joint_counts"):
         for model in ("linear", "tree"):
-            assert spark.read.parquet(str(at["out"] / part / model)).count() > 0
+            assert read_table(spark, str(at["out"] / part / model)).count() > 0
     run("show", "--table", at["hourly"], "--rows", 3)
     shown = capsys.readouterr().out
     assert "generation_status" in shown
@@ -87,9 +88,9 @@ def test_bad_input_on_the_whole_way(spark, run, tmp_path, capsys):
         run("train", "--hourly", at["hourly"], "--day", "2018-01-02", "--out", at["out"])
     run("train", "--hourly", at["hourly"], "--day", "2018-01-02", "--out", at["out"], "--handle-invalid", "skip")
     assert "left out 2" in capsys.readouterr().out
-    assert spark.read.parquet(str(at["out"] / "day")).count() == 23
+    assert read_table(spark, str(at["out"] / "day")).count() == 23
     run("analyse", "--table", at["table"], "--hourly", at["hourly"], "--daily", at["daily"], "--only-valid")
-    assert spark.read.parquet(str(at["hourly"])).filter("signal_date is null").count() == 0
+    assert read_table(spark, str(at["hourly"])).filter("signal_date is null").count() == 0
 
 
 def test_time_zone_is_required():

@@ -17,6 +17,7 @@ from gustline.operators.evaluation import (
     histogram,
     joint_counts,
     metrics,
+    not_finite,
     spread,
     with_residual,
 )
@@ -208,17 +209,45 @@ def test_histogram_takes_its_number_of_bins_from_the_data(spark):
 def test_an_outlier_does_not_multiply_the_bins(spark):
     numbers = [*np.random.default_rng(4).uniform(size=1000), 1e12]
     rows = histogram(values(spark, numbers), "x").collect()
-    assert sorted(row["rows"] for row in rows) == [1, 1000]
+    assert sorted(row["rows"] for row in rows if row["rows"]) == [1, 1000]
     assert max(row.bin for row in rows) < 2 * math.sqrt(1001) + 1
 
 
 def test_histogram_of_few_values(spark):
-    assert [row["rows"] for row in histogram(values(spark, [3, 3, 3]), "x", 4).collect()] == [3]
+    assert [row["rows"] for row in histogram(values(spark, [3, 3, 3]), "x", 4).orderBy("bin").collect()] == [0, 0, 3, 0]
     assert [row["rows"] for row in histogram(values(spark, [3, 3, 3]), "x").collect()] == [3]
     assert histogram(values(spark, []), "x").count() == 0
     assert histogram(values(spark, []), "x", 5).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_automatic_bins_are_those_of_numpy(spark, seed):
+    random = np.random.default_rng(seed)
+    numbers = [random.normal(size=777), random.exponential(size=1000), random.integers(0, 9, 500) / 3, random.normal(size=6)][seed]
+    rows = histogram(values(spark, numbers).repartition(3), "x").orderBy("bin").collect()
+    counts, edges = np.histogram(numbers, "auto")
+    assert [row["rows"] for row in rows] == list(counts)
+    assert [row.low for row in rows] == pytest.approx(list(edges[:-1]))
+
+
+def test_values_that_are_not_finite_are_left_out(spark):
+    odd = [math.inf, -math.inf, math.nan, math.inf]
+    numbers = [1.0, 2.0, 2.5, 4.0]
+    mixed, plain = values(spark, numbers + odd), values(spark, numbers)
+    for bins in (None, 4):
+        assert sorted(histogram(mixed, "x", bins).collect()) == sorted(histogram(plain, "x", bins).collect())
+    curves = [sorted(density(df, "x").collect()) for df in (mixed, plain)]
+    assert [r.density for r in curves[0]] == pytest.approx([r.density for r in curves[1]])
+    pairs = spark.createDataFrame([(1.0, 2.0), (math.inf, 1.0), (1.0, -math.inf), (3.0, 1.0), (math.nan, 1.0)], "actual double, prediction double")
+    cells = joint_counts(pairs, "actual", bins=4)
+    assert sorted(cells.collect()) == sorted(joint_counts(pairs.where("actual in (1, 3) and prediction > 0"), "actual", bins=4).collect())
+    assert {row.line_end for row in cells.collect()} == {3.0}
+    told = not_finite(spark.createDataFrame([(x, 1.0) for x in [*odd, None, 2.0]], "`it's` double, y double"), "it's", "y")
+    assert sorted(map(tuple, told.collect())) == [("it's", 1, 1, 3), ("y", 0, 0, 0)]
+    nothing = values(spark, odd)
+    assert histogram(nothing, "x").count() == density(nothing, "x").count() == 0
+
+
 def test_spread_ignores_null(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
     assert spread(df, "x") == Spread(2, 1.0, 3.0, pytest.approx(math.sqrt(2)), None)
