@@ -1,26 +1,32 @@
 """Quality rules: a hashed n-gram log-likelihood ratio beside counts of plain faults.
 
-Words and word pairs of every document are hashed into cells. Their number follows the estimated number
-of distinct n-grams, one cell for ``PER_CELL`` of them, so that cells do not fill as the corpus grows.
-Up to ``MAX_CELLS`` cells, the ratios are an array that is sent to all tasks; more of them stay a table,
-and n-grams are joined with it. Two multinomials over the cells are counted from all rows: one of the
-trusted documents, one of the whole corpus, both with one added to each cell. A document's score is the mean of log(trusted / corpus) over its n-grams, so its
-length does not matter, and the document is kept when the score reaches the threshold and no base rule
-rejects it. Counts are integers summed over all tasks, so scores do not depend on the partitioning.
+Words and word pairs are known by 64-bit hashes. The cells of two multinomials, one of the trusted target
+and one of the raw corpus, come from labelled rows: at most ``SAMPLE`` of them (those with the least hashes
+of their ids) are dealt into halves by another hash. N-grams that two documents of the first half hold,
+good or bad, have a cell each; others share the cells of their shapes. The target is counted over the
+good documents of the second half, so that n-grams without a cell get the share that unseen good text has
+of them; the raw corpus is counted over all rows, and brought to the target's size. One is added to each
+cell. So the cells do not fill or multiply as the corpus grows, while their raw counts follow all of it.
+
+A document's score is the mean of log(target / raw) over its n-grams, so its length does not matter, and
+it is kept when the score reaches the threshold and no base rule rejects it. Counts are integers summed
+over all tasks, so scores do not depend on the partitioning.
 
 Base counts, over words as in ``words``: characters in words; characters out of ``#*$%&|<>``; lines
 with a word that equal an earlier line; words inside 8-word windows that occur twice or more in the
-text. A document fails them with fewer than ``MIN_WORDS`` words, or with more than ``MAX_REPEATED``
-percent of its words in repeated windows.
-
-Nulls: a null text has no words and fails; a null id is never trusted. Repeated rows are counted and
-judged one by one. Other columns are ignored by ``judge`` and passed on by ``keep_good``. An empty
-table gives an empty result, and without trusted documents every score is that of the added ones.
+text, the first included. A document fails them with fewer than ``MIN_WORDS`` words, or with more than
+``MAX_REPEATED`` percent of its words in repeated windows.
+
+Nulls: a null text has no words and fails; a null id or label is not used. Of contradicting labels of one
+id the worse counts. Of rows with one id and different texts one gives cells; all are counted and judged.
+Repeated rows are counted and judged one by one. Other columns are ignored by ``judge`` and passed on by
+``keep_good``. An empty table gives an empty result; without labels every score is 0 and the base rules
+decide.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,14 +38,11 @@ from pyspark.sql import functions as F
 from gustline.llm.words import Words, chunks
 from gustline.session import stage
 
-BUCKETS = 1 << 16  # cells at least
-PER_CELL = 8  # distinct n-grams for each cell
-MAX_CELLS = 1 << 23  # cells gathered and sent to all tasks at most
-LEAST_HASHES = 1 << 12  # the least hashes, from which distinct n-grams are estimated, to about 1.6 %
-THRESHOLD = -0.12  # mean log ratio; trusted prose lies around 0, junk below -0.2
+SAMPLE = 8192  # labelled rows that cells and target are taken from, at most
+DOCUMENTS = 2  # documents of the first half that must hold an n-gram with a cell of its own
+THRESHOLD = -0.7  # mean log ratio; see the README for the scores of good text and junk
 MIN_WORDS = 20
 MAX_REPEATED = 30
-BROADCAST_ROWS = 1 << 21  # trusted ids sent to all tasks at most; more are joined by a shuffle
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -51,29 +54,46 @@ JUDGED = (
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-@dataclass
-class CellTable:
-    """Log ratios of more cells than one process is sent: (cell, ratio), and the ratio of cells without n-grams."""
+# Kinds of bytes, for the shapes of n-grams without a cell of their own.
+_KIND = np.full(256, 5, np.int64)  # beyond ASCII
+_KIND[:128] = 4  # other marks and controls
+for _k, _group in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:!?")):
+    _KIND[list(_group)] = _k
+_KINDS = 6
+_WORD_SHAPES, _PAIR_SHAPES = _KINDS**3, 2 * _KINDS**2
+SHAPES = _WORD_SHAPES + _PAIR_SHAPES
+
 
-    buckets: int
-    cells: DataFrame
-    other: float
+@dataclass(frozen=True)
+class Ratios:
+    """``hashes`` of the n-grams with cells, sorted, and the log ratio of each cell; behind those of the
+    hashes stand the cells of the shapes."""
 
+    hashes: np.ndarray
+    values: np.ndarray
 
-Ratios = np.ndarray | CellTable
 
+def ngram_cells(words: Words, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cell and row of every word and word pair.
 
-def ngram_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and row of every word and word pair."""
+    A word without a cell of its own has that of its shape: the kinds of its first byte and of its last
+    two; a pair that of the kinds where its words meet, and whether they are the same.
+    """
     row = words.row
     pairs, at = words.windows(2)
-    return np.concatenate([words.hashes, pairs]), np.concatenate([row, row[at]])
+    first, last = _KIND[words.data[words.starts]], _KIND[words.data[words.ends - 1]]
+    inner = _KIND[words.data[np.maximum(words.starts, words.ends - 2)]]
+    shape = (first * _KINDS + inner) * _KINDS + last
+    meet = (last[at] * _KINDS + first[at + 1]) * 2 + (words.hashes[at] == words.hashes[at + 1])
+    cells = np.concatenate([_cells(words.hashes, known, shape), _cells(pairs, known, _WORD_SHAPES + meet)])
+    return cells, np.concatenate([row, row[at]])
 
 
-def ngram_cells(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cell and row of every word and word pair."""
-    hashes, row = ngram_hashes(words)
-    return (hashes % np.uint64(buckets)).astype(np.int64), row
+def _cells(hashes: np.ndarray, known: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return shapes
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, at, len(known) + shapes)
 
 
 def repeated_words(words: Words, size: int) -> np.ndarray:
@@ -124,127 +144,76 @@ def faults(words: Words, texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def _trusted_flag(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    ids = ids.withColumn("trusted", F.lit(True))
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+def labelled(labels: DataFrame, *, rows: int = SAMPLE) -> DataFrame:
+    """(doc_id, good, second) of at most ``rows`` labelled ids: whether they are good and in the second half."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    known = known.agg((F.min("quality") >= 1).alias("good"))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return stage(chosen.withColumn("second", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)) == 1), "labelled")
 
 
-def distinct_ngrams(docs: DataFrame) -> int:
-    """Estimate from the least hashes of all n-grams; exact if there are fewer than ``LEAST_HASHES``.
+def _vocabulary(docs: DataFrame, chosen: DataFrame) -> np.ndarray:
+    """Sorted hashes of the n-grams that enough documents of the first half hold."""
 
-    Every task sends its ``LEAST_HASHES`` least ones.
-    """
-
-    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = np.empty(0, np.uint64)
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, words in chunks(batch.column(0)):
-                hashes, _ = ngram_hashes(words)
-                if len(kept) == LEAST_HASHES:
-                    hashes = hashes[hashes < kept[-1]]
-                kept = np.unique(np.concatenate([kept, hashes]))[:LEAST_HASHES]
-        yield pa.RecordBatch.from_arrays([pa.array((kept >> np.uint64(1)).astype(np.int64))], ["h"])
+                pairs, at = words.windows(2)
+                row = words.row
+                hashes, row = np.concatenate([words.hashes, pairs]), np.concatenate([row, row[at]])
+                order = np.lexsort((row, hashes))
+                hashes, row = hashes[order], row[order]
+                once = np.append(True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])) if len(hashes) else np.empty(0, bool)
+                found, n = np.unique(hashes[once], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    found = docs.select("text").mapInArrow(least, "h long").distinct().orderBy("h").limit(LEAST_HASHES).toPandas()["h"]
-    return len(found) if len(found) < LEAST_HASHES else int((LEAST_HASHES - 1) * float(1 << 63) / float(found.iloc[-1] + 1))
+    texts = docs.join(F.broadcast(chosen.where("not second").select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    counts = texts.select("text").mapInArrow(held, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return np.sort(counts.where(F.col("n") >= DOCUMENTS).select("h").toArrow()["h"].to_numpy().view(np.uint64))
 
 
-def fit(docs: DataFrame, trusted: DataFrame, *, buckets: int | None = None, max_cells: int = MAX_CELLS) -> Ratios:
-    """Log ratio of each cell. ``docs`` has doc_id and text, ``trusted`` the doc_id of good ones.
+def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Ratios:
+    """Log ratio of each cell. ``docs`` has doc_id and text, ``labels`` doc_id and quality (1 for good).
 
-    Up to ``max_cells`` cells, every task sends at most one row per cell, and the driver gets one row per
-    cell; beyond, counts are sent per chunk of texts, and the driver gets sums only.
+    The driver gets the cells, which the bound of the sample bounds; every task sends the counts of the
+    cells that it met.
     """
-    buckets = buckets or max(BUCKETS, distinct_ngrams(docs) // PER_CELL)
-    wide = buckets > max_cells
-
-    def rows_of(cells: np.ndarray, raw: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (cells, raw, good)], ["cell", "n_raw", "n_good"])
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = labelled(labels, rows=sample)
+    known = _vocabulary(docs, chosen)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros((2, 0 if wide else buckets), np.int64)
+        raw, good = np.zeros((2, len(shared.value) + SHAPES), np.int64)
         for batch in batches:
             flag = batch.column(1).to_numpy(zero_copy_only=False)
             for at, words in chunks(batch.column(0)):
-                cells, row = ngram_cells(words, buckets)
-                used, place = np.unique(cells, return_inverse=True)
-                n_raw = np.bincount(place, minlength=len(used))
-                n_good = np.bincount(place[flag[at + row]], minlength=len(used))
-                if wide:
-                    yield rows_of(used, n_raw, n_good)
-                else:
-                    raw[used] += n_raw
-                    good[used] += n_good
-        if not wide:
-            used = np.flatnonzero(raw)
-            yield rows_of(used, raw[used], good[used])
-
-    rows = _trusted_flag(docs.select("doc_id", "text"), trusted)
+                cells, row = ngram_cells(words, shared.value)
+                raw += np.bincount(cells, minlength=len(raw))
+                trusted = flag[at : at + words.rows]
+                if trusted.any():
+                    good += np.bincount(cells[trusted[row]], minlength=len(raw))
+        used = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, raw[used], good[used])], ["cell", "n_raw", "n_good"])
+
+    target = chosen.where("good and second").select("doc_id", F.lit(True).alias("target"))
+    rows = docs.join(F.broadcast(target), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counts = rows.mapInArrow(count, "cell long, n_raw long, n_good long")
-    sums = counts.groupBy("cell").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good"))
-    if wide:
-        sums = stage(sums, "ngram-cells")
-        total = sums.agg(F.coalesce(F.sum("n_raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("n_good"), F.lit(0)).alias("good")).first()
-        other = float(np.log(total.raw + buckets) - np.log(total.good + buckets))
-        return CellTable(buckets, sums.select("cell", (F.log(F.col("n_good") + 1) - F.log(F.col("n_raw") + 1) + other).alias("ratio")), other)
-    sums = sums.toArrow()
-    raw, good = np.ones(buckets), np.ones(buckets)
-    raw[sums["cell"].to_numpy()] += sums["n_raw"].to_numpy()
-    good[sums["cell"].to_numpy()] += sums["n_good"].to_numpy()
-    return np.log(good / good.sum()) - np.log(raw / raw.sum())
+    sums = counts.groupBy("cell").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good")).toArrow()
+    raw, good = np.zeros((2, len(known) + SHAPES))
+    raw[sums["cell"].to_numpy()] = sums["n_raw"].to_numpy()
+    good[sums["cell"].to_numpy()] = sums["n_good"].to_numpy()
+    raw *= good.sum() / max(1.0, raw.sum())  # to the size of the target, so that one more weighs the same
+    return Ratios(known, np.log(good + 1) - np.log(raw + 1))
 
 
-# Two hashes of a text; rows with one text have one score.
-_KEY = {"key_1": F.xxhash64, "key_2": lambda text: F.xxhash64(F.lit(1), text)}
-_UNIT = 1e9  # scores of a cell table are summed as integers, so they do not depend on the partitioning
-
-
-def _with_score(docs: DataFrame, ratios: CellTable) -> DataFrame:
-    """The documents with their score in a last column, by a join of n-grams with cells."""
-    buckets = ratios.buckets
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, words in chunks(batch.column(0)):
-                cells, row = ngram_cells(words, buckets)
-                order = np.lexsort((cells, row))
-                cells, row = cells[order], row[order]
-                new = np.flatnonzero(np.concatenate([[True], (cells[1:] != cells[:-1]) | (row[1:] != row[:-1])])) if len(cells) else np.empty(0, np.int64)
-                keys = [batch.column(k).take(pa.array(at + row[new])) for k in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(cells[new]), pa.array(np.diff(np.append(new, len(cells))))], ["key_1", "key_2", "cell", "n"])
-
-    keyed = docs.withColumns({name: key(F.col("text")) for name, key in _KEY.items()})
-    met = keyed.select("text", *_KEY).mapInArrow(grams, "key_1 long, key_2 long, cell long, n long").join(ratios.cells, "cell", "left")
-    units = F.round(F.coalesce("ratio", F.lit(ratios.other)) * _UNIT).cast("decimal(38,0)")
-    scores = met.groupBy(*_KEY).agg((F.sum(units * F.col("n")).cast("double") / F.sum("n") / _UNIT).alias("ngram_score"))
-    return keyed.join(scores, [*_KEY], "left").select(*docs.columns, F.coalesce("ngram_score", F.lit(0.0)).alias("ngram_score"))
-
-
-Scorer = Callable[[pa.RecordBatch, int, Words], np.ndarray]
-
-
-def _scorer(docs: DataFrame, ratios: Ratios) -> tuple[DataFrame, Scorer]:
-    """The documents to run over, and what gives the scores of a chunk of theirs."""
-    if isinstance(ratios, CellTable):
-        return _with_score(docs, ratios), lambda batch, at, words: batch.column(batch.num_columns - 1).slice(at, words.rows).to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
-
-    def score(batch: pa.RecordBatch, at: int, words: Words) -> np.ndarray:
-        cells, row = ngram_cells(words, len(shared.value))
-        total = np.bincount(row, weights=shared.value[cells], minlength=words.rows)
-        return total / np.maximum(np.bincount(row, minlength=words.rows), 1)
-
-    return docs, score
-
-
-def _judged(batch: pa.RecordBatch, at_text: int, score: Scorer, threshold: float) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+def _judged(batch: pa.RecordBatch, at_text: int, ratios: Ratios, threshold: float) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
     texts = batch.column(at_text)
     for at, words in chunks(texts):
         found = faults(words, texts.slice(at, words.rows))
-        found["score"] = score(batch, at, words)
+        cells, row = ngram_cells(words, ratios.hashes)
+        total = np.bincount(row, weights=ratios.values[cells], minlength=words.rows)
+        found["score"] = total / np.maximum(np.bincount(row, minlength=words.rows), 1)
         n, repeated = found["n_words"], found["n_repeat_words"]
         found["base_failed"] = (n < MIN_WORDS) | (100 * repeated > MAX_REPEATED * n)
         found["kept"] = ~found["base_failed"] & (found["score"] >= threshold)
@@ -253,27 +222,27 @@ def _judged(batch: pa.RecordBatch, at_text: int, score: Scorer, threshold: float
 
 def judge(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> DataFrame:
     """Counts, score and verdict of every document."""
-    scored, score = _scorer(docs.select(F.col("doc_id").cast("long"), "text"), ratios)
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, x in _judged(batch, 1, score, threshold):
+            for at, x in _judged(batch, 1, shared.value, threshold):
                 columns = [batch.column(0).slice(at, len(x["kept"])), *(pa.array(x[c], pa.int64()) for c in _COUNTS)]
                 columns += [pa.array(x[c]) for c in ("base_failed", "score", "kept")]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *_COUNTS, "base_failed", "score", "kept"])
 
-    return scored.mapInArrow(run, JUDGED)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, JUDGED)
 
 
 def keep_good(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    scored, score = _scorer(docs, ratios)
-    at_text, width = docs.columns.index("text"), len(docs.columns)
+    at_text = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [x["kept"] for _, x in _judged(batch, at_text, score, threshold)]
+            kept = [x["kept"] for _, x in _judged(batch, at_text, shared.value, threshold)]
             if kept:
-                yield batch.select(range(width)).filter(pc.cast(pa.array(np.concatenate(kept)), pa.bool_()))
+                yield batch.filter(pc.cast(pa.array(np.concatenate(kept)), pa.bool_()))
 
-    return scored.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -12,11 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import binary, chat, decontamination, jaccard, licenses, oracles, packing, quality, secrets, substring, urls
+from gustline.llm import binary, chat, decontamination, jaccard, licenses, oracles, packing, passages, quality, secrets, structure, substring, urls, whitening
+from gustline.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 CAPACITY = 1024
+COMPONENTS = 4
 
 
 @cache
@@ -107,10 +109,9 @@ def op3_license_inheritance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_log_likelihood_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts, score and verdict of all documents; those labelled good are the trusted ones."""
+    """Counts, score and verdict of all documents."""
     docs = table(spark, folder, "documents")
-    trusted = table(spark, folder, "labels").where("quality = 1")
-    return quality.judge(docs, quality.fit(docs, trusted))
+    return quality.judge(docs, quality.fit(docs, table(spark, folder, "labels")))
 
 
 def op5_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,6 +146,51 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.dedup(table(spark, folder, "documents"))
 
 
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults of a bad scrape, dealt by a checksum of conversation and turn: a row
+    goes, loses its text or its ends of sentences, stands twice, or gets the role of the user."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = turns.select("conv_id", "turn", *(F.coalesce(c, space).alias(c) for c in ("role", "text")), (F.crc32(key.cast("binary")) % 20).alias("fate"))
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return rows.where("fate <> 0").select(
+        "conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.when(F.col("fate") == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and checksum of all conversations."""
+    turns = table(spark, folder, "conversations")
+    done = structure.repair(damaged_turns(turns))
+    every = turns.select("conv_id").distinct().withColumn("conv", structure.key_of(F.col("conv_id")))
+    told = every.join(done.report.drop("conv_id"), "conv", "left").join(structure.digests(done.rows), "conv", "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return told.select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first four whitened components of all embeddings."""
+    vectors = stage(whitening.whole_vectors(table(spark, folder, "embeddings")), "whole-vectors")
+    model, fit = whitening.learn(vectors, components=COMPONENTS)
+    rows = whitening.whitened(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    shares = F.array(*map(F.lit, model.explained.tolist())).cast("array<double>")
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.rows).cast("long").alias("n"), "deviation", "whitened",
+        F.get(shares, "at").alias("explained"), F.lit(whitening.identity_error(fit, model)).alias("identity_error"),
+    )
+
+
+def op13_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents."""
+    docs = table(spark, folder, "documents")
+    model = passages.fit(docs, table(spark, folder, "labels"))
+    return passages.score(docs, model).select("doc_id", passages.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_passages", "most_weight")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The stages of the corpus pipeline over all documents."""
     import corpus_pipeline
@@ -165,6 +211,9 @@ QUERIES: dict[str, Query] = {
         op8_spaced_seeds,
         op9_harmonic_packing,
         op10_substring_dedup,
+        op11_structure_repair,
+        op12_embedding_whitening,
+        op13_attention_quality,
         pipeline,
     )
 }
