@@ -16,8 +16,7 @@ from gustline.session import stage
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither a base rule nor the likelihood ratio rejects."""
-    trusted = table(spark, sf_dir, "labels").where("quality = 1")
-    return quality.keep_good(docs, quality.fit(docs, trusted))
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
