@@ -6,15 +6,18 @@ anything. The mask is chosen by the length of the item alone: the first of ``MAS
 words or more, the second for those of ``LEAST`` or more. Each fits, at some position, every pattern of
 places that agree as far as the rule below asks (shown by enumeration in the tests), so no passage is lost
 for want of a seed. Shorter items have one seed, of all their words. Training seeds are joined with benchmark seeds by hash. Before that join they are
-tested, inside each document's array, against a bit table of the benchmark's seeds. The table has a fixed
-size; with a very large benchmark it lets more seeds through to the join, and nothing else changes.
+tested, inside each document's array, against a bit table of the benchmark's seeds (one row beside every
+document). Its size follows their number, up to ``TABLE_MOST`` words; a benchmark beyond that lets more
+seeds through to the join, and nothing else changes.
 
 A hit fixes an alignment of document and item. Around it, words are compared in place: the document
 holds the passage when some ``span`` consecutive words of the item (all, if it has fewer) agree in at
 least ``percent`` of 100 places; an item shorter than ``LEAST`` words must agree in all.
 
-Nulls: null texts have no words; rows without id are judged like others. Repeated rows give repeated
-results only once (results are distinct). Items without words are left out. Other columns are ignored. Empty tables give an empty result.
+Nulls: null texts have no words; documents and items without id are judged like others, and items are kept
+apart by their words, so items that share an id (or have none) are all found. Repeated rows give repeated
+results only once (results are distinct). Items without words are left out. Other columns are ignored.
+Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gustline.functions.signals import quoted
+from gustline.llm.names import fresh
 from gustline.session import stage
 
 # Fixed values. Complete for windows of 16 to 20 and of 8 to 15 words at PERCENT.
@@ -31,7 +36,8 @@ SPAN = 20
 PERCENT = 80
 LEAST = 8
 BROADCAST_SEEDS = 1 << 20  # benchmark seeds (with their items' words) sent to all tasks at most
-TABLE_WORDS = 1 << 16  # 64-bit words of the bit table
+TABLE_WORDS, TABLE_MOST = 1 << 16, 1 << 22  # 64-bit words of the bit table, at least and at most
+SEEDS_PER_WORD = 1  # of the bit table, at most (two bits each), below its largest size
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -66,15 +72,20 @@ def _bit(seed: Column) -> Column:
     return low.bitwiseOR(high)
 
 
-def _place(seed: Column) -> Column:
-    return F.shiftrightunsigned(seed, 16).bitwiseAND(TABLE_WORDS - 1).cast("int")
+def _place(seed: Column, words: int) -> Column:
+    return F.shiftrightunsigned(seed, 16).bitwiseAND(words - 1).cast("int")
 
 
-def _table(seeds: DataFrame) -> DataFrame:
-    """The bit table as one array; its size is fixed."""
+def table_words(seeds: int) -> int:
+    """Size of the bit table, a power of two."""
+    return min(TABLE_MOST, max(TABLE_WORDS, 1 << max(0, seeds // SEEDS_PER_WORD - 1).bit_length()))
+
+
+def _table(seeds: DataFrame, words: int) -> DataFrame:
+    """The bit table as one array."""
     spark = seeds.sparkSession
-    used = seeds.groupBy(_place(F.col("seed")).alias("place")).agg(F.bit_or(_bit(F.col("seed"))).alias("bits"))
-    every = spark.range(TABLE_WORDS).select(F.col("id").cast("int").alias("place"))
+    used = seeds.groupBy(_place(F.col("seed"), words).alias("place")).agg(F.bit_or(_bit(F.col("seed"))).alias("bits"))
+    every = spark.range(words).select(F.col("id").cast("int").alias("place"))
     whole = every.join(used, "place", "left").select(F.struct("place", F.coalesce("bits", F.lit(0)).alias("bits")).alias("x"))
     return stage(whole.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["bits"]).alias("bits")), "seed-table")
 
@@ -88,15 +99,19 @@ def overlaps(
     ``benchmark`` has item_id and text.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), word_list(F.col("text")).alias("item_words"))
-    items = stage(items.where(F.size("item_words") > 0).distinct(), "items")
+    items = items.where(F.size("item_words") > 0).distinct()
+    # by id and words, so that items are told apart whatever their ids
+    items = stage(items.withColumn("item", F.sha2(F.concat_ws(" ", F.coalesce(F.col("item_id").cast("string"), F.lit("-")), "item_words"), 256)), "items")
     kinds = _kinds(items)  # seeds of no item would meet nothing
 
     hashed = items.withColumn("hashes", F.transform("item_words", lambda w: F.xxhash64(w)))
-    item_seeds = hashed.limit(0).select("item_id", F.lit(0).alias("item_at"), F.lit(0).cast("long").alias("seed"))
+    item_seeds = hashed.limit(0).select("item", F.lit(0).alias("item_at"), F.lit(0).cast("long").alias("seed"))
     for number, mask, which in kinds:
-        item_seeds = item_seeds.unionByName(hashed.where(which).select("item_id", F.posexplode(_seeds(F.col("hashes"), number, mask)).alias("item_at", "seed")))
+        item_seeds = item_seeds.unionByName(hashed.where(which).select("item", F.posexplode(_seeds(F.col("hashes"), number, mask)).alias("item_at", "seed")))
     item_seeds = stage(item_seeds, "item-seeds")
-    table = _table(item_seeds)
+    n_seeds = item_seeds.count()
+    size = table_words(n_seeds)
+    table = _table(item_seeds, size)
 
     words = docs.select(F.col(id_col).alias("doc_id"), word_list(F.col(text_col)).alias("words"))
     words = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -108,7 +123,7 @@ def overlaps(
         """The seeds with both bits in the table, with their places; the second bit is seldom looked at."""
 
         def test(seed: Column, i: Column) -> Column:
-            word = F.get(bits, _place(seed))
+            word = F.get(bits, _place(seed, size))
             first = F.getbit(word, seed.bitwiseAND(63).cast("int")) == 1
             second = F.getbit(word, F.shiftrightunsigned(seed, 6).bitwiseAND(63).cast("int")) == 1
             return F.when(first & second, F.struct(i.alias("at"), seed.alias("seed")))
@@ -125,11 +140,11 @@ def overlaps(
 
     # of the hits of one alignment within a span of each other one is verified; its words reach past the others.
     # Few seeds are sent to all tasks, so that hits are matched and thinned out before anything is shuffled
-    few = item_seeds.count() <= BROADCAST_SEEDS
+    few = n_seeds <= BROADCAST_SEEDS
     met = hits.join(F.broadcast(item_seeds) if few else item_seeds, "seed").groupBy(
-        "doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), F.floor(F.col("doc_at") / span)
-    ).agg(F.min(F.struct("doc_at", "item_at", "near")).alias("hit")).select("doc_id", "item_id", "hit.*")
-    met = met.join(F.broadcast(items) if few else items, "item_id")
+        "doc_id", "item", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), F.floor(F.col("doc_at") / span)
+    ).agg(F.min(F.struct("doc_at", "item_at", "near")).alias("hit")).select("doc_id", "item", "hit.*")
+    met = met.join(F.broadcast(items) if few else items, "item")
     first = F.greatest(F.col("doc_at") - span, F.lit(0))  # of near, in the document
     shift = F.col("doc_at") - F.col("item_at") - first  # item position + shift = position in near
     met = met.withColumn("shift", shift).withColumn("first", first)
@@ -142,10 +157,24 @@ def overlaps(
     asked = F.when(F.size("item_words") < LEAST, 100).otherwise(percent)
     met = met.withColumn("best", F.array_max(window)).where(F.col("best.matched") * 100 >= F.col("compared") * asked)
     start = -F.col("best.behind")
-    return met.groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(
+    return met.groupBy("doc_id", "item", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(
         F.max(F.struct(F.col("best.matched").alias("matched"), F.col("best.behind").alias("behind"), "compared")).alias("best")
     ).select(
         "doc_id", "item_id", (F.col("diagonal") - F.col("best.behind")).cast("long").alias("doc_start"),
         (-F.col("best.behind")).cast("long").alias("item_start"),
         F.col("best.matched").cast("long").alias("n_matched"), F.col("best.compared").cast("long").alias("n_compared"),
     )
+
+
+def free_of(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, percent: int = PERCENT) -> DataFrame:
+    """The documents that hold no passage, with all their columns.
+
+    Documents are judged by a 64-bit hash of their text, so repeated or missing ids neither save nor condemn
+    others, and copies of a text share their verdict.
+    """
+    mark = fresh("text_mark", docs.columns)
+    marked = docs.withColumn(mark, F.xxhash64(F.lit(0), "text"))
+    found = overlaps(marked, benchmark, span=span, percent=percent, id_col=mark)
+    found = stage(found.select(F.col("doc_id").alias(mark)).distinct(), "leaks")
+    few = F.broadcast(found) if found.count() <= BROADCAST_SEEDS else found
+    return marked.join(few, mark, "left_anti").select(*(F.col(quoted(c)) for c in docs.columns))

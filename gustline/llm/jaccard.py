@@ -37,8 +37,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gustline.functions.signals import quoted
 from gustline.llm.components import components
-from gustline.llm.repeats import repeated
+from gustline.llm.names import fresh
+from gustline.llm.repeats import repeated, text_bytes
 from gustline.llm.words import Words, chunks, mix
 from gustline.session import stage
 
@@ -99,14 +101,14 @@ def prefix(own: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     return own[rank[:length]]
 
 
-def _prefixes(docs: DataFrame, counts: Broadcast, size: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, counts: Broadcast, size: int, percent: int, volume: int) -> DataFrame:
     def emit(batch: pa.RecordBatch):
         ids = batch.column(0).to_numpy()
         for at, words in chunks(batch.column(1), lower=True):
             parts = [prefix(own, counts.value, percent) for own in shingle_sets(words, size)]
             yield _entries(ids[at : at + words.rows], parts)
 
-    return repeated(docs, emit)
+    return repeated(docs, emit, size=volume)
 
 
 def _entries(ids: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +117,7 @@ def _entries(ids: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return hashes, none, np.repeat(ids, [len(x) for x in parts]), none.astype(np.int64)
 
 
-def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size: int, percent: int) -> DataFrame:
+def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size: int, percent: int, volume: int) -> DataFrame:
     """Prefix shingles (h, rep, n, shared, at) with unique ones, which are left out, in front."""
 
     def emit(batch: pa.RecordBatch):
@@ -139,7 +141,7 @@ def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size
                 columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["h", "rep", "n", "shared", "at"])
 
-    lists = repeated(texts, emit).groupBy("doc_id").agg(F.collect_list("h").alias("hashes"))
+    lists = repeated(texts, emit, size=volume).groupBy("doc_id").agg(F.collect_list("h").alias("hashes"))
     rows = lists.join(sizes, "doc_id").select(F.col("doc_id").alias("rep"), "n", "hashes")
     return rows.mapInArrow(cut, "h long, rep long, n long, shared long, at long")
 
@@ -205,13 +207,14 @@ def groups(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT, id_col:
     keyed = stage(keyed.join(classes, ["sig", "sig2", "n_shingles"]).select("doc_id", "n_shingles", "rep").distinct(), "members")
 
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    found = _prefixes(docs.where("doc_id is not null"), shared, size, percent).select("doc_id").distinct()
+    volume = text_bytes(docs)
+    found = _prefixes(docs.where("doc_id is not null"), shared, size, percent, volume).select("doc_id").distinct()
     ids = stage(keyed.join(found, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "candidate-ids")
     texts = stage(_chosen(docs, ids), "candidate-texts")
     if texts.count() > ids.count():  # ids are repeated
         texts = stage(texts.dropDuplicates(["doc_id"]), "candidate-texts")
     sizes = keyed.where("doc_id = rep").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
-    entries = stage(_second_prefixes(texts, sizes, shared, size, percent), "entries")
+    entries = stage(_second_prefixes(texts, sizes, shared, size, percent, volume), "entries")
     ids = stage(entries.select(F.col("rep").alias("doc_id")).distinct(), "compared-ids")
     texts = stage(_chosen(texts, ids), "compared-texts")
 
@@ -275,16 +278,31 @@ def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The documents with all their columns, one of each group: that with the least id. Of rows with one id
-    any one stays; rows without id stay."""
-    found = stage(groups(docs, size=size, percent=percent), "groups")
-    copies = stage(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    kept = without(docs, copies)
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is null").unionByName(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
-
-
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``ids`` (a staged frame)."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "doc_id", "left_anti").select(*docs.columns)
+    """The documents with all their columns, one of each group: that with the least id, rows without id last.
+
+    Texts are known by a 64-bit hash of id and text, so rows of one id and different texts are documents of
+    their own. Of equal rows one stays.
+    """
+    mark = fresh("row_mark", docs.columns)
+    marked = docs.withColumn(mark, F.xxhash64(F.lit(0), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    found = stage(groups(marked.select(F.col(mark).alias("doc_id"), "text"), size=size, percent=percent), "groups")
+    members = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("times"))
+    members = stage(members, "group-members")
+    large = members.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    several = stage(members.join(large, "component_id").select(F.col("doc_id").alias("m"), "component_id"), "copies")
+    ids = marked.select(F.col(mark).alias("m"), F.col("doc_id").alias("id"))
+    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "m")
+    named = _few(several).join(ids, "m").groupBy("component_id").agg(F.min(rank).alias("least"))
+    kept = stage(named.select(F.col("least.m").alias("m")), "kept-copies")
+    gone = stage(several.select("m").join(kept, "m", "left_anti").select(F.col("m").alias(mark)), "left-out")
+    rest = marked.join(_few(gone), mark, "left_anti")
+    twice = stage(members.where("times > 1").select(F.col("doc_id").alias(mark)), "equal-rows")
+    if not twice.isEmpty():
+        few = _few(twice)
+        rest = rest.join(few, mark, "left_anti").unionByName(rest.join(few, mark, "left_semi").dropDuplicates([mark]))
+    return rest.select(*(F.col(quoted(c)) for c in docs.columns))
+
+
+def _few(frame: DataFrame) -> DataFrame:
+    """The (staged) frame, to be sent to all tasks if it is small."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame

@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gustline.llm.names import numbered
 from gustline.llm.words import Words, chunks
 from gustline.session import stage
 
@@ -245,4 +246,5 @@ def keep_good(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD)
             if kept:
                 yield batch.filter(pc.cast(pa.array(np.concatenate(kept)), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = numbered(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -61,6 +61,28 @@ LICENSES = [
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("all-rights-reserved", "All rights reserved."),
 ]
+# Opening lines of widely used licences and of the headers that they ask for.
+HEADERS = [
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\");\n"
+     "you may not use this file except in compliance with the License.\n"
+     "You may obtain a copy of the License at\n"
+     "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify\n"
+     "it under the terms of the GNU General Public License as published by\n"
+     "the Free Software Foundation, either version 3 of the License, or\n"
+     "(at your option) any later version."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+     "of this software and associated documentation files (the \"Software\"), to deal\n"
+     "in the Software without restriction, including without limitation the rights\n"
+     "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+     "copies of the Software, and to permit persons to whom the Software is\n"
+     "furnished to do so, subject to the following conditions:"),
+    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without\n"
+     "modification, are permitted provided that the following conditions are met:"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\n"
+     "License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+     "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+]
 RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -72,24 +94,23 @@ RULES = [
 
 def tool_traffic(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results made of a conversation table: each user turn calls a tool with its text, after the
-    user turn before it, and the assistant's next turn is the result."""
-    call_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    before = F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 2).cast("string"))
-    called = F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string"))
-    name = F.element_at(F.array(*map(F.lit, ("search", "count", "translate"))), (F.pmod("conv_id", F.lit(3)) + 1).cast("int"))
+    user turn before it, and the assistant's next turn is the result. Ids count within a conversation."""
+    call = lambda back: F.concat(F.lit("call_"), (F.col("turn") - back).cast("string"))
+    kind = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(3)) + 1
+    name = F.element_at(F.array(*map(F.lit, ("search", "count", "translate"))), kind.cast("int"))
     arguments = F.to_json(F.struct("turn", F.col("text").alias("query"), F.length("text").alias("n_chars")))
     calls = turns.where("role = 'user'").select(
-        "conv_id", call_id.alias("call_id"), F.when(F.col("turn") >= 2, before).alias("parent_id"), name.alias("name"), arguments.alias("arguments")
+        "conv_id", call(0).alias("call_id"), F.when(F.col("turn") >= 2, call(2)).alias("parent_id"), name.alias("name"), arguments.alias("arguments")
     )
-    results = turns.where("role = 'assistant'").select("conv_id", called.alias("call_id"), F.col("text").alias("content"))
+    results = turns.where("role = 'assistant'").select("conv_id", call(1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 
 def op1_tool_linking(spark: SparkSession, folder: str) -> DataFrame:
-    """Tool calls made of all turns of all conversations, linked, levelled, validated and serialised."""
+    """Tool calls made of all turns of all conversations, linked, levelled, validated, serialised, in order."""
     calls, results = tool_traffic(table(spark, folder, "conversations"))
     schemas = spark.createDataFrame(TOOL_FIELDS, "name string, field string, kind string, required boolean")
-    return chat.link(calls, results, schemas)
+    return chat.in_order(chat.link(calls, results, schemas))
 
 
 def op2_bit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,14 +119,20 @@ def op2_bit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return binary.round_trip(table(spark, folder, "documents"), tokenizer=path, end_id=2)
 
 
+def document_files(docs: DataFrame) -> DataFrame:
+    """Documents as files: a third each in the directory of its language, of thousands and of hundreds of its
+    id below its source; one of under 1,000 characters stands for a licence file of its directory."""
+    id_, text = F.col("doc_id"), lambda column: column.cast("string")
+    depth = F.pmod(F.coalesce(id_, F.lit(0)), F.lit(3))
+    folders = [F.when(depth >= n, text(F.floor(id_ / size))) for n, size in ((1, 1000), (2, 100))]
+    path = F.concat_ws("/", "source", "lang", *folders, F.concat(text(id_), F.lit(".txt")))
+    return docs.select("doc_id", path.alias("path"), "text", (F.col("n_chars") < 1000).alias("is_license"))
+
+
 def op3_license_inheritance(spark: SparkSession, folder: str) -> DataFrame:
-    """Licences of all documents. The table has no paths, so a document lies in source/lang/(hundreds of its
-    id); one of under 1,000 characters stands for a licence file of its directory."""
-    docs = table(spark, folder, "documents")
-    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    files = docs.select("doc_id", path.alias("path"), "text", (F.col("n_chars") < 1000).alias("is_license"))
-    templates = spark.createDataFrame(LICENSES, "license string, text string")
-    return licenses.scan(files, templates, extra=["doc_id"])
+    """Licences of all documents, laid out as files in directories of several depths."""
+    templates = spark.createDataFrame([*LICENSES, *HEADERS], "license string, text string")
+    return licenses.scan(document_files(table(spark, folder, "documents")), templates, extra=["doc_id"])
 
 
 def op4_log_likelihood_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,10 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLOCK = 1 << 20  # entries sorted at once
 SETTLED = 1 << 16  # repeats of a block in one binary row
-RANGES_PER_PARTITION = 4  # hash ranges per shuffle partition; a range is held by a task at once
+RANGES_PER_PARTITION = 4  # hash ranges per shuffle partition, at least; a range is held by a task at once
+RANGE_BYTES = 64 << 20  # of text whose entries one range holds, about, at most
 
 Entries = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # hash, further hash bits, document id, position
 Emit = Callable[[pa.RecordBatch], Iterator[Entries]]
@@ -62,13 +64,20 @@ def _sorted(parts: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
     return columns, np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
 
 
-def repeated(docs: DataFrame, emit: Emit, *, drop_firsts: bool = False) -> DataFrame:
+def text_bytes(docs: DataFrame, column: str = "text") -> int:
+    """Bytes of all texts, from which the number of hash ranges follows."""
+    return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
+
+
+def repeated(docs: DataFrame, emit: Emit, *, size: int = 0, drop_firsts: bool = False) -> DataFrame:
     """Rows (h, doc_id, at) of all entries whose hash more than one entry has.
 
+    ``size`` is the number of bytes of text behind the entries: what a range holds does not grow with it.
     With ``drop_firsts`` the least entry of each hash, by document id and position, is left out, with
     entries of the same id and position; ``h`` is then of no meaning.
     """
     ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(ranges, -(-size // RANGE_BYTES))
 
     def batch_of(kinds: list[int], blobs: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), pa.array(blobs, pa.binary())], ["part", "entries"])

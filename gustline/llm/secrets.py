@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gustline.functions.signals import quoted
+from gustline.llm.names import fresh
 from gustline.session import stage
 
 # Patterns and least lengths are fixed values.
@@ -132,15 +134,16 @@ def scan(docs: DataFrame, *, owner: Column, repo: Column, max_owners: int = MAX_
 def redact(docs: DataFrame, *, owner: Column, repo: Column, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """The documents with all their columns, each reported span replaced by a mark.
 
-    Documents are matched with their spans by id and text, so repeated ids are safe.
+    Documents are matched with their spans by a hash of id and text, so repeated ids are safe.
     """
-    sign = F.xxhash64("doc_id", "text")
-    judged = _judged(docs.withColumn("doc_id", F.struct("doc_id", sign)), owner, repo, max_owners, max_repos)
-    judged = judged.where(F.size("spans") > 0).groupBy("doc_id").agg(F.first("spans").alias("_spans"))
-    judged = stage(judged.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.col2").alias("_sign"), "_spans"), "secret-spans")
+    mark, held = fresh("row_mark", docs.columns), fresh("secret_spans", docs.columns)
+    marked = docs.withColumn(mark, F.xxhash64(F.lit(0), F.col("doc_id").isNull(), "doc_id", "text"))
+    judged = _judged(marked.withColumn("doc_id", F.col(mark)), owner, repo, max_owners, max_repos)
+    judged = judged.where(F.size("spans") > 0).groupBy("doc_id").agg(F.first("spans").alias(held))
+    judged = stage(judged.withColumnRenamed("doc_id", mark), "secret-spans")
     if judged.count() <= 1 << 20:
         judged = F.broadcast(judged)
-    joined = docs.join(judged, docs["doc_id"].eqNullSafe(F.col("_id")) & (sign == F.col("_sign")), "left")
+    joined = marked.join(judged, mark, "left")
 
     def step(state: Column, span: Column) -> Column:
         begins = F.greatest(state["at"], span["start"])
@@ -150,7 +153,7 @@ def redact(docs: DataFrame, *, owner: Column, repo: Column, max_owners: int = MA
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cleaned = F.aggregate(
-        F.array_sort("_spans"), start, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.lit(2**31 - 1)))
+        F.array_sort(held), start, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.lit(2**31 - 1)))
     )
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cleaned)
-    return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    text = F.when(F.col(held).isNull(), F.col("text")).otherwise(cleaned)
+    return joined.select(*(text.alias(c) if c == "text" else F.col(quoted(c)) for c in docs.columns))

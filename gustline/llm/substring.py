@@ -28,7 +28,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustline.llm.repeats import repeated
+from gustline.functions.signals import quoted
+from gustline.llm.names import fresh, numbered
+from gustline.llm.repeats import repeated, text_bytes
 from gustline.llm.words import Words, chunks, mix
 from gustline.session import stage
 
@@ -111,8 +113,9 @@ def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
             row = np.searchsorted(words.first, windows, "right") - 1
             yield hashes[wanted], (more[wanted] >> np.uint64(32)).astype(np.uint32), ids[at + row], windows - words.first[row]
 
-    candidates = stage(_per_document(repeated(docs, looked_up), bits), "candidate-windows")
-    again = repeated(_joined(docs, candidates, "inner").select("doc_id", "text", "begins", "ends"), hashed, drop_firsts=True)
+    volume = text_bytes(docs)
+    candidates = stage(_per_document(repeated(docs, looked_up, size=volume), bits), "candidate-windows")
+    again = repeated(_joined(docs, candidates, "inner").select("doc_id", "text", "begins", "ends"), hashed, size=volume, drop_firsts=True)
     return stage(_per_document(again.withColumn("at", F.col("at") * 2), 1), "repeated-windows")
 
 
@@ -152,19 +155,23 @@ def dedup(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", text_col
 
 def dedup_texts(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     """The documents with all their columns; a text that lost words has the others joined by a space."""
-    at = docs.columns.index("text")
+    at, width = docs.columns.index("text"), len(docs.columns)
+    mark = fresh("doc_mark", docs.columns)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, begins, ends in zip(*(batch.column(k) for k in ("text", "_begins", "_ends")), strict=True):
+            for text, begins, ends in zip(*(batch.column(k) for k in (at, width, width + 1)), strict=True):
                 own = text.as_py()
                 texts.append(own if begins.as_py() is None else b" ".join(_kept(own, begins.as_py(), ends.as_py(), size)[0]).decode())
-            batch = batch.drop_columns(["_begins", "_ends"])
-            yield batch.set_column(at, "text", pa.array(texts, pa.string()))
-
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    ranges = repeated_windows(docs.select("doc_id", "text"), size).withColumnsRenamed({"begins": "_begins", "ends": "_ends"})
-    total = ranges.agg(F.sum(F.size("_begins") + 1)).first()[0] or 0
-    joined = docs.join(F.broadcast(ranges) if total <= BROADCAST_ROWS else ranges, "doc_id", "left")
-    return joined.select(*docs.columns, "_begins", "_ends").mapInArrow(prune, docs.schema)
+            names = batch.schema.names[:width]
+            yield batch.select(names).set_column(at, names[at], pa.array(texts, pa.string()))
+
+    ranges = repeated_windows(docs.select(F.col("doc_id").cast("long"), "text"), size)
+    total = ranges.agg(F.sum(F.size("begins") + 1)).first()[0] or 0
+    first, last = fresh("begins", docs.columns), fresh("ends", docs.columns)
+    ranges = ranges.withColumnsRenamed({"doc_id": mark, "begins": first, "ends": last})
+    marked = docs.withColumn(mark, F.col("doc_id").cast("long"))
+    joined = marked.join(F.broadcast(ranges) if total <= BROADCAST_ROWS else ranges, mark, "left")
+    plain = numbered(joined.select(*(F.col(quoted(c)) for c in docs.columns), first, last))
+    return plain.mapInArrow(prune, plain.select(plain.columns[:width]).schema).toDF(*docs.columns)

@@ -11,7 +11,8 @@ pieces in order:
 Pieces are encoded by the library and kept in two generations of at most ``KEPT`` each, so memory
 stays bounded while frequent pieces stay known. A piece of plain Latin letters is one word to either
 tokenizer and its ids come from the library's BPE model alone; a mark behind such letters is a word
-of its own. All other pieces take the library's whole way.
+of its own. All other pieces take the library's whole way, and so does the whole of a text that holds the
+name of a special token, unless such names are to be ordinary text.
 """
 
 from __future__ import annotations
@@ -71,14 +72,20 @@ class _Pieces(dict):
 
 
 class Encoder:
-    """``encode`` gives the ids of a whole text as unsigned 32-bit integers."""
+    """``encode`` gives the ids of a whole text as unsigned 32-bit integers.
 
-    def __init__(self, path: str):
+    They are those of the library's ``encode`` without added tokens: the name of a special token in a text
+    is that token. With ``names_as_text`` it is encoded like other text.
+    """
+
+    def __init__(self, path: str, names_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # a piece holds no name as the text had it
+        added = tokenizer.get_added_tokens_decoder().values()
+        self._names = [] if names_as_text else [token.content for token in added]
 
         model, letters, lower = tokenizer.model, _byte_letters(), tokenizer.normalizer is not None
 
@@ -102,6 +109,7 @@ class Encoder:
             return whole(front + piece)
 
         marks = {mark: whole(mark) for mark in _MARKS}
+        self._with_names = lambda text: np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4")
         self._drops_space = lower
         self._vocabulary = tokenizer.get_vocab_size()
         self._plain = _Pieces(ids, strict=False)
@@ -115,6 +123,8 @@ class Encoder:
         return max(1, (self._vocabulary - 1).bit_length())
 
     def encode(self, text: str) -> np.ndarray:
+        if any(name in text for name in self._names):
+            return self._with_names(text)
         if self._drops_space:
             if _latin(text):  # lower-casing each letter commutes with the other steps here
                 text = text.lower()
@@ -140,6 +150,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, names_as_text: bool = False) -> Encoder:
     """One per worker process."""
-    return Encoder(path)
+    return Encoder(path, names_as_text)

@@ -2,17 +2,20 @@
 
 A rule (host, path, verdict) fits a page when its host is the page's or a domain above it, and the page's
 path starts with the rule's; the longest rule wins, a block among equals. Pages without a rule take the
-verdict of their aliases: canonical links and redirects of the pages' HTML, and forms of one address
-(scheme, ``www.``, closing slash, tracking parameters, fragment), connect addresses; components of that
-graph are found by alternating stars. In a component an explicit allow wins over any block, a block over
-nothing; a page that nothing reaches gets ``DEFAULT``.
-
-Addresses are grouped before they are joined, and joined sides are written first where one address may
-have very many pages, so adaptive execution can split it.
-
-Nulls: a null url has an empty host and path and no aliases; null HTML has no links. Repeated rows are
-judged one by one. Other columns are ignored. An empty table gives an empty result; without rules every
-page gets ``DEFAULT``.
+verdict of their aliases, the connected components of a graph over addresses, found by alternating stars.
+Its edges are: a url and the plain form of its address (without scheme, ``www.``, closing slash, tracking
+parameters and fragment), canonical links and redirects of the pages' HTML, and redirects that were
+observed elsewhere. In a component an explicit allow wins over any block, a block over nothing; a page
+that nothing reaches gets ``DEFAULT``.
+
+Targets are resolved as a browser does it: against the page's path, with ``.`` and ``..`` taken out, a
+target of a query alone on the page's path. Urls are made distinct before anything is joined, and joined
+sides are written first where one address may have very many pages, so adaptive execution can split it.
+Addresses are nodes by their 128-bit hash.
+
+Nulls: a null url has an empty host and path and no aliases; null HTML has no links; a redirect with a null
+or relative end is left out. Repeated rows are judged one by one. Other columns are ignored. An empty table
+gives an empty result; without rules every page gets ``DEFAULT``.
 """
 
 from __future__ import annotations
@@ -60,15 +63,32 @@ def _links(html: Column) -> Column:
     return F.filter(F.concat(targets(_CANONICAL, _HREF), targets(_REFRESH, _TARGET)), lambda t: t != "")
 
 
-def _resolved(target: Column, url: Column) -> Column:
+def _without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` taken out."""
+    parts = F.split(F.substring(path, 2, 1 << 30), "/", -1)
+    none = F.array().cast("array<string>")
+    above = lambda kept: F.when(F.size(kept) > 0, F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(kept)
+    step = lambda kept, part: F.when(part == ".", kept).when(part == "..", above(kept)).otherwise(F.concat(kept, F.array(part)))
+    closed = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(F.aggregate(parts, none, step), F.array(F.lit(""))))
+    whole = F.concat(F.lit("/"), F.array_join(F.coalesce(closed, F.aggregate(parts, none, step)), "/"))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), whole).otherwise(path)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """Whole address of a target that stands on the page ``url``."""
     scheme = F.regexp_extract(url, _PARTS, 1)
     origin = F.concat(scheme, F.lit("://"), host_of(url))
-    return (
+    own = F.when(path_of(url) == "", "/").otherwise(path_of(url))
+    whole = (
         F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(origin, target))
-        .otherwise(F.concat(origin, F.regexp_replace(path_of(url), "[^/]*$", ""), target))
+        .when(target.startswith("?"), F.concat(origin, own, target))
+        .when(target.startswith("#"), url)
+        .otherwise(F.concat(origin, F.regexp_replace(own, "[^/]*$", ""), target))
     )
+    rest = F.regexp_extract(whole, r"(?s)^.*?://[^/?#]*[^?#]*(.*)$", 1)
+    return F.concat(F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), _without_dots(path_of(whole)), rest)
 
 
 def apply_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -85,30 +105,49 @@ def apply_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     return fits.groupBy("key").agg(best).select("key", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("said"))
 
 
-def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """(page_id, host, path, rule, verdict, reached) of each page; ``reached`` tells whether an alias decided."""
+def _url_node(url: Column) -> Column:
+    return F.when(host_of(url) != "", F.md5(F.concat(F.lit("u"), url).cast("binary")))
+
+
+def _address_node(url: Column) -> Column:
+    return F.md5(F.concat(F.lit("a"), address(url)).cast("binary"))
+
+
+def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
+    """(page_id, host, path, rule, verdict, reached) of each page; ``reached`` tells whether an alias decided.
+
+    ``pages`` has page_id, url and html, ``redirects`` url and target (whole urls), if there are any.
+    """
     url = F.col("url")
     parsed = pages.select(
         F.monotonically_increasing_id().cast("string").alias("key"), "page_id", host_of(url).alias("host"), path_of(url).alias("path"),
-        address(url).alias("node"), F.transform(_links(F.col("html")), lambda t: _resolved(t, url)).alias("links"),
+        _url_node(url).alias("node"), _address_node(url).alias("plain"), F.transform(_links(F.col("html")), lambda t: resolved(t, url)).alias("links"),
     )
     parsed = stage(parsed, "pages")
-    linked = parsed.select("node", F.explode("links").alias("url")).where("node is not null")
-    linked = linked.select("node", address(F.col("url")).alias("target"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    linked = stage(linked.where("target is not null").distinct(), "page-links")
-    targets = linked.select(F.concat(F.lit("t"), F.sha2(F.concat_ws(" ", "target", "host", "path"), 256)).alias("key"), "host", "path", F.col("target").alias("node"))
-
-    told = stage(apply_rules(parsed.select("key", "host", "path").unionByName(targets.select("key", "host", "path").distinct()), rules), "rule-hits")
-    group = components(linked.select(F.col("node").alias("a"), F.col("target").alias("b")))
+    ends = parsed.where("node is not null").select(F.col("plain").alias("a"), F.explode("links").alias("target"))
+    if redirects is not None:
+        ends = ends.unionByName(redirects.select(_address_node(F.col("url")).alias("a"), "target").where("a is not null"))
+        sources = redirects.select(F.col("url").alias("target"))
+    target = F.col("target")
+
+    def places(urls: DataFrame, *more: str) -> DataFrame:
+        return urls.select(*more, _address_node(target).alias("b"), host_of(target).alias("host"), path_of(target).alias("path")).where("b is not null")
+
+    linked = stage(places(ends, "a").distinct(), "page-links")
+    named = linked.select("b", "host", "path")
+    if redirects is not None:
+        named = named.unionByName(places(sources))
+    targets = named.select(F.concat(F.lit("t"), F.md5(F.concat_ws(" ", "b", "host", "path").cast("binary"))).alias("key"), "host", "path", F.col("b").alias("node")).distinct()
+
+    told = stage(apply_rules(parsed.select("key", "host", "path").unionByName(targets.select("key", "host", "path")), rules), "rule-hits")
+    forms = parsed.select(F.col("node").alias("a"), F.col("plain").alias("b")).where("a is not null").distinct()
+    group = components(forms.unionByName(linked.select("a", "b")))
     group = stage(group.withColumnRenamed("node", "member"), "aliases")
-    named = parsed.select("key", "node").where("node is not null").unionByName(targets.select("key", "node").distinct())
-    said = named.join(told, "key").groupBy("node").agg(F.min("said").alias("said"))  # allow < block
+    said = parsed.select("key", "node").where("node is not null").unionByName(targets.select("key", "node"))
+    said = said.join(told, "key").groupBy("node").agg(F.min("said").alias("said"))  # allow < block
     placed = said.join(group, said["node"] == group["member"], "left").select("said", F.coalesce("component", "node").alias("component"))
     verdicts = placed.groupBy("component").agg(F.min("said").alias("alias_said"))
-
-    nodes = parsed.select("node").where("node is not null").distinct().join(group, F.col("node") == F.col("member"), "left")
-    nodes = nodes.select("node", F.coalesce("component", "node").alias("component")).join(verdicts, "component")
-    nodes = stage(nodes.select("node", "alias_said"), "alias-verdicts")
+    nodes = stage(group.join(verdicts, "component").select(F.col("member").alias("node"), "alias_said"), "alias-verdicts")
     whole = parsed.join(told, "key", "left").select("page_id", "host", "path", "rule", "said", "node")
     whole = whole.join(nodes, "node", "left")
     return whole.select(

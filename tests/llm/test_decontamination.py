@@ -112,3 +112,25 @@ def test_all_alignments_without_a_seed_condition(rows, spark):
     assert found(items) == want and len(want) > 150
     # an item's results do not depend on the other items
     assert found([items[14]]) == {k: n for k, n in want.items() if k[1] == items[14][0]}
+
+
+def test_items_without_an_id_or_with_a_shared_one(rows, spark):
+    random.seed(12)
+    words = [f"q{k}" for k in range(4000)]
+    text = lambda n: " ".join(random.choices(words, k=n))
+    a, b, c, d = (text(30) for _ in range(4))
+    benchmark = spark.createDataFrame([(None, a), (1, b), (1, c), (None, d), (2, "short one")], "item_id long, text string")
+    docs = rows([(10, f"x {a} y"), (11, f"{text(9)} {b}"), (12, c), (None, d), (13, text(50)), (13, b), (14, "a short one here")])
+    got = decontamination.overlaps(docs, benchmark).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted([(10, None), (11, 1), (12, 1), (None, None), (13, 1), (14, 2)], key=str)
+    odd = docs.selectExpr("*", "1 as text_mark", "2 as item", "3 as `a.b`", "4 as hits")
+    clean = decontamination.free_of(odd, benchmark)
+    assert clean.columns == odd.columns and [r.doc_id for r in clean.collect()] == [13]
+    assert decontamination.free_of(odd, benchmark.limit(0)).count() == odd.count()
+    assert decontamination.free_of(rows([(None, None), (1, "")]), benchmark).count() == 2
+
+
+def test_table_follows_the_number_of_seeds():
+    assert decontamination.table_words(0) == decontamination.table_words(1 << 16) == 1 << 16
+    assert decontamination.table_words(100_000) == 1 << 17
+    assert decontamination.table_words(1 << 40) == 1 << 22

@@ -96,3 +96,31 @@ def test_components(spark):
     root = least(nodes, edges=[e for e in edges if e[0] != e[1]])
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == root and len(got) == len(root)
+
+
+def test_one_of_each_group_stays_whatever_the_ids(rows):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    near = a + " extra"
+    pairs = [(1, a), (1, b), (2, b), (3, near), (4, c), (4, c), (None, c), (None, "z " * 3 + "lone text here"), (None, None), (None, None), (6, None), (7, "")]
+    docs = rows(pairs).selectExpr("*", "1 as row_mark", "2 as component_id", "'t' as m", "3 as `a.b`").repartition(3)
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (4, c), (None, pairs[7][1]), (None, None), (6, None), (7, "")], key=str)
+    assert jaccard.keep_one(rows([])).count() == 0
+
+
+def test_no_text_is_lost_by_its_id(rows):
+    pairs = corpus(5)
+    docs = [(i % 7 if i % 3 else None, t) for i, t in pairs]
+    kept = [r.text for r in jaccard.keep_one(rows(docs).repartition(4)).collect()]
+    sets = [shingles(t) for t in kept]
+    by_group = {}
+    for k, (_, t) in enumerate(docs):
+        by_group[k] = t
+    root = brute(list(by_group.items()))
+    groups_with_words = {r for k, (n, r) in root.items() if n}
+    assert len([s for s in sets if s]) == len(groups_with_words)
+    # what went has a copy or near copy among what stays, directly or by others
+    left = {root[k][1] for k, t in by_group.items() if t in kept and root[k][0]}
+    assert left == groups_with_words

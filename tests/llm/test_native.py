@@ -9,63 +9,155 @@ import re
 from pyspark.sql import functions as F
 
 from gustline.llm import chat, licenses, secrets, urls
+from gustline.llm.queries import HEADERS, LICENSES, QUERIES, document_files, tool_traffic
 
 SCHEMAS = [("f", "q", "string", True), ("f", "b", "integer", False), ("f", "x", "number", False), ("g", "a", "object", True)]
 
 
+CALLS = "conv_id long, call_id string, parent_id string, name string, arguments string, level int"
+RESULTS = "conv_id long, call_id string, content string, n_calls int"
+
+
 def link(spark, calls, results):
     return chat.link(
-        spark.createDataFrame(calls, "conv_id long, call_id string, parent_id string, name string, arguments string, level int"),
-        spark.createDataFrame(results, "conv_id long, call_id string, content string, n_calls int"),
+        spark.createDataFrame(calls, CALLS).selectExpr("*", "'x' as conv", "1 as first", "2 as up", "'e' as error"),
+        spark.createDataFrame(results, RESULTS).selectExpr("*", "'x' as conv", "3 as copies"),
         spark.createDataFrame(SCHEMAS, "name string, field string, kind string, required boolean"),
     )
 
 
-def test_levels_of_chains_trees_and_cycles(spark):
-    random.seed(1)
-    up = {f"c{k}": (f"c{random.randrange(k)}" if k and random.random() < 0.8 else None) for k in range(60)}
-    up |= {f"d{k}": (f"d{k - 1}" if k else None) for k in range(70)} | {"x": "y", "y": "z", "z": "x", "behind": "x", "lost": "nowhere", "self": "self"}
-
-    def level(node, seen=()):
-        if node in seen:
-            return None
-        parent = up[node]
-        if parent is None or parent not in up:
-            return 0
-        above = level(parent, (*seen, node))
-        return None if above is None else above + 1
-
-    got = {r.call_id: r.level for r in chat.levels(spark.createDataFrame(list(up.items()), "call_id string, parent_id string")).collect()}
-    assert got == {n: level(n) for n in up if level(n) is not None}
+def plain_level(up, node, seen=()):
+    """up: (conv, id) -> parent id"""
+    if node in seen:
+        return None
+    parent = up[node]
+    if parent is None or (node[0], parent) not in up:
+        return 0
+    above = plain_level(up, (node[0], parent), (*seen, node))
+    return None if above is None else above + 1
 
 
-def test_links(spark):
+def test_levels_of_chains_trees_and_cycles(spark):
+    random.seed(1)
+    up = {}
+    for conv in ("n", "v1"):  # the same ids twice
+        up |= {(conv, f"c{k}"): (f"c{random.randrange(k)}" if k and random.random() < 0.8 else None) for k in range(60)}
+    up |= {("v2", f"d{k}"): (f"d{k - 1}" if k else None) for k in range(70)} | {("v3", "d0"): "d1"}
+    up |= {("v2", a): b for a, b in (("x", "y"), ("y", "z"), ("z", "x"), ("behind", "x"), ("lost", "nowhere"), ("self", "self"))}
+    calls = spark.createDataFrame([(*key, parent) for key, parent in up.items()], "conv string, call_id string, parent_id string")
+    got = {(r.conv, r.call_id): r.level for r in chat.levels(calls).collect()}
+    assert got == {n: plain_level(up, n) for n in up if plain_level(up, n) is not None}
+
+
+def kind_of(value):
+    kinds = {bool: "boolean", int: "integer", float: "number", str: "string", dict: "object", list: "array", type(None): "null"}
+    return kinds[type(value)]
+
+
+def plain_errors(name, arguments):
+    fields = {f: (kind, must) for tool, f, kind, must in SCHEMAS if tool == name}
+    found = [] if fields else ["name: unknown tool"]
+    try:
+        value = json.loads(arguments or "")
+    except ValueError:
+        value = None
+    if not isinstance(value, dict):
+        return ", ".join(sorted({*found, "arguments: not an object"}))
+    if fields:
+        for field, v in value.items():
+            if field not in fields:
+                found.append(f"{field}: not in the schema")
+            elif not (kind_of(v) == fields[field][0] or (fields[field][0], kind_of(v)) == ("number", "integer")):
+                found.append(f"{field}: not of kind {fields[field][0]}")
+        found += [f"{f}: missing" for f, (_, must) in fields.items() if must and f not in value]
+    return ", ".join(sorted(found))
+
+
+def plain_links(calls, results):
+    """Rows as (conv, id, level, parent, name, n_calls, n_results, status, errors), with multiplicity"""
+    out, by_id, answers = [], {}, {}
+    order = lambda fields: tuple((x is not None, x or "") for x in fields)  # noqa: E731  nulls first
+    for conv, call, parent, name, arguments in calls:
+        if call is None:
+            out.append((conv, None, None, parent, name, None, None, "call without id", None))
+        else:
+            by_id.setdefault((conv, call), []).append((parent, name, arguments))
+    for conv, call, content in results:
+        if call is None:
+            out.append((conv, None, None, None, None, None, None, "result without id", None))
+        else:
+            answers.setdefault((conv, call), []).append(content)
+    first = {key: min(own, key=order) for key, own in by_id.items()}
+    up = {key: own[0] for key, own in first.items()}
+    for key, (parent, name, arguments) in first.items():
+        level, errors, n = plain_level(up, key), plain_errors(name, arguments), len(answers.get(key, [])) or None
+        status = "cycle" if level is None else "no result" if n is None else "invalid" if errors else "ok"
+        out.append((*key, level, parent, name, len(by_id[key]), n, status, errors))
+        rest = sorted(by_id[key], key=order)[1:]
+        out += [(*key, None, p, nm, None, None, "duplicate", None) for p, nm, _ in rest]
+    for key, own in answers.items():
+        spare = len(own) - 1
+        if key not in first:
+            out.append((*key, None, None, None, None, len(own), "no call", None))
+        out += [(*key, None, None, None, None, None, "duplicate", None)] * spare
+    return out
+
+
+def test_links_equal_plain_ones(spark):
+    random.seed(8)
+    some = [None, "{}", '{"q": "x"}', '{"q": 1, "b": true}', '{"a": {"z": 1}, "x": 2.5}', "not json", "[1]", '{"x": 3, "q": "y", "b": null}', "null"]
+    convs = [1, 2, None]
+    ids = [None, *(f"call_{k}" for k in range(9))]
+    calls = [(random.choice(convs), random.choice(ids), random.choice(ids), random.choice(["f", "g", "h", None]), random.choice(some)) for _ in range(120)]
+    results = [(random.choice([*convs, 4]), random.choice(ids), random.choice([None, "", "yes", "no"])) for _ in range(90)]
+    calls += calls[:10]
+    got = link(spark, [(*c, 0) for c in calls], [(*r, 0) for r in results]).collect()
+    want = plain_links(calls, results)
+    assert sorted(map(str, (tuple(r)[:9] for r in got))) == sorted(map(str, want))
+    pairs = sum(1 for r in got if r.n_calls is not None and r.n_results is not None)
+    assert len(calls) + len(results) == len(got) + pairs  # no row is lost
+
+
+def test_messages_are_canonical(spark):
     calls = [
         (1, "a", None, "f", '{"q": "x", "b": 1, "x": 2}', 0),
         (1, "b", "a", "f", '{"x": {"z": [1, 2.50], "a": "é\\n"}, "b": "1"}', 0),
-        (1, "b", "a", "f", '{"q": "later"}', 0),
-        (2, "c", "b", "h", "not json", 0),
-        (2, "d", None, "g", None, 0),
+        (2, "a", "b", "h", "not json", 0),
         (3, "e", "e", "g", '{"a": {}, "A": null}', 0),
-        (3, None, None, "f", "{}", 0),
     ]
-    results = [(1, "a", "two", 0), (1, "a", "one", 0), (1, "b", None, 0), (9, "zz", "left", 0), (9, None, "no id", 0)]
-    got = {(r.conv_id, r.call_id): r for r in link(spark, calls, results).collect()}
-    assert len(got) == 8
-    a = got[1, "a"]
-    assert (a.status, a.level, a.n_calls, a.n_results, a.errors) == ("ok", 0, 1, 2, "")
-    assert a.message == '{"arguments":{"b":1,"q":"x","x":2},"id":"a","name":"f","result":"one"}'
-    b = got[1, "b"]
-    assert (b.status, b.level, b.n_calls, b.errors) == ("invalid", 1, 2, "b: not of kind integer, q: missing, x: not of kind number") or b.errors == ""
-    assert got[2, "c"].errors == "arguments: not an object, name: unknown tool"
-    assert got[2, "c"].status == "no result" and json.loads(got[2, "c"].message)["arguments"] == "not json"
-    assert got[2, "d"].errors == "arguments: not an object"
-    assert (got[3, "e"].status, got[3, "e"].level, got[3, "e"].errors) == ("cycle", None, "A: not in the schema")
-    assert got[9, "zz"].status == "no call" and got[3, None].status == "call without id" and got[9, None].status == "result without id"
+    results = [(1, "a", "two", 0), (1, "a", "one", 0), (2, "a", "other", 0), (9, "zz", "left", 0)]
+    got = {(r.conv_id, r.call_id, r.status): r for r in link(spark, calls, results).collect()}
+    assert got[1, "a", "ok"].message == '{"arguments":{"b":1,"q":"x","x":2},"id":"a","name":"f","result":"one"}'
+    assert got[1, "a", "duplicate"].message == '{"id":"a","result":"two"}'
+    b = got[1, "b", "no result"]
+    assert (b.level, b.errors) == (1, "b: not of kind integer, q: missing, x: not of kind number")
+    assert b.message == '{"arguments":{"b":"1","x":{"a":"é\\n","z":[1,2.5]}},"id":"b","name":"f","parent":"a"}'
+    other = got[2, "a", "invalid"]
+    assert (other.level, other.errors, json.loads(other.message)["result"]) == (0, "arguments: not an object, name: unknown tool", "other")
+    assert (got[3, "e", "cycle"].level, got[3, "e", "cycle"].errors) == (None, "A: not in the schema")
+    assert got[9, "zz", "no call"].n_results == 1
+    told = [(r.conv_id, r.level) for r in chat.in_order(link(spark, calls, results)).collect()]
+    assert told == sorted(told, key=lambda x: (x[0], x[1] is None, x[1]))
+
+
+def test_long_arguments_and_copies(spark):
+    long = json.dumps({"q": "y " * 100_000})
+    calls = [(1, "a", None, "f", long, 0)] * 30 + [(1, f"c{k}", "a", "f", '{"q": ""}', 0) for k in range(200)]
+    got = link(spark, calls, [(1, "a", "z", 0)] * 20).collect()
+    assert sum(r.status == "duplicate" for r in got) == 29 + 19 and sum(r.level == 1 for r in got) == 200
+    assert max(len(r.message) for r in got) > 200_000
 
 
 def test_links_of_empty_tables(spark):
     assert link(spark, [], []).count() == 0
+    assert [r.status for r in link(spark, [], [(1, "a", "x", 0)]).collect()] == ["no call"]
+
+
+def test_traffic_of_conversations(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", None), (None, 1, "user", "x"), (None, 1, "user", "y"), (2, None, "user", "z"), (3, 2, "assistant", "lone")]
+    calls, results = tool_traffic(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {(r.conv_id, r.call_id, r.parent_id) for r in calls.collect()} == {(1, "call_1", None), (1, "call_3", "call_1"), (None, "call_1", None), (2, None, None)}
+    assert calls.count() == 5 and {(r.conv_id, r.call_id, r.content) for r in results.collect()} == {(1, "call_1", "b"), (3, "call_1", "lone")}
 
 
 # --- urls --------------------------------------------------------------------------------------
@@ -124,6 +216,39 @@ def test_aliases(spark):
     assert all((r.verdict, r.rule) == ("block", None) for k, r in got.items() if k >= 100)
 
 
+def test_targets_are_resolved(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.com/x/y", "http://a.com/x/", "http://a.com", "https://A.com/de/1?q=1", "http://a.com/a/b/c/d#f"]
+    targets = ["../y", "./z", "../../../w", "?p=2", "n", "/t/../u/./v", "//h.net/p", "http://o.org/a/b", "..", ".", "a/./b/../c?x=../y", "#top", "/..a/b.", "/../q"]
+    df = spark.createDataFrame([(b, t) for b in bases for t in targets], "url string, target string")
+    got = df.select("url", "target", urls.resolved(F.col("target"), F.col("url")).alias("whole")).collect()
+    plain_form = lambda u: (parts(u)[0], parts(u)[1] or "/", u.partition("#")[0].partition("?")[2])
+    for r in got:
+        assert plain_form(r.whole) == plain_form(urljoin(r.url, r.target)), (r.url, r.target, r.whole)
+    dotted = spark.createDataFrame([("http://a.com/x", "//h.net/p/.."), ("http://a.com/x", "http://o.org/a/../b")], "url string, target string")
+    assert {r[0] for r in dotted.select(urls.resolved(F.col("target"), F.col("url"))).collect()} == {"http://h.net/", "http://o.org/b"}
+
+
+def test_redirects_seen_elsewhere(spark):
+    pages = spark.createDataFrame([(1, "http://a.io/1", None), (2, "http://b.io/", "x"), (3, "http://c.io/", None), (4, None, None)], "page_id long, url string, html string")
+    rules = spark.createDataFrame([("net", "", "block"), ("org", "", "allow")], "host string, path string, verdict string")
+    hops = [("http://a.io/1/", "http://s.io/hop"), ("http://s.io/hop#x", "http://q.net/"), ("http://q.net/b", "http://b.io"), ("http://z.org/", "http://b.io/"), (None, "http://c.io/"), ("http://c.io/", None), ("http://c.io/", "rel")]
+    redirects = spark.createDataFrame(hops, "url string, target string")
+    got = {r.page_id: (r.verdict, r.reached) for r in urls.judge(pages, rules, redirects).collect()}
+    # a source that a rule blocks and one that a rule allows lead to page 2: allow wins
+    assert got == {1: ("block", True), 2: ("allow", True), 3: ("allow", False), 4: ("allow", False)}
+    assert {r.reached for r in urls.judge(pages, rules, redirects.limit(0)).collect()} == {False}
+
+
+def test_forms_of_one_address_share_a_verdict(spark):
+    rows = [page(1, "http://e.com/de/x/"), page(2, "https://www.e.com/de/x?utm_a=1#z"), page(3, "http://www.e.com/de/x", None)]
+    got = judged(spark, rows, rules=[("www.e.com", "/de/", "block")])
+    assert {k: (r.verdict, r.reached) for k, r in got.items()} == {1: ("block", True), 2: ("block", False), 3: ("block", False)}
+    long = "http://e.com/" + "a/../" * 20_000 + "end"
+    assert judged(spark, [page(1, long), page(2, "http://k.io/", '<link rel="canonical" href="%s">' % long)], rules=[])[2].verdict == "allow"
+
+
 def test_no_pages_no_rules(spark):
     assert judged(spark, []) == {}
     assert judged(spark, [page(1, "http://x.org/")], rules=[])[1].verdict == "allow"
@@ -186,67 +311,112 @@ def test_redaction(rows):
     texts = [r.text for r in got.collect()]
     assert not [t for t in texts if t and base(t) and "[SECRET]" not in t]
     assert "[SECRET]!" in texts and "[SECRET]" in texts and None in texts
+    odd = docs.selectExpr("*", "1 as row_mark", "2 as secret_spans", "3 as _spans", "4 as _id", "5 as _sign", "6 as `a.b`")
+    again = secrets.redact(odd, owner=F.col("source"), repo=F.col("source"))
+    assert again.columns == odd.columns and sorted(map(str, (r.text for r in again.collect()))) == sorted(map(str, texts))
     assert secrets.redact(rows([]), owner=F.col("source"), repo=F.col("source")).count() == 0
     assert secrets.scan(rows([]), owner=F.col("source"), repo=F.col("source")).count() == 0
 
 
 # --- licences ----------------------------------------------------------------------------------
 
-TEMPLATES = [("mit", "Released under the MIT License."), ("gpl", "Licensed under the GNU General Public License, version 3.")]
+TEMPLATES = [("mit", "Released under the MIT License."), ("gpl", "Licensed under the GNU General Public License, version 3."), ("mit", dict(HEADERS)["mit"])]
 
 
 def terms(text):
     found = (re.sub(r"[.+-]+$", "", t) for t in re.split(r"[^a-z0-9.+-]+", (text or "").lower()))
-    return {t for t in found if t}
+    return [t for t in found if t]
 
 
-def plain_licenses(files, threshold):
-    vocabulary = set().union(*(terms(t) for _, t in TEMPLATES))
-    n = {t: sum(t in terms(text) for _, text, _ in files) for t in vocabulary}
-    rarest = math.log(1 + len(files)) + 1
-    weight = {t: math.log((1 + len(files)) / (1 + n[t])) + 1 for t in vocabulary}
-    own = {}
-    for path, text, whole in files:
+def units(text, whole):
+    text = text or ""
+    blocks = [b for b in re.split(r"\n[ \t\r]*\n", text) if "\n" in b]
+    return [*text.split("\n"), *blocks, *([text] if whole else [])]
+
+
+def plain_licenses(files, templates, threshold):
+    """(license, score, origin, license_dir) of each (path, text, is_license), by weighing every unit"""
+    n = {}
+    for _, text, _ in files:
+        for t in set(terms(text)):
+            n[t] = n.get(t, 0) + 1
+
+    def vector(text):
+        own = terms(text)
+        return {t: own.count(t) * (math.log((1 + len(files)) / (1 + n.get(t, 0))) + 1) for t in set(own)}
+
+    def length(v):
+        return math.sqrt(sum(x * x for x in v.values()))
+
+    known = [(name, vector(text)) for name, text in templates]
+    own = []
+    for _, text, whole in files:
         best = None
-        for unit in (text or "").split("\n") + ([text or ""] if whole else []):
-            have = terms(unit)
-            length = sum(weight.get(t, rarest) ** 2 for t in have)
-            for name, template in TEMPLATES:
-                vector = terms(template)
-                dot = sum(weight[t] ** 2 for t in vector & have)
-                score = round(dot / math.sqrt(length * sum(weight[t] ** 2 for t in vector)), 6) if have else 0
-                if score >= threshold:
-                    best = min(best or (0, ""), (-score, name)) if best else (-score, name)
-        own[path] = best and (best[1], -best[0])
-    found = {}
-    for path, _, _ in files:
-        if own[path]:
-            found[path] = (own[path][0], "own")
+        for unit in units(text, whole):
+            v = vector(unit)
+            for name, w in known:
+                score = round(sum(v[t] * w[t] for t in v.keys() & w.keys()) / (length(v) * length(w)), 6) if v else 0
+                if score >= threshold and (best is None or (-score, name) < best):
+                    best = (-score, name)
+        own.append(best and (best[1], -best[0]))
+    told = {}
+    for (path, _, whole), said in zip(files, own, strict=True):
+        if whole and said and path is not None:
+            folder = path.rpartition("/")[0]
+            told[folder] = min(told.get(folder, (9, "", "")), (-said[1], path, said[0]))
+    out = []
+    for (path, _, _), said in zip(files, own, strict=True):
+        if said:
+            out.append((path, *said, "own", None))
             continue
-        parts_of, said = path.split("/")[:-1], None
-        for k in range(len(parts_of), -1, -1):
-            here = "/".join(parts_of[:k])
-            inside = [(-own[p][1], p, own[p][0]) for p, _, w in files if w and own[p] and "/".join(p.split("/")[:-1]) == here]
-            if inside:
-                said = (min(inside)[2], "inherited")
-                break
-        found[path] = said or (None, "none")
-    return found
-
-
-def test_licenses(spark):
+        parts_of = path.rpartition("/")[0].split("/") if path is not None else []
+        near = next((d for d in ("/".join(parts_of[:k]) for k in range(len(parts_of), -1, -1)) if path is not None and d in told), None)
+        out.append((path, told[near][2] if near is not None else None, None, "inherited" if near is not None else "none", near))
+    return out
+
+
+def scanned(spark, files, templates, **options):
+    df = spark.createDataFrame(files, "path string, text string, is_license boolean").repartition(3)
+    df = df.selectExpr("*", "1 as key", "'x' as license", "2 as score", "3 as dir", "4 as unit", "5 as terms", "6 as extra")
+    known = spark.createDataFrame(templates, "license string, text string")
+    return licenses.scan(df, known, extra=["license", "score", "key", "dir", "unit"], **options)
+
+
+def test_licenses(spark, monkeypatch):
     random.seed(9)
+    near = [
+        "", "released under the mit license", "Licensed under the GNU GPL version 3", "under the license", "Released under the MIT License by me and others",
+        "# Licensed under the GNU General Public License, version 3", "mit mit mit mit mit license license released", "This file is released under the MIT License.",
+        dict(HEADERS)["mit"], dict(HEADERS)["mit"].replace("Software", "Work").replace("person", "one"), "\n".join("// " + x for x in dict(HEADERS)["mit"].split("\n")),
+        dict(HEADERS)["mit"].split("\n")[0], "the the of to any",
+    ]
     files = []
-    for k in range(80):
-        directory = random.choice(["", "a/", "a/b/", "a/b/c/", "d/", "d/e/"])
-        lines = ["some text of words here", random.choice(["", "released under the mit license", "Licensed under the GNU GPL version 3", "under the license", "Released under the MIT License by me and others"])]
-        files.append((f"{directory}f{k}", "\n".join(lines), k % 4 == 0))
-    files += [("a/empty", "", False), ("a/none", None, True)]
-    df = spark.createDataFrame(files, "path string, text string, is_license boolean").withColumn("key", F.lit(1)).withColumn("license", F.lit("x"))
-    templates = spark.createDataFrame(TEMPLATES, "license string, text string")
-    got = {r.path: (r.license, r.origin) for r in licenses.scan(df, templates).collect()}
-    assert got == plain_licenses(files, licenses.THRESHOLD)
-    assert {o for _, o in got.values()} >= {"own", "inherited"}
+    for k in range(110):
+        directory = random.choice(["", "a/", "a/b/", "a/b/c/", "d/", "d/e/", "/", "a//b/"])
+        lines = [" ".join(random.choices("some text of words here the to in any file".split(), k=random.randint(0, 12))), "", random.choice(near), "  ", "more text"]
+        files.append((f"{directory}f{k}", "\n".join(lines[random.randint(0, 2) :]), k % 4 == 0))
+    files += [("a/empty", "", False), ("a/none", None, True), (None, TEMPLATES[0][1], True), (None, "x", False), ("a/f0", near[1], False), ("a/f0", near[1], True)]
+    files += [("long/LICENSE", dict(HEADERS)["mit"] + " word" * 30_000, True), ("long/x", "word " * 50_000 + "\n" + TEMPLATES[1][1], False)]
+    for rows_at_once in (licenses.BROADCAST_ROWS, 0):  # beyond the bound everything is joined by shuffles
+        monkeypatch.setattr(licenses, "BROADCAST_ROWS", rows_at_once)
+        result = scanned(spark, files, TEMPLATES)
+        got = result.collect()
+        assert result.columns == ["path", "license", "score", "origin", "license_dir", "file_license", "file_score", "key", "dir", "unit"]
+        want = plain_licenses(files, TEMPLATES, licenses.THRESHOLD)
+        assert sorted(map(str, (tuple(r)[:5] for r in got))) == sorted(map(str, want))
+        assert {r[3] for r in want} == {"own", "inherited", "none"} and len({r[1] for r in want if r[3] == "own"}) == 2
+
+
+def test_licenses_at_the_threshold_and_ties(spark):
+    files = [("a", "one two three four", False), ("b", "one two three five", False), ("c/LICENSE", "one two three four", True), ("c/x", "nothing", False)]
+    both = [("z", "one two three four"), ("y", "one two three four")]
+    got = {r.path: (r.license, r.score) for r in scanned(spark, files, both).collect()}
+    assert got["a"] == ("y", 1.0) and got["c/x"] == ("y", None)
+    want = {w[0]: w[1:] for w in plain_licenses(files, both, 0.0)}
+    exact = want["b"][1]
+    assert 0 < exact < 1
+    assert {r.path: r.license for r in scanned(spark, files, both, threshold=exact).collect()}["b"] == "y"
+    assert {r.path: r.origin for r in scanned(spark, files, both, threshold=exact + 1e-6).collect()}["b"] == "none"
 
 
 def test_licenses_of_nulls_repeats_and_empty_tables(spark):
@@ -260,29 +430,14 @@ def test_licenses_of_nulls_repeats_and_empty_tables(spark):
     assert {r.origin for r in licenses.scan(files, templates.limit(0)).collect()} == {"none"}
 
 
-def test_licenses_weigh_all_terms_by_corpus_frequency(spark):
-    common = "This file is released under the MIT License."
-    files = [(f"f{k}", "this file is here", False) for k in range(200)] + [("a", common, False), ("b", "mit mit mit mit mit mit mit mit released under the license", False)]
-
-    def listed(text):
-        return [t for t in (re.sub(r"[.+-]+$", "", t) for t in re.split(r"[^a-z0-9.+-]+", text.lower())) if t]
-
-    n = {t: sum(t in listed(text) for _, text, _ in files) for _, text, _ in [*files, (0, TEMPLATES[0][1], 0), (0, TEMPLATES[1][1], 0)] for t in listed(text)}
-
-    def vector(text):
-        return {t: listed(text).count(t) * (math.log((1 + len(files)) / (1 + n[t])) + 1) for t in listed(text)}
-
-    def cosine(a, b):
-        return sum(a[t] * b[t] for t in a.keys() & b.keys()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
-
-    want = {path: max(cosine(vector(text), vector(template)) for _, template in TEMPLATES) for path, text, _ in files}
-    df = spark.createDataFrame(files, "path string, text string, is_license boolean")
-    templates = spark.createDataFrame(TEMPLATES, "license string, text string")
-    for terms in (licenses.MAX_TERMS, 3):  # beyond the bound the vocabulary is joined
-        old, licenses.MAX_TERMS = licenses.MAX_TERMS, terms
-        try:
-            got = {r.path: r.score for r in licenses.scan(df, templates).collect() if r.score is not None}
-        finally:
-            licenses.MAX_TERMS = old
-        assert got == {path: round(score, 6) for path, score in want.items() if score >= licenses.THRESHOLD}
-        assert "a" in got and "b" not in got
+def test_query_of_licenses(spark, tmp_path):
+    random.seed(10)
+    docs = [(k, random.choice(["prose of words", LICENSES[k % 5][1], HEADERS[k % 5][1], ""]) + "\nand more words " * (k % 2), random.choice(["en", None]), f"s{k % 2}", random.choice([10, 5000, None])) for k in range(0, 4000, 97)]
+    docs += [(None, "All rights reserved.", "en", "s1", 10), (7, None, "en", "s1", None)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    files = document_files(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()
+    paths = {r.doc_id: r.path for r in files}
+    assert len({p.count("/") for p in paths.values() if p}) >= 3
+    want = plain_licenses([(r.path, r.text, bool(r.is_license)) for r in files], [*LICENSES, *HEADERS], licenses.THRESHOLD)
+    got = QUERIES["op3_license_inheritance"](spark, str(tmp_path)).collect()
+    assert sorted(map(str, (tuple(r)[:5] for r in got))) == sorted(map(str, want))

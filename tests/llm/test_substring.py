@@ -66,3 +66,10 @@ def test_texts_keep_their_columns(rows):
     got = substring.dedup_texts(docs)
     assert got.columns == docs.columns
     assert {r.doc_id: r.text for r in got.collect()} == {1: text, 2: "a b", 3: "x  y"}
+
+
+def test_names_that_clash(rows):
+    text = " ".join(f"w{k}" for k in range(30))
+    docs = rows([(1, text), (2, text)]).selectExpr("*", "1 as begins", "2 as ends", "3 as _begins", "4 as _ends", "5 as `a.b`")
+    kept = substring.dedup_texts(docs)
+    assert kept.columns == docs.columns and {r.doc_id: r.text for r in kept.collect()} == {1: text, 2: ""}

@@ -14,13 +14,14 @@ from gustline.llm import binary, packing
 from gustline.llm.tokens import Encoder
 
 WORD, BYTE = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
-LETTERS = [" ", "  ", "\n", "\t", "\r", "a", "B", "é", "É", "́", "1", "!", ".", ",", "'s", "\xa0", "\x1c", "Σ", "ſ", "İ", "<|endoftext|>", "\x85", "漢", "ß", "word", "µ"]
-TEXTS = [(1, "One two, three."), (2, None), (3, ""), (4, "a b " * 3000), (5, "One two, three."), (5, "again"), (-7, " x\n\ny ")]
+LETTERS = [" ", "  ", "\n", "\t", "\r", "a", "B", "é", "É", "́", "1", "!", ".", ",", "'s", "\xa0", "\x1c", "Σ", "ſ", "İ", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "\x85", "漢", "ß", "word", "µ"]
+TEXTS = [(1, "One two, three."), (2, None), (3, ""), (4, "a b " * 3000), (5, "One two, three."), (5, "again"), (-7, " x\n\ny "), (8, "a <|endoftext|>b <|startoftext|> c")]
 
 
-def plain(path):
+def plain(path, names_as_text=False):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if names_as_text:
+        tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -28,10 +29,11 @@ def crc(ids):
     return zlib.crc32(np.asarray(ids, "<u4").tobytes())
 
 
+@pytest.mark.parametrize("names_as_text", [False, True])
 @pytest.mark.parametrize("path", [WORD, BYTE])
-def test_pieces_give_the_ids_of_the_whole_text(path):
+def test_pieces_give_the_ids_of_the_whole_text(path, names_as_text):
     random.seed(5)
-    encoder, whole = Encoder(path), plain(path)
+    encoder, whole = Encoder(path, names_as_text), plain(path, names_as_text)
     for _ in range(4000):
         text = "".join(random.choices(LETTERS, k=random.randint(0, 20)))
         assert encoder.encode(text).tolist() == whole(text), ascii(text)
