@@ -26,8 +26,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
-    return jaccard.without(docs, stage(found.select("doc_id").where("doc_id is not null").distinct(), "leaks"))
+    return decontamination.free_of(docs, table(spark, sf_dir, "benchmark"))
 
 
 def free_of_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
