@@ -137,3 +137,75 @@ def secret_spans(max_owners: int, max_repos: int) -> str:
         "sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied "
         "FROM d LEFT JOIN s USING (k)"
     )
+
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def structure_repair() -> str:
+    """Faults and cheapest edits of conversations: a walk over the rows of each, which keeps, for each of four
+    states, the cheapest edits so far (``c`` the cost, ``a`` the letters, ``t`` the kept rows)."""
+
+    def moved(state: str, cost: str, letter: str, kept: str = "") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t{kept and f' || {kept}'}}}"
+
+    def stays(state: str, role: str, initial: str) -> str:
+        same = moved(state, "stay", "K", "chr(10) || role || ':' || text")
+        other = moved(state, "stay + 1", "R", f"chr(10) || '{role}:' || text")
+        return f"CASE WHEN initial = '{initial}' THEN {same} ELSE {other} END"
+
+    far = "{'c': 1000000000, 'a': '', 't': ''}"
+    inserted_user = _least("u", *(moved(q, "5", "I", "chr(10) || 'user:'") for q in ("n", "s", "a")))
+    inserted_assistant = _least("a", moved("u1", "5", "I", "chr(10) || 'assistant:'"))
+    return f"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS codes FROM bits WHERE k = 8),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS mark FROM conversations
+), dealt AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(mark, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: xor(a >> 8, codes[xor(a & 255, b) + 1]))) % 20 AS fate FROM given, crc
+), damaged AS (
+  SELECT coalesce('v' || conv_id::VARCHAR, 'n') AS conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE fate <> 0
+), placed AS (
+  SELECT conv, turn, role, text, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS place FROM damaged
+), told AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY place) AS before, CASE
+    WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY place) > 1 THEN 'duplicate'
+    WHEN regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), priced AS (
+  SELECT *, CASE fault WHEN 'blank' THEN 100000000 WHEN 'duplicate' THEN 100000000 WHEN 'truncated' THEN 5 ELSE 0 END AS stay FROM told
+), walk(conv, place, n, s, u, a) AS (
+  SELECT DISTINCT conv, 0::BIGINT, {{'c': 0, 'a': '', 't': ''}}, {far}, {far}, {far} FROM priced
+  UNION ALL
+  SELECT conv, place, {moved('n', '2', 'D')},
+    {_least(moved('s', '2', 'D'), f"CASE WHEN initial = 's' THEN {moved('n', 'stay', 'K', "chr(10) || role || ':' || text")} ELSE {far} END")},
+    {_least(moved('u1', '2', 'D'), *(stays(q, 'user', 'u') for q in ('n', 's', 'a1')))},
+    {_least(moved('a1', '2', 'D'), stays('u1', 'assistant', 'a'))}
+  FROM (SELECT *, {inserted_assistant} AS a1 FROM (
+    SELECT p.conv, p.place, p.role, p.text, p.initial, p.stay, n, s, u, a, {inserted_user} AS u1
+    FROM walk w JOIN priced p ON p.conv = w.conv AND p.place = w.place + 1))
+), ended AS (
+  SELECT conv, {_least('n', 'a1')} AS x FROM (SELECT *, {inserted_assistant} AS a1 FROM (
+    SELECT w.conv, n, s, u, a, {inserted_user} AS u1 FROM walk w
+    JOIN (SELECT conv, max(place) AS place FROM priced GROUP BY conv) l ON l.conv = w.conv AND l.place = w.place))
+), counted AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+    count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM told GROUP BY conv
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(x.c, 0)::BIGINT AS cost, coalesce(x.a, '') AS audit,
+  sha256(coalesce(substr(x.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN counted c ON c.conv = coalesce('v' || e.conv_id::VARCHAR, 'n') LEFT JOIN ended d ON d.conv = c.conv
+"""

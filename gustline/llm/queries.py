@@ -249,4 +249,5 @@ ORACLES: dict[str, str] = {
     "op6_secret_ownership": oracles.secret_spans(secrets.MAX_OWNERS, secrets.MAX_REPOS),
     "op7_jaccard_join": oracles.jaccard(jaccard.SIZE, jaccard.PERCENT),
     "op10_substring_dedup": oracles.substrings(substring.SIZE),
+    "op11_structure_repair": oracles.structure_repair(),
 }
