@@ -23,7 +23,7 @@ from gustline.sources.streams import (
     text_topic,
 )
 from gustline.sources.tables import check_apart, preview, read_table, replace_table, schema_report
-from gustline.streaming.flows import ingest, publish, tap
+from gustline.streaming.flows import distribute, ingest, publish, tap
 from gustline.streaming.runs import batch_counts, run_bounded, total_rows
 
 
@@ -45,12 +45,18 @@ def _told(query: StreamingQuery) -> None:
 
 
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = csv_landing(args.landing, **_pairs(args.source_option))
-    _told(run_bounded(publish(spark, rows, _topic(args, False), args.checkpoint), args.timeout, args.every))
+    rows = csv_landing(args.landing, args.archive, args.age, **_pairs(args.source_option))
+    _told(run_bounded(publish(spark, rows, _topic(args, False), args.checkpoint, args.age), args.timeout, args.every))
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     table = table_sink(args.table, args.format)
+    if args.copy or args.quarantine:
+        copy = text_topic(args.copy) if args.copy else None
+        damaged = table_sink(args.quarantine, args.format) if args.quarantine else None
+        writer = distribute(spark, _topic(args, True), args.checkpoint, table, copy, damaged, args.partition_by)
+        _told(run_bounded(writer, args.timeout, args.every))
+        return
     writer = ingest(
         spark,
         _topic(args, True),
@@ -73,7 +79,7 @@ def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     check_apart(args.hourly, args.out)
-    result = train_from_table(spark, args.hourly, args.day, args.format, args.handle_invalid)
+    result = train_from_table(spark, args.hourly, args.day, args.format, args.handle_invalid, args.exact_split)
     print("left out", result.left_out)
     replace_table(result.metrics, f"{args.out}/metrics", args.format)
     replace_table(result.day, f"{args.out}/day", args.format)
@@ -113,6 +119,8 @@ def _parser() -> argparse.ArgumentParser:
     sub = command("publish", _publish)
     sub.add_argument("--landing", required=True)
     sub.add_argument("--source-option", action="append", default=[])
+    sub.add_argument("--archive", help="folder that read files are moved to")
+    sub.add_argument("--age", default="7 days", help="with --archive, how long the driver remembers files")
     streaming(sub)
 
     sub = command("ingest", _ingest)
@@ -122,6 +130,8 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--partition-by", action="append", default=[])
     sub.add_argument("--promote", action="append", default=[], help="column=signal key")
     sub.add_argument("--tasks-per-day", type=int)
+    sub.add_argument("--copy", help="folder for copies of all message bodies, from the same reading")
+    sub.add_argument("--quarantine", help="table for damaged messages with body and reason, from the same reading")
 
     sub = command("tap", _tap)
     streaming(sub, resumes=False)
@@ -135,6 +145,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command("train", _train)
     sub.add_argument("--handle-invalid", choices=["error", "skip"], default="error")
+    sub.add_argument("--exact-split", action="store_true", help="test rows of exactly the wanted number")
     sub.add_argument("--hourly", required=True)
     sub.add_argument("--day", required=True, type=dt.date.fromisoformat)
     sub.add_argument("--out", required=True)

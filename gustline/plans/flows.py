@@ -14,7 +14,7 @@ from gustline.functions.signals import quoted
 from gustline.functions.split import hour_key
 from gustline.operators.aggregates import daily_distinct_stored, hourly_with_band, with_band
 from gustline.operators.evaluation import density, histogram, joint_counts, metrics, with_residual
-from gustline.operators.features import keyed_split
+from gustline.operators.features import exact_split, keyed_split
 from gustline.operators.models import fit_flow, linear, score_day, side_by_side, tree
 from gustline.operators.readings import promote_signals, split_invalid
 from gustline.operators.renaming import rename_columns
@@ -120,19 +120,21 @@ def usable(hourly: DataFrame) -> DataFrame:
     return hourly
 
 
-def train(hourly: DataFrame, day: dt.date, handle_invalid: str = "error") -> Training:
+def train(hourly: DataFrame, day: dt.date, handle_invalid: str = "error", exact: bool = False) -> Training:
     """Fit a linear model and a tree on the training rows of the hourly table, score the test rows
     with both, and score one day with the linear model.
 
     A row with a missing value, such as the hour of malformed messages, is an error, or with
-    ``handle_invalid="skip"`` left out of everything; ``left_out`` tells how many were.
+    ``handle_invalid="skip"`` left out of everything; ``left_out`` tells how many were. With ``exact`` the
+    test rows are exactly a fifth, rounded up; else each row's own key decides, and about a fifth are.
     """
     left_out = 0
     if handle_invalid == "skip":
         kept = usable(hourly)
         left_out = hourly.count() - kept.count()
         hourly = kept
-    training, test = keyed_split(hourly, hour_key())
+    split = exact_split if exact else keyed_split
+    training, test = split(hourly, hour_key())
     models = {
         "linear": fit_flow(hourly, training, linear()),
         "tree": fit_flow(hourly, training, tree()),
@@ -148,7 +150,12 @@ def train(hourly: DataFrame, day: dt.date, handle_invalid: str = "error") -> Tra
 
 
 def train_from_table(
-    spark: SparkSession, hourly_path: str, day: dt.date, format: str = "parquet", handle_invalid: str = "error"
+    spark: SparkSession,
+    hourly_path: str,
+    day: dt.date,
+    format: str = "parquet",
+    handle_invalid: str = "error",
+    exact: bool = False,
 ) -> Training:
     schema = HOURLY_SCHEMA if format != "delta" else None
-    return train(read_table(spark, hourly_path, format, schema), day, handle_invalid)
+    return train(read_table(spark, hourly_path, format, schema), day, handle_invalid, exact)

@@ -93,6 +93,21 @@ def test_bad_input_on_the_whole_way(spark, run, tmp_path, capsys):
     assert read_table(spark, str(at["hourly"])).filter("signal_date is null").count() == 0
 
 
+def test_copies_quarantine_archive_and_exact_split(spark, run, tmp_path, capsys):
+    start, at = dt.datetime(2018, 1, 1), {n: tmp_path / n for n in ("landing", "read", "topic", "table", "copies", "bad", "sent", "stored", "hourly", "daily", "out")}
+    rows = [((start + dt.timedelta(hours=h)).strftime("%d %m %Y %H:%M"), h % 700, h % 19, 7, 90 + h % 3) for h in range(24 * 6)]
+    drop(tmp_path / "landing", "a.csv", rows)
+    run("publish", "--landing", at["landing"], "--topic", at["topic"], "--checkpoint", at["sent"], "--archive", at["read"], "--age", "1 day")
+    (at["topic"] / "bad.txt").write_text("{broken\n\n[1]\n")
+    run("ingest", "--topic", at["topic"], "--checkpoint", at["stored"], "--table", at["table"], "--copy", at["copies"], "--quarantine", at["bad"])
+    assert f"total {len(rows)}" in capsys.readouterr().out
+    assert sorted(r.problem for r in read_table(spark, str(at["bad"])).collect()) == ["blank", "not JSON", "not an object"]
+    assert read_table(spark, str(at["copies"]), "text").count() == len(rows) + 3
+    run("analyse", "--table", at["table"], "--hourly", at["hourly"], "--daily", at["daily"])
+    run("train", "--hourly", at["hourly"], "--day", "2018-01-02", "--out", at["out"], "--exact-split")
+    assert {r["rows"] for r in read_table(spark, str(at["out"] / "metrics")).collect()} == {29}
+
+
 def test_time_zone_is_required():
     with pytest.raises(SystemExit):
         cli.main(["show", "--table", "x"])
