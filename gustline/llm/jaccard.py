@@ -18,8 +18,11 @@ link when the Jaccard similarity of their sets is at least ``percent`` / 100.
 5. Documents that share a prefix shingle are compared in rounds. In the first ``STAR_ROUNDS`` every
    shingle has one hub, the set with the fewest unique shingles, ties by a hash that changes with the
    round; the others are compared with the hub only, if not yet connected with it. So a large group of
-   near copies takes pairs in proportion to its size. Then all pairs that remain unconnected and
-   uncompared are compared. Pairs pass length, count and positional filters in the join; each pair is
+   near copies takes pairs in proportion to its size. Then the pairs that remain unconnected and
+   uncompared are compared: in groups of up to ``PAIR_BLOCK`` sets by a join, so a set meets a bounded
+   number of others; larger groups are dealt into blocks of that size, and each two blocks are compared in
+   a task of their own, which sends on only the pairs that pass. Pairs pass length, count and positional
+   filters, in blocks also a bound on the overlap by bitmaps of the sets' shared shingles; each pair is
    verified once, after a suffix filter, on the whole sets.
 6. Links are contracted to components after each round; links inside a component cannot change it.
 
@@ -48,6 +51,8 @@ SIZE = 5
 PERCENT = 80
 CELLS = 1 << 17
 STAR_ROUNDS = 2
+PAIR_BLOCK = 512  # sets of one shingle that are joined with each other, at most; more are compared by blocks
+BITMAP = 1024  # bits of a set's bitmap
 BROADCAST_ROWS = 1 << 21  # ids sent to all tasks at most; more are joined by a shuffle
 
 _PASS = "cell long, amount long, doc_id long, n_shingles long, sig long, sig2 long"
@@ -118,7 +123,8 @@ def _entries(ids: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.n
 
 
 def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size: int, percent: int, volume: int) -> DataFrame:
-    """Prefix shingles (h, rep, n, shared, at) with unique ones, which are left out, in front."""
+    """Prefix shingles (h, rep, n, shared, at, bits) with unique ones, which are left out, in front; the set's
+    bitmap stands in its first row only."""
 
     def emit(batch: pa.RecordBatch):
         ids = batch.column(0).to_numpy()
@@ -128,6 +134,7 @@ def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[np.ndarray, ...]] = []
+            maps: list[bytes | None] = []
             for rep, n, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 own = np.sort(row.values.to_numpy().view(np.uint64))
                 unique = n - len(own)
@@ -137,13 +144,22 @@ def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size
                     first = own[rank[:length]].view(np.int64)
                     same = np.ones(len(first), np.int64)
                     out.append((first, rep * same, n * same, len(own) * same, unique + np.arange(len(first))))
+                    maps += [bitmap(own), *[None] * (len(first) - 1)]
             if out:
-                columns = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "rep", "n", "shared", "at"])
+                columns = [*(pa.array(np.concatenate(x)) for x in zip(*out, strict=True)), pa.array(maps, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "rep", "n", "shared", "at", "bits"])
 
     lists = repeated(texts, emit, size=volume).groupBy("doc_id").agg(F.collect_list("h").alias("hashes"))
     rows = lists.join(sizes, "doc_id").select(F.col("doc_id").alias("rep"), "n", "hashes")
-    return rows.mapInArrow(cut, "h long, rep long, n long, shared long, at long")
+    return rows.mapInArrow(cut, "h long, rep long, n long, shared long, at long, bits binary")
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """One bit for each hashed value of a set. Two sets of a and b values whose bitmaps differ in d places have
+    at most (a + b - d) / 2 values in common: each place that differs has a value that only one of them has."""
+    bits = np.zeros(BITMAP, bool)
+    bits[(mix(own) % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
 
 
 def _overlap(n: str, m: str, percent: int) -> str:
@@ -224,10 +240,10 @@ def groups(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT, id_col:
         placed = entries.join(component, F.col("rep") == F.col("node")).drop("node") if number else entries.withColumn("comp", F.col("rep"))
         hub = F.struct((F.col("n") - F.col("shared")).alias("unique"), F.xxhash64("rep", F.lit(number)), "rep", "n", "shared", "at", "comp")
         spread = placed.groupBy("h").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least_n"), F.min(hub).alias("hub")
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least_n"), F.min(hub).alias("hub"), F.count(F.lit(1)).alias("sets")
         )
         # only shingles that more than one component has go on, and sets large enough for some other there
-        hubs = stage(spread.where("low < high").select("h", "least_n", "hub"), "hubs")
+        hubs = stage(spread.where("low < high").select("h", "least_n", "hub", "sets"), "hubs")
         open_entries = placed.join(hubs, "h").where(f"{100 + percent} * shared >= {_overlap('n', 'least_n', percent)}")
         if number < STAR_ROUNDS:
             pairs = _filtered(
@@ -236,7 +252,9 @@ def groups(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT, id_col:
                 ), percent,
             )
         else:
-            pairs = _all_pairs(stage(open_entries, "open-entries"), percent)
+            last = open_entries.select("h", "rep", "n", "shared", "at", "comp", "sets")
+            maps = entries.where("bits is not null").select(F.col("rep").alias("of"), "bits")
+            pairs = _remaining_pairs(stage(last, "open-entries"), maps, percent)
         pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -270,11 +288,48 @@ def _filtered(pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one shingle that are in different components and pass the filters."""
-    left = entries.select("h", "rep", "n", "shared", "at", "comp")
-    right = left.select("h", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "shared", "at", "comp")))
-    return _filtered(left.join(right, "h").where("rep < rep2 and comp <> comp2"), percent)
+_COMPARED = ("rep", "n", "shared", "at", "comp")
+
+
+def _remaining_pairs(entries: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (rep, rep2) of one shingle that are in different components and pass the filters."""
+    left = entries.where(F.col("sets") <= PAIR_BLOCK).select("h", *_COMPARED)
+    right = left.select("h", *(F.col(c).alias(f"{c}2") for c in _COMPARED))
+    pairs = _filtered(left.join(right, "h").where("rep < rep2 and comp <> comp2"), percent).select("rep", "rep2")
+    large = entries.where(F.col("sets") > PAIR_BLOCK)
+    if large.isEmpty():
+        return pairs
+    blocks = F.ceil(F.col("sets") / PAIR_BLOCK).cast("long")
+    own = F.pmod(F.xxhash64("rep", "h"), blocks)
+    held = large.join(maps, F.col("rep") == F.col("of")).select("h", *_COMPARED, "bits", own.alias("own"), blocks.alias("blocks"))
+    held = held.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    held = held.select("h", *_COMPARED, "bits", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        return _block_pairs(table, key[1].as_py(), key[2].as_py(), percent)
+
+    return pairs.unionByName(held.groupBy("h", "low", "high").applyInArrow(compare, "rep long, rep2 long"))
+
+
+def _block_pairs(table: pa.Table, low: int, high: int, percent: int) -> pa.Table:
+    """The pairs of two blocks of one shingle (or within one) that pass the filters."""
+    rep, n, shared, at, comp, own = (table.column(c).to_numpy() for c in (*_COMPARED, "own"))
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rep), -1)
+    first, second = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    found: list[np.ndarray] = []
+    for k in first:
+        needed = percent * (n[k] + n[second])
+        good = (comp[k] != comp[second]) & (rep[k] != rep[second]) & (100 * np.minimum(n[k], n[second]) >= percent * np.maximum(n[k], n[second]))
+        good &= (100 + percent) * np.minimum(shared[k], shared[second]) >= needed
+        good &= (100 + percent) * np.minimum(n[k] - at[k], n[second] - at[second]) >= needed
+        if low == high:
+            good &= second > k
+        near = second[good]
+        apart = np.bitwise_count(bits[k] ^ bits[near]).sum(axis=1, dtype=np.int64)
+        near = near[(100 + percent) * (shared[k] + shared[near] - apart) >= 2 * needed[good]]
+        found.append(np.stack([np.full(len(near), rep[k]), rep[near]]))
+    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    return pa.table([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], ["rep", "rep2"])
 
 
 def keep_one(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

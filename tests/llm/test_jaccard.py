@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from conftest_llm import words
 
 from gustline.llm import jaccard
@@ -82,6 +83,32 @@ def test_chain_of_near_copies_needs_more_than_one_round(rows):
     assert result(jaccard.groups(rows(pairs))) == brute(pairs)
 
 
+@pytest.mark.parametrize("block", [1, 2, 7])
+def test_large_groups_are_compared_by_blocks(rows, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "PAIR_BLOCK", block)
+    random.seed(block)
+    template = [f"w{k}" for k in range(60)]
+    pairs = []
+    for doc in range(70):  # a family of texts around the threshold, half of them in twos
+        own = list(template)
+        for place in random.sample(range(60), random.randint(0, 3)):
+            own[place] = f"v{random.randrange(6)}"
+        pairs.append((doc, " ".join(own)))
+    pairs += corpus(block)
+    pairs = list({i + 1000 * (k >= 70): (i + 1000 * (k >= 70), t) for k, (i, t) in enumerate(pairs)}.values())
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 0)
+    assert result(jaccard.groups(rows(pairs).repartition(3))) == brute(pairs)
+
+
+def test_bitmaps_bound_the_overlap():
+    random.seed(6)
+    for _ in range(200):
+        a, b = (np.array(sorted(random.sample(range(5000), random.randint(1, 900))), np.uint64) for _ in "ab")
+        maps = [np.frombuffer(jaccard.bitmap(x), np.uint64) for x in (a, b)]
+        apart = int(np.bitwise_count(maps[0] ^ maps[1]).sum())
+        assert 2 * len(set(a.tolist()) & set(b.tolist())) <= len(a) + len(b) - apart
+
+
 def test_suffix_bound_is_never_too_low():
     random.seed(3)
     for _ in range(300):
