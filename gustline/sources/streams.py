@@ -193,17 +193,36 @@ def _identity(spark: SparkSession, checkpoint: str) -> str:
 # --- rows of each batch, beside the checkpoint ----------------------------------------------------
 
 _ROWS = "batch-rows"
+_FOLDED, _TOGETHER = 500, "all-"  # batches whose numbers of rows are gathered in one file
 
 
 def note_rows(spark: SparkSession, checkpoint: str, number: int, rows: int) -> None:
-    """Keep the number of rows of a batch beside its checkpoint, as the name of an empty file."""
-    write_text(spark, f"{checkpoint.rstrip('/')}/{_ROWS}/{number:012d}={rows}", "")
+    """Keep the number of rows of a batch beside its checkpoint, as the name of an empty file. Now and then
+    the names are gathered in one file, so there are never many."""
+    folder = f"{checkpoint.rstrip('/')}/{_ROWS}"
+    write_text(spark, f"{folder}/{number:012d}={rows}", "")
+    if (number + 1) % _FOLDED == 0:
+        _fold(spark, checkpoint, folder, number)
+
+
+def _fold(spark: SparkSession, checkpoint: str, folder: str, number: int) -> None:
+    old = names_in(spark, folder)
+    lines = "\n".join(f"{k}={n}" for k, n in sorted(noted_rows(spark, checkpoint).items()))
+    name = f"{_TOGETHER}{number:012d}"
+    write_text(spark, f"{folder}/{name}", lines)
+    for spare in old:
+        if spare != name and not spare.startswith("."):
+            location, files = located(spark, f"{folder}/{spare}")
+            files.delete(location, False)
 
 
 def noted_rows(spark: SparkSession, checkpoint: str) -> dict[int, int]:
     """Rows of every batch that a checkpoint's streams have ended, over all their runs."""
-    pairs = (name.split("=") for name in names_in(spark, f"{checkpoint.rstrip('/')}/{_ROWS}") if "=" in name)
-    return {int(number): int(rows) for number, rows in pairs}
+    folder = f"{checkpoint.rstrip('/')}/{_ROWS}"
+    names = names_in(spark, folder)
+    pairs = [line for name in names if name.startswith(_TOGETHER) for line in read_text(spark, f"{folder}/{name}").split("\n")]
+    pairs += [name for name in names if "=" in name and not name.startswith(".")]
+    return {int(number): int(rows) for number, rows in (pair.split("=") for pair in pairs if pair)}
 
 
 def unnoted_batches(spark: SparkSession, checkpoint: str) -> list[int]:

@@ -95,6 +95,28 @@ def test_readers_during_replacements_see_one_whole_table(spark, tmp_path):
     assert not errors and seen <= {(n,) * 3 for n in (1, 2, 3, 4)} and len(seen) > 1
 
 
+def test_readers_during_appends_see_whole_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_table(rows(spark, *[1] * 4), path)
+    seen, stop, errors = set(), threading.Event(), []
+
+    def look():
+        try:
+            while not stop.is_set():
+                seen.add(len(held(spark, path)))
+        except Exception as error:  # noqa: BLE001
+            errors.append(error)
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for _ in range(3):
+        append_table(rows(spark, *[2] * 4).repartition(4), path)
+    stop.set()
+    reader.join()
+    assert not errors and seen <= {4, 8, 12, 16}
+    assert len(held(spark, path)) == 16
+
+
 def test_rows_appended_after_a_replacement(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_table(rows(spark, 1), path, partition_by=["day"])

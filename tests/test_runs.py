@@ -41,6 +41,17 @@ def test_totals_of_a_sink_without_files_outlive_a_restart(spark, tmp_path):
         lifetime_rows(spark, checkpoint)
 
 
+def test_noted_rows_are_gathered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "_FOLDED", 4)
+    checkpoint = str(tmp_path / "checkpoint")
+    for number in [*range(11), 10, 9]:  # repeated batches are noted once
+        streams.note_rows(spark, checkpoint, number, 10 + number)
+    assert lifetime_batches(spark, checkpoint) == [(k, 10 + k) for k in range(11)]
+    assert len([p for p in Path(checkpoint, "batch-rows").iterdir() if p.name[0] != "."]) == 4  # one for eight, three more
+    assert lifetime_rows(spark, checkpoint) == sum(range(10, 21))
+    assert lifetime_batches(spark, str(tmp_path / "none")) == []
+
+
 def test_totals_of_a_table_are_kept_as_well(spark, tmp_path):
     topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "checkpoint")
     messages(topic, GOOD, f"{GOOD}\n{GOOD}")
