@@ -44,7 +44,7 @@ from gustline.functions.signals import quoted
 from gustline.llm.components import components
 from gustline.llm.names import fresh
 from gustline.llm.repeats import repeated, text_bytes
-from gustline.llm.words import Words, chunks, mix
+from gustline.llm.words import Words, chunks, in_small_batches, lean, mix
 from gustline.session import stage
 
 SIZE = 5
@@ -78,6 +78,7 @@ def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
 def _scan(docs: DataFrame, size: int) -> DataFrame:
     """Set size and signature of each document, and the counts of the cells of each task."""
 
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
         names = ["cell", "amount", "doc_id", "n_shingles", "sig", "sig2"]
@@ -131,6 +132,7 @@ def _second_prefixes(texts: DataFrame, sizes: DataFrame, counts: Broadcast, size
         for at, words in chunks(batch.column(1), lower=True):
             yield _entries(ids[at : at + words.rows], list(shingle_sets(words, size)))
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[np.ndarray, ...]] = []
@@ -193,6 +195,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         for _, words in chunks(column, lower=True):
             yield from shingle_sets(words, size)
 
+    @lean
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [linked(x, y, percent) for x, y in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True)]
@@ -210,7 +213,7 @@ def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document; a component's id is its least document id."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scanned = stage(_scan(docs, size), "shingle-scan")
     counts = np.zeros(CELLS, np.int64)
     cells = scanned.where("cell is not null").groupBy("cell").agg(F.sum("amount").alias("amount")).toPandas()

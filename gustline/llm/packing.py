@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustline.llm.tokens import encoder
+from gustline.llm.words import in_small_batches
 from gustline.session import stage
 
 FULL = 31 / 32
@@ -135,7 +136,7 @@ def pack(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int, id_col:
     ``sequence_id`` names the level, the worker and the bin; ids are distinct and not dense. Pieces of a
     sequence lie gapless from offset 0. Every id of every document is in exactly one piece.
     """
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    chosen = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     open_pieces = stage(piece_table(chosen, tokenizer, end_id, capacity), "pieces")
     workers = open_pieces.rdd.getNumPartitions()
     done: list[DataFrame] = []

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.llm.words import Words, chunks
+from gustline.llm.words import Words, chunks, in_small_batches, lean
 from gustline.session import stage
 
 PASSAGE = 64  # words
@@ -207,6 +207,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, label: str = "quality", rows:
     few = stage(few, "labelled")  # at most ``rows``
     texts = docs.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.first("wanted").alias("wanted"), F.min("text").alias("text"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, words in chunks(batch.column(2)):
@@ -246,6 +247,7 @@ def score(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast({name: value.astype(np.float32) for name, value in model.items()})
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(shared.value)
         for batch in batches:
@@ -259,4 +261,4 @@ def score(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> Dat
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted", "n_passages", "most_weight"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int, n_passages long, most_weight double")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int, n_passages long, most_weight double")

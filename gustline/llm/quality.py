@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustline.llm.names import numbered
-from gustline.llm.words import Words, chunks
+from gustline.llm.words import Words, chunks, in_small_batches, lean
 from gustline.session import stage
 
 SAMPLE = 8192  # labelled rows that cells and target are taken from, at most
@@ -156,6 +156,7 @@ def labelled(labels: DataFrame, *, rows: int = SAMPLE) -> DataFrame:
 def _vocabulary(docs: DataFrame, chosen: DataFrame) -> np.ndarray:
     """Sorted hashes of the n-grams that enough documents of the first half hold."""
 
+    @lean
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, words in chunks(batch.column(0)):
@@ -179,11 +180,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Ratios:
     The driver gets the cells, which the bound of the sample bounds; every task sends the counts of the
     cells that it met.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = labelled(labels, rows=sample)
     known = _vocabulary(docs, chosen)
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros((2, len(shared.value) + SHAPES), np.int64)
         for batch in batches:
@@ -225,6 +227,7 @@ def judge(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> D
     """Counts, score and verdict of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, x in _judged(batch, 1, shared.value, threshold):
@@ -232,7 +235,7 @@ def judge(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> D
                 columns += [pa.array(x[c]) for c in ("base_failed", "score", "kept")]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *_COUNTS, "base_failed", "score", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, JUDGED)
+    return in_small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, JUDGED)
 
 
 def keep_good(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -240,11 +243,12 @@ def keep_good(docs: DataFrame, ratios: Ratios, *, threshold: float = THRESHOLD)
     at_text = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [x["kept"] for _, x in _judged(batch, at_text, shared.value, threshold)]
             if kept:
                 yield batch.filter(pc.cast(pa.array(np.concatenate(kept)), pa.bool_()))
 
-    plain = numbered(docs)
+    plain = numbered(in_small_batches(docs))
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -17,6 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gustline.llm.words import lean, release
+
 BLOCK = 1 << 20  # entries sorted at once
 SETTLED = 1 << 16  # repeats of a block in one binary row
 RANGES_PER_PARTITION = 4  # hash ranges per shuffle partition, at least; a range is held by a task at once
@@ -55,10 +57,13 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
 
 
 def _sorted(parts: list[tuple]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The entries by hash, document and position, and where the least entry of each one's hash is."""
+    """The entries by hash, document and position, and where the least entry of each one's hash is. The parts
+    are emptied, and only one column is held twice at a time."""
     columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    parts.clear()
     order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
-    columns = [x[order] for x in columns]
+    for k, column in enumerate(columns):
+        columns[k] = column[order]
     first = np.ones(len(order), bool)
     first[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
     return columns, np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
@@ -102,6 +107,7 @@ def repeated(docs: DataFrame, emit: Emit, *, size: int = 0, drop_firsts: bool =
             blobs.append(_packed(*(x[a:b] for x in (h, more, doc, at, follows))))
         return batch_of(kinds, blobs)
 
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Entries] = []
         size, salt = 0, TaskContext.get().partitionId() * 31
@@ -116,6 +122,7 @@ def repeated(docs: DataFrame, emit: Emit, *, size: int = 0, drop_firsts: bool =
             yield block(held, salt)
 
     def settle(key: tuple, table: pa.Table) -> pa.Table:
+        release()  # what the range before left
         parts = [_unpacked(x.as_py()) for x in table.column("entries")]
         if key[0].as_py() < ranges:
             (h, _, doc, at, many), least = _sorted(parts)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gustline.functions.signals import quoted
 from gustline.llm.names import fresh, numbered
 from gustline.llm.repeats import repeated, text_bytes
-from gustline.llm.words import Words, chunks, mix
+from gustline.llm.words import Words, chunks, in_small_batches, lean, mix
 from gustline.session import stage
 
 SIZE = 20
@@ -67,6 +67,7 @@ def _merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _per_document(entries: DataFrame, bits: int) -> DataFrame:
     """Ranges of windows of each document; an entry's position is first window * 2**bits + windows - 1."""
 
+    @lean
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             begins, ends = [], []
@@ -89,7 +90,7 @@ def _joined(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
 def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """Ranges of the windows of each document that occur earlier; documents without are left out."""
     part, bits = min(ANCHOR, size), max(1, (size - 1).bit_length())
-    docs = docs.where("doc_id is not null")
+    docs = in_small_batches(docs).where("doc_id is not null")
 
     def looked_up(batch: pa.RecordBatch):
         ids = batch.column(0).to_numpy()
@@ -139,6 +140,7 @@ def dedup(docs: DataFrame, *, size: int = SIZE, id_col: str = "doc_id", text_col
     """Number of words, number removed, and checksum of what stays, per document."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
+    @lean
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, removed, sha = [], [], []
@@ -158,6 +160,7 @@ def dedup_texts(docs: DataFrame, *, size: int = SIZE) -> DataFrame:
     at, width = docs.columns.index("text"), len(docs.columns)
     mark = fresh("doc_mark", docs.columns)
 
+    @lean
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []

@@ -8,13 +8,16 @@ windows share a 64-bit hash with a chance of about 2**-64.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 2 << 20  # text handled at once; a single longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # text handled at once; a single longer text is a chunk of its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -132,3 +135,41 @@ def chunks(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, Words]]
         to = max(at + 1, min(to, len(column)))
         yield at, find_words(data[offsets[at] : offsets[to]], offsets[at : to + 1], lower)
         at = to
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+BATCH_ROWS = 1000  # texts that go from Spark to a worker at once, at most
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The frame, with batches of its session bounded: those of Spark's default hold ten thousand whole texts,
+    in the executor and again in the worker."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH, "0")) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function over batches that gives freed memory back when it ends. Workers are used again by later
+    stages and wait in between; what the allocators keep of a stage's arrays would count all that time."""
+
+    @wraps(run)
+    def inner(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return inner
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
