@@ -338,11 +338,14 @@ def _block_pairs(table: pa.Table, low: int, high: int, percent: int) -> pa.Table
 def keep_one(docs: DataFrame, *, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The documents with all their columns, one of each group: that with the least id, rows without id last.
 
-    Texts are known by a 64-bit hash of id and text, so rows of one id and different texts are documents of
-    their own. Of equal rows one stays.
+    Rows of one id and different texts are documents of their own: where there are such rows, or rows without
+    id, documents are known by a 64-bit hash of id and text. Of equal rows one stays.
     """
     mark = fresh("row_mark", docs.columns)
-    marked = docs.withColumn(mark, F.xxhash64(F.lit(0), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    text = F.xxhash64(F.lit(0), F.col("text").isNull(), "text")
+    held = docs.select("doc_id", text.alias("h")).groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    own = held.where("doc_id is null or low <> high").isEmpty()  # then ids tell all texts apart, and pack better than hashes
+    marked = docs.withColumn(mark, F.col("doc_id").cast("long") if own else F.xxhash64(F.lit(0), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
     found = stage(groups(marked.select(F.col(mark).alias("doc_id"), "text"), size=size, percent=percent), "groups")
     members = found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("times"))
     members = stage(members, "group-members")

@@ -135,6 +135,8 @@ def test_one_of_each_group_stays_whatever_the_ids(rows):
     got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
     assert got == sorted([(1, a), (1, b), (4, c), (None, pairs[7][1]), (None, None), (6, None), (7, "")], key=str)
     assert jaccard.keep_one(rows([])).count() == 0
+    plain = rows([(9, a), (4, near), (5, b), (5, b), (6, ""), (7, None)])  # ids that tell all texts apart
+    assert sorted(r.doc_id for r in jaccard.keep_one(plain).collect()) == [4, 5, 6, 7]
 
 
 def test_no_text_is_lost_by_its_id(rows):
