@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gustline.llm.words import lean, release
 
-BLOCK = 1 << 20  # entries sorted at once
+BLOCK = 1 << 19  # entries sorted at once
 SETTLED = 1 << 16  # repeats of a block in one binary row
 RANGES_PER_PARTITION = 4  # hash ranges per shuffle partition, at least; a range is held by a task at once
 RANGE_BYTES = 64 << 20  # of text whose entries one range holds, about, at most

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 1 << 20  # text handled at once; a single longer text is a chunk of its own
+CHUNK_BYTES = 1 << 19  # text handled at once; a single longer text is a chunk of its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
