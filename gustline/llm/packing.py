@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gustline.llm.tokens import encoder
-from gustline.llm.words import in_small_batches
+from gustline.llm.words import in_small_batches, lean
 from gustline.session import stage
 
 FULL = 31 / 32
@@ -53,6 +53,7 @@ def cuts(tokens: int, capacity: int) -> list[int]:
 def piece_table(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """Encode each text, add the end id and cut; one row per piece."""
 
+    @lean
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
@@ -74,7 +75,9 @@ def piece_table(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
 def _fill(level: int, last: bool, capacity: int):
     """Fill the bins of every class from one worker's pieces; what stays open has no sequence."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # all is encoded now, and workers wait for other stages with what they keep
         first = (level << 58) | (TaskContext.get().partitionId() << 36)
         made = 0
         held: pa.Table | None = None

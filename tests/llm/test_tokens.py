@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyarrow import fs
 from tokenizers import Tokenizer
@@ -111,3 +112,15 @@ def test_cuts():
     for n in range(1, 5000):
         lengths = packing.cuts(n, 1024)
         assert sum(lengths) == n and max(lengths) <= 1024 and len(lengths) <= n // 1024 + 6
+
+
+def test_workers_that_fill_bins_keep_no_encoder(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    packing.encoder(BYTE)
+    batch = pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (1, 0, 5, 9, 5)], packing._NAMES)
+    assert sum(x.num_rows for x in packing._fill(0, True, 64)(iter([batch]))) == 1
+    assert packing.encoder.cache_info().currsize == 0
