@@ -10,23 +10,24 @@ pieces in order:
 
 Pieces are encoded by the library and kept in two generations of at most ``KEPT`` each, so memory
 stays bounded while frequent pieces stay known. A piece of plain Latin letters is one word to either
-tokenizer and its ids come from the library's BPE model alone; a mark behind such letters is a word
-of its own. All other pieces take the library's whole way, and so does the whole of a text that holds the
-name of a special token, unless such names are to be ordinary text.
+tokenizer and its ids come from the library's BPE model alone; the marks behind such letters, up to the
+piece's end, are a word of their own. All other pieces take the library's whole way, and so does the
+whole of a text that holds the name of a special token, unless such names are to be ordinary text.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 from functools import cache
 
 import numpy as np
 
-KEPT = 200_000
+KEPT = 300_000
 _LONGEST_KEPT = 24
-_MARKS = frozenset(".,;:!?")
+_MARKS = string.punctuation
 _GAP = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
@@ -62,7 +63,7 @@ class _Pieces(dict):
         if ids is None:
             if self.strict and (not piece or piece[0].isspace() or piece[-1].isspace()):
                 raise _Unsafe
-            ids = self.encode(piece)
+            ids = self.encode(piece, self)
         if len(piece) <= _LONGEST_KEPT:
             if len(self) >= KEPT:
                 self.old = dict(self)
@@ -82,12 +83,14 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)  # once: a vocabulary takes 30 MB of each worker
         tokenizer.encode_special_tokens = True  # a piece holds no name as the text had it
         added = tokenizer.get_added_tokens_decoder().values()
         self._names = [] if names_as_text else [token.content for token in added]
 
         model, letters, lower = tokenizer.model, _byte_letters(), tokenizer.normalizer is not None
+        spelled = {chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
+        space = letters[ord(" ")]
 
         def whole(text: str) -> bytes:
             found = tokenizer.encode(text, add_special_tokens=False).ids
@@ -97,23 +100,30 @@ class Encoder:
             if lower:
                 text = text.lower()
             if not text.isascii():
-                text = text.encode().decode("latin-1").translate(letters)
+                text = "".join(map(spelled.__getitem__, text))
             return array("I", [t.id for t in model.tokenize(front + text)]).tobytes()
 
-        def ids(piece: str, front: str = "") -> bytes:
-            if piece.isalpha() and (piece.isascii() or max(piece) <= "\xff"):
-                return word(piece, front and letters[ord(" ")])
-            body = piece[:-1]
-            if body.isalpha() and piece[-1] in _MARKS and max(body) <= "\xff":
-                return word(body, front and letters[ord(" ")]) + marks[piece[-1]]
+        def with_names(text: str) -> np.ndarray:
+            tokenizer.encode_special_tokens = False
+            try:
+                return np.frombuffer(whole(text), "<u4")
+            finally:
+                tokenizer.encode_special_tokens = True
+
+        def ids(piece: str, known: _Pieces, front: str = "") -> bytes:
+            body = piece.rstrip(_MARKS)
+            if body.isalpha() and (body.isascii() or max(body) <= "\xff"):
+                if len(body) == len(piece):
+                    return word(piece, front and space)
+                return known[body] + marks[piece[len(body) :]]  # often the word is known without its marks
             return whole(front + piece)
 
-        marks = {mark: whole(mark) for mark in _MARKS}
-        self._with_names = lambda text: np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4")
+        marks = _Pieces(lambda piece, _: whole(piece), strict=False)
+        self._with_names = with_names
         self._drops_space = lower
         self._vocabulary = tokenizer.get_vocab_size()
         self._plain = _Pieces(ids, strict=False)
-        self._inner = _Pieces(lambda piece: ids(piece, " "), strict=True)
+        self._inner = _Pieces(lambda piece, known: ids(piece, known, " "), strict=True)
         self._first = _Pieces(ids, strict=True)
         self._broken = _Pieces(ids, strict=False)
 

@@ -114,6 +114,40 @@ def test_cuts():
         assert sum(lengths) == n and max(lengths) <= 1024 and len(lengths) <= n // 1024 + 6
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_marks_behind_words(path):
+    random.seed(8)
+    encoder, whole = Encoder(path), plain(path)
+    for _ in range(3000):
+        words = ("".join(random.choices("aBéßÀſ1", k=random.randint(0, 4))) + "".join(random.choices("!#$'*.,-<>|_~", k=random.randint(0, 4))) for _ in range(6))
+        text = random.choice([" ", "\n", "  "]).join(words) + random.choice(["", "", " <|endoftext|>", "'s"])
+        assert encoder.encode(text).tolist() == whole(text), ascii(text)
+
+
+def test_a_word_is_known_once_it_stood_before_marks():
+    encoder = Encoder(BYTE)
+    assert encoder.encode("a zebrawood!! quaggasé.***").tolist() == plain(BYTE)("a zebrawood!! quaggasé.***")
+    assert {"zebrawood", "quaggasé"} <= set(encoder._inner)
+
+
+def test_one_vocabulary_a_worker(monkeypatch):
+    import tokenizers
+
+    class Counted:
+        loads = 0
+
+        @staticmethod
+        def from_file(path):
+            Counted.loads += 1
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    text = "a <|endoftext|>b c"
+    encoder = Encoder(BYTE)
+    assert [encoder.encode(x).tolist() for x in (text, "b", text, "b")] == [plain(BYTE)(x) for x in (text, "b", text, "b")]
+    assert Counted.loads == 1
+
+
 def test_workers_that_fill_bins_keep_no_encoder(monkeypatch):
     class Task:
         get = staticmethod(lambda: Task)
